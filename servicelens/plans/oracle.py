@@ -171,3 +171,150 @@ SELECT segment, count(*) AS assets FROM assets GROUP BY segment
 sql("top_items", """
 SELECT item, count(*) AS lines FROM lines WHERE item IS NOT NULL GROUP BY item ORDER BY lines DESC, item LIMIT 10
 """)
+
+sql("audit_checks", """,
+la AS (SELECT count(*) AS service_rows, count(*) FILTER (WHERE visit_date IS NULL) AS date_missing,
+              count(*) FILTER (WHERE price IS NULL) AS price_missing, count(*) FILTER (WHERE price < 0) AS negative_price,
+              min(visit_date) AS dmin, max(visit_date) AS dmax FROM lines),
+aa AS (SELECT count(*) AS master_rows, count(DISTINCT customer_id) AS customers, count(DISTINCT asset_id) AS cars,
+              floor(avg(CAST(starts_with(coalesce(phone, ''), '0') AS INTEGER)) * 100) AS phone_ok FROM assets),
+dl AS (SELECT coalesce(sum(n - 1), 0) AS d FROM (SELECT line_id, count(*) AS n FROM lines GROUP BY line_id)),
+da AS (SELECT coalesce(sum(n - 1), 0) AS d FROM (SELECT asset_id, count(*) AS n FROM assets GROUP BY asset_id)),
+fk AS (SELECT count(*) AS d FROM (SELECT DISTINCT asset_id FROM lines WHERE asset_id IS NOT NULL) l
+       WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.asset_id = l.asset_id)),
+uv AS (SELECT count(DISTINCT visit_id) AS d FROM lines)
+SELECT m.* FROM la, aa, dl, da, fk, uv, LATERAL (VALUES
+  ('master_rows', CAST(aa.master_rows AS DOUBLE), NULL::VARCHAR, 'rows in the asset master'),
+  ('service_rows', CAST(la.service_rows AS DOUBLE), NULL, 'rows in the service lines'),
+  ('unique_customers', CAST(aa.customers AS DOUBLE), NULL, 'distinct owners in the master'),
+  ('unique_assets', CAST(aa.cars AS DOUBLE), NULL, 'distinct assets in the master'),
+  ('unique_visits', CAST(uv.d AS DOUBLE), NULL, 'distinct visits in the service lines'),
+  ('date_missing', CAST(la.date_missing AS DOUBLE), NULL, 'service dates that failed to parse'),
+  ('price_missing', CAST(la.price_missing AS DOUBLE), NULL, 'prices missing or unparseable'),
+  ('negative_price', CAST(la.negative_price AS DOUBLE), NULL, 'negative prices'),
+  ('duplicate_line_id', CAST(dl.d AS DOUBLE), NULL, 'repeated line ids'),
+  ('duplicate_asset_id', CAST(da.d AS DOUBLE), NULL, 'repeated asset ids in the master'),
+  ('fk_missing_asset_id', CAST(fk.d AS DOUBLE), NULL, 'asset ids of the lines missing from the master'),
+  ('phone_leading_zero_ok', CAST(aa.phone_ok AS DOUBLE), NULL, 'percent of phone numbers starting with 0'),
+  ('min_service_date', NULL, CAST(la.dmin AS VARCHAR), 'first service date'),
+  ('max_service_date', NULL, CAST(la.dmax AS VARCHAR), 'last service date')
+) AS m("check", value, value_text, description)
+""")
+
+sql("audit_status", """,
+asof_d AS (SELECT max(visit_date) + 1 AS d FROM lines),
+la AS (SELECT count(*) FILTER (WHERE line_id IS NULL) AS missing_id, count(*) FILTER (WHERE price <= 0) AS bad_price,
+              count(*) FILTER (WHERE qty <= 0) AS bad_qty,
+              count(*) FILTER (WHERE visit_date > (SELECT d FROM asof_d)) AS after_as_of,
+              count(*) FILTER (WHERE visit_date < DATE '1995-01-01') AS before_window FROM lines),
+aa AS (SELECT count(*) FILTER (WHERE phone IS NULL) AS missing_phone,
+              count(*) FILTER (WHERE phone IS NOT NULL AND NOT starts_with(phone, '0')) AS phone_bad FROM assets),
+dl AS (SELECT coalesce(sum(n - 1), 0) AS d FROM (SELECT line_id, count(*) AS n FROM lines GROUP BY line_id)),
+fk AS (SELECT count(*) AS d FROM (SELECT DISTINCT asset_id FROM lines WHERE asset_id IS NOT NULL) l
+       WHERE NOT EXISTS (SELECT 1 FROM assets a WHERE a.asset_id = l.asset_id)),
+ex AS (SELECT coalesce(sum(n - 1), 0) AS d FROM (SELECT count(*) AS n FROM lines GROUP BY ALL_COLUMNS_PLACEHOLDER)),
+m AS (SELECT v.* FROM la, aa, dl, fk, ex, LATERAL (VALUES
+  ('missing_line_id', CAST(la.missing_id AS DOUBLE), ''),
+  ('duplicate_line_id', CAST(dl.d AS DOUBLE), ''),
+  ('orphan_asset_id', CAST(fk.d AS DOUBLE), ''),
+  ('nonpositive_price', CAST(la.bad_price AS DOUBLE), ''),
+  ('nonpositive_qty', CAST(la.bad_qty AS DOUBLE), ''),
+  ('missing_phone', CAST(aa.missing_phone AS DOUBLE), ''),
+  ('phone_not_leading_zero', CAST(aa.phone_bad AS DOUBLE), 'phones must be read as text'),
+  ('date_after_as_of', CAST(la.after_as_of AS DOUBLE), ''),
+  ('date_before_window', CAST(la.before_window AS DOUBLE), ''),
+  ('exact_duplicate_rows', CAST(ex.d AS DOUBLE), '')
+) AS v("check", value, notes))
+SELECT "check", value, CASE WHEN value = 0 THEN 'PASS' ELSE 'FAIL' END AS status, notes FROM m
+""".replace("ALL_COLUMNS_PLACEHOLDER",
+            "line_id, visit_id, asset_id, visit_date, meter_km, branch, technician, category, item, qty, price, is_anchor"))
+
+ANCHOR_FIRST = "first({c} ORDER BY line_id, branch, technician, price)"
+EPISODES = """,
+al AS (SELECT visit_id, {a} AS asset_id, {d} AS visit_date, {m} AS meter_km, {p} AS price
+       FROM lines WHERE is_anchor GROUP BY visit_id),
+el AS (SELECT al.*, lag(visit_date) OVER w AS prev_date, lag(meter_km) OVER w AS prev_meter_km
+       FROM al WINDOW w AS (PARTITION BY asset_id ORDER BY visit_date, meter_km, visit_id)),
+eg AS (SELECT el.*, CAST(visit_date - prev_date AS INTEGER) AS gap_days, meter_km - prev_meter_km AS gap_km, 1 AS event
+       FROM el),
+ep AS (SELECT eg.*, a.model_year, a.fuel, a.drive, a.oil_type, a.interval_km, a.segment, a.km_per_month,
+              CAST(year(eg.visit_date) - a.model_year AS INTEGER) AS car_age,
+              ln(CAST(gap_days AS DOUBLE)) AS log_gap_days,
+              gap_km / a.interval_km AS utilization
+       FROM eg LEFT JOIN assets a USING (asset_id)
+       WHERE gap_days > 0 AND gap_days <= 500 AND gap_km > 0)""".format(
+    a=ANCHOR_FIRST.format(c="asset_id"), d=ANCHOR_FIRST.format(c="visit_date"),
+    m=ANCHOR_FIRST.format(c="meter_km"), p=ANCHOR_FIRST.format(c="price"))
+
+sql("anchor_lines", EPISODES + """
+SELECT visit_id, asset_id, CAST(visit_date AS VARCHAR) AS visit_date, meter_km, price FROM al
+""")
+
+sql("episode_lag", EPISODES + """
+SELECT visit_id, asset_id, CAST(visit_date AS VARCHAR) AS visit_date, meter_km, price,
+       CAST(prev_date AS VARCHAR) AS prev_date, prev_meter_km, gap_days, gap_km, event FROM eg
+""")
+
+sql("episodes", EPISODES + """
+SELECT asset_id, visit_id, CAST(visit_date AS VARCHAR) AS visit_date, meter_km, price,
+       CAST(prev_date AS VARCHAR) AS prev_date, prev_meter_km, gap_days, gap_km, event,
+       model_year, fuel, drive, oil_type, interval_km, segment, km_per_month, car_age,
+       round(log_gap_days, 6) AS log_gap_days, utilization FROM ep
+""")
+
+sql("raw_gap_by_segment", """,
+pa AS (SELECT asset_id, CAST(max(visit_date) - min(visit_date) AS BIGINT) AS span, count(*) - 1 AS gaps
+       FROM lines WHERE is_anchor AND asset_id IS NOT NULL AND visit_date IS NOT NULL GROUP BY asset_id)
+SELECT segment, CAST(sum(gaps) AS BIGINT) AS n_gaps,
+       CASE WHEN sum(gaps) = 0 THEN NULL ELSE CAST(sum(span) AS DOUBLE) / CAST(sum(gaps) AS DOUBLE) END AS avg_gap_days
+FROM pa JOIN assets USING (asset_id) GROUP BY segment
+""")
+
+LAST_ANCHOR = """,
+la AS (SELECT asset_id,
+              first(visit_date ORDER BY visit_date DESC, line_id DESC, branch DESC, technician DESC, price DESC) AS last_anchor_date,
+              first(meter_km ORDER BY visit_date DESC, line_id DESC, branch DESC, technician DESC, price DESC) AS last_anchor_km,
+              first(visit_id ORDER BY visit_date DESC, line_id DESC, branch DESC, technician DESC, price DESC) AS last_anchor_visit_id
+       FROM lines WHERE is_anchor AND asset_id IS NOT NULL GROUP BY asset_id)"""
+
+sql("last_anchor", LAST_ANCHOR + """
+SELECT asset_id, CAST(last_anchor_date AS VARCHAR) AS last_anchor_date, last_anchor_km, last_anchor_visit_id FROM la
+""")
+
+ALERTS = EPISODES + LAST_ANCHOR + """,
+seg AS (SELECT segment, median(gap_days) AS segment_interval FROM ep WHERE segment IS NOT NULL GROUP BY segment),
+b0 AS (SELECT a.*, la.last_anchor_date, la.last_anchor_km,
+              CAST((SELECT max(visit_date) + 1 FROM lines) - la.last_anchor_date AS INTEGER) AS days_since_last_anchor,
+              coalesce(seg.segment_interval, (SELECT median(gap_days) FROM ep)) AS predicted_interval_days
+       FROM assets a LEFT JOIN la USING (asset_id) LEFT JOIN seg USING (segment)),
+b1 AS (SELECT *, days_since_last_anchor * km_per_month / 30.0 AS est_km_since_last_anchor FROM b0),
+b2 AS (SELECT *, days_since_last_anchor / predicted_interval_days AS progress_day,
+              est_km_since_last_anchor / interval_km AS progress_km FROM b1),
+b3 AS (SELECT *, CAST(0.55 AS DOUBLE) * progress_day + CAST(0.45 AS DOUBLE) * progress_km AS combined FROM b2),
+b4 AS (SELECT *, 1.0 / (1.0 + exp(-10.0 * (combined - CAST(0.9 AS DOUBLE)))) AS due_probability FROM b3),
+b5 AS (SELECT *, CASE WHEN s IS NULL THEN NULL ELSE least(greatest(s, 0.0), 100.0) END AS priority_score
+       FROM (SELECT *, 100.0 * (CAST(0.45 AS DOUBLE) * due_probability + CAST(0.35 AS DOUBLE) * combined
+                                + CAST(0.2 AS DOUBLE) * progress_km) AS s FROM b4)),
+alerts AS (
+  SELECT customer_id, owner_name, phone, asset_id, plate, model, trim, fuel, drive, oil_type, interval_km, segment,
+         CAST(last_anchor_date AS VARCHAR) AS last_anchor_date, last_anchor_km, days_since_last_anchor,
+         est_km_since_last_anchor, predicted_interval_days, progress_day, progress_km,
+         round(due_probability, 6) AS due_probability, round(priority_score, 6) AS priority_score,
+         CASE WHEN priority_score >= 85 THEN 'Critical' WHEN priority_score >= 70 THEN 'High Priority'
+              WHEN priority_score >= 55 THEN 'Warm Reminder' ELSE 'Monitor' END AS alert_tier,
+         'Hello ' || string_split_regex(trim(owner_name), '\\s+')[1] || ', your ' || model || ' ' || plate
+           || ' has reached about '
+           || CAST(CAST(round_even(CASE WHEN progress_day IS NULL THEN NULL WHEN progress_km IS NULL THEN progress_day
+                                      ELSE greatest(progress_day, progress_km) END * 100.0, 0) AS BIGINT) AS VARCHAR)
+           || '% of its recommended service interval. Reply to this message to book a service slot.' AS reminder_message
+  FROM b5)"""
+
+sql("alert_ranking", ALERTS + """
+SELECT * FROM alerts
+""")
+
+sql("tier_distribution", ALERTS + """
+SELECT t.alert_tier, coalesce(c.n, 0) AS assets
+FROM (VALUES (0, 'Critical'), (1, 'High Priority'), (2, 'Warm Reminder'), (3, 'Monitor')) AS t(ord, alert_tier)
+LEFT JOIN (SELECT alert_tier, count(*) AS n FROM alerts GROUP BY alert_tier) c USING (alert_tier)
+""")

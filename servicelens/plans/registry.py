@@ -98,3 +98,86 @@ def q_segment_distribution(spark, d):
 def q_top_items(spark, d):
     """Top 10 items by line count."""
     return kpi.top_items(views(spark, d).lines("item"))
+
+
+# ---------------------------------------------------------------- audit
+from servicelens.operators import audit  # noqa: E402
+
+
+@query("audit_checks")
+def q_audit_checks(spark, d):
+    """Q1-Q9: the 14-row audit."""
+    sv = views(spark, d)
+    return audit.audit_checks(sv.lines("line_id", "visit_id", "asset_id", "visit_date", "price"), sv.assets())
+
+
+@query("audit_status")
+def q_audit_status(spark, d):
+    """Q10-Q15: PASS/FAIL audit."""
+    sv = views(spark, d)
+    return audit.audit_status(sv.lines(), sv.assets(), sv.params)
+
+
+# ---------------------------------------------------------------- episodes
+from servicelens.functions.exprs import r6  # noqa: E402
+from servicelens.operators import alerts, episodes  # noqa: E402
+
+EPISODE_LINE_COLS = ("line_id", "visit_id", "asset_id", "visit_date", "meter_km", "branch", "technician", "price",
+                     "is_anchor")
+
+
+def _episodes(sv):
+    return episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params)
+
+
+@query("anchor_lines")
+def q_anchor_lines(spark, d):
+    """First anchor line per visit."""
+    return episodes.anchor_lines(views(spark, d).lines(*EPISODE_LINE_COLS))
+
+
+@query("episode_lag")
+def q_episode_lag(spark, d):
+    """Previous anchor visit per asset and the gaps (all anchor visits)."""
+    return episodes.episode_lag(views(spark, d).lines(*EPISODE_LINE_COLS))
+
+
+@query("episodes")
+def q_episodes(spark, d):
+    """Valid episodes with model features."""
+    e = _episodes(views(spark, d))
+    return e.withColumn("log_gap_days", r6(F.col("log_gap_days")))
+
+
+@query("raw_gap_by_segment")
+def q_raw_gap_by_segment(spark, d):
+    """Unfiltered mean anchor gap per segment."""
+    sv = views(spark, d)
+    return episodes.raw_gap_by_segment(sv.lines("asset_id", "visit_date", "category", "is_anchor"), sv.assets())
+
+
+# ---------------------------------------------------------------- alerts
+def _alerts(sv):
+    lines = sv.lines(*EPISODE_LINE_COLS)
+    ep = episodes.build_episodes(lines, sv.assets(), sv.params)
+    return alerts.score_alerts(lines, sv.assets(), ep, sv.params)
+
+
+@query("last_anchor")
+def q_last_anchor(spark, d):
+    """A1: latest anchor line per asset."""
+    return alerts.last_anchor(views(spark, d).lines(*EPISODE_LINE_COLS))
+
+
+@query("alert_ranking")
+def q_alert_ranking(spark, d):
+    """A2-A10: due-alert table ranked by priority (segment medians of actual gaps)."""
+    a = alerts.rank_alerts(_alerts(views(spark, d)))
+    return a.withColumn("due_probability", r6(F.col("due_probability"))) \
+            .withColumn("priority_score", r6(F.col("priority_score")))
+
+
+@query("tier_distribution")
+def q_tier_distribution(spark, d):
+    """Assets per alert tier."""
+    return alerts.tier_distribution(_alerts(views(spark, d)))
