@@ -318,3 +318,112 @@ SELECT t.alert_tier, coalesce(c.n, 0) AS assets
 FROM (VALUES (0, 'Critical'), (1, 'High Priority'), (2, 'Warm Reminder'), (3, 'Monitor')) AS t(ord, alert_tier)
 LEFT JOIN (SELECT alert_tier, count(*) AS n FROM alerts GROUP BY alert_tier) c USING (alert_tier)
 """)
+
+BASKET = """,
+ntx AS (SELECT count(DISTINCT visit_id) AS n FROM lines WHERE visit_id IS NOT NULL),
+vi AS (SELECT DISTINCT visit_id, item FROM lines WHERE visit_id IS NOT NULL AND item IS NOT NULL),
+ic AS (SELECT item, count(*) AS visits FROM vi GROUP BY item),
+fr AS (SELECT item FROM ic WHERE visits / (SELECT n FROM ntx) >= 0.02),
+fv AS (SELECT * FROM vi WHERE item IN (SELECT item FROM fr)),
+f1 AS (SELECT item AS i1, visits AS freq FROM ic WHERE item IN (SELECT item FROM fr)),
+f2 AS (SELECT a.item AS i1, b.item AS i2, count(*) AS freq FROM fv a JOIN fv b ON a.visit_id = b.visit_id AND a.item < b.item
+       GROUP BY 1, 2 HAVING count(*) / (SELECT n FROM ntx) >= 0.02),
+f3 AS (SELECT a.item AS i1, b.item AS i2, c.item AS i3, count(*) AS freq
+       FROM fv a JOIN fv b ON a.visit_id = b.visit_id AND a.item < b.item
+                 JOIN fv c ON a.visit_id = c.visit_id AND b.item < c.item
+       GROUP BY 1, 2, 3 HAVING count(*) / (SELECT n FROM ntx) >= 0.02),
+fi AS (SELECT [i1] AS items, freq FROM f1 UNION ALL SELECT [i1, i2], freq FROM f2 UNION ALL SELECT [i1, i2, i3], freq FROM f3),
+ip AS (SELECT item, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price
+       FROM lines WHERE item IS NOT NULL GROUP BY item)"""
+
+sql("frequent_itemsets", BASKET + """
+SELECT array_to_string(items, '|') AS items, freq, CAST(len(items) AS INTEGER) AS size, freq / (SELECT n FROM ntx) AS support
+FROM fi
+""")
+
+sql("association_rules", BASKET + """,
+sp AS (SELECT [i1] AS ant, [i2] AS con, freq FROM f2 UNION ALL SELECT [i2], [i1], freq FROM f2
+       UNION ALL SELECT [i1], [i2, i3], freq FROM f3 UNION ALL SELECT [i2], [i1, i3], freq FROM f3
+       UNION ALL SELECT [i3], [i1, i2], freq FROM f3 UNION ALL SELECT [i1, i2], [i3], freq FROM f3
+       UNION ALL SELECT [i1, i3], [i2], freq FROM f3 UNION ALL SELECT [i2, i3], [i1], freq FROM f3),
+r0 AS (SELECT sp.ant, sp.con, sp.freq / (SELECT n FROM ntx) AS support,
+              fa.freq / (SELECT n FROM ntx) AS sa, fc.freq / (SELECT n FROM ntx) AS sc
+       FROM sp JOIN fi fa ON fa.items = sp.ant JOIN fi fc ON fc.items = sp.con),
+r1 AS (SELECT *, support / sa AS confidence FROM r0),
+r2 AS (SELECT *, confidence / sc AS lift, support - sa * sc AS leverage,
+              CASE WHEN confidence = 1.0 THEN 'inf'::DOUBLE ELSE (1.0 - sc) / (1.0 - confidence) END AS conviction
+       FROM r1 WHERE confidence / sc >= 1.05),
+cp AS (SELECT con, avg(coalesce(ip.avg_price, 0.0)) AS consequent_avg_price
+       FROM (SELECT DISTINCT con FROM r2) x, unnest(x.con) AS u(item) LEFT JOIN ip ON ip.item = u.item GROUP BY con),
+r3 AS (SELECT r2.*, cp.consequent_avg_price, CAST(round_even(support * (SELECT n FROM ntx), 0) AS BIGINT) AS support_count
+       FROM r2 LEFT JOIN cp USING (con))
+SELECT array_to_string(ant, ' + ') AS antecedents_txt, array_to_string(con, ' + ') AS consequents_txt,
+       support, support_count, confidence, lift, leverage, conviction, consequent_avg_price,
+       support_count * confidence * consequent_avg_price AS estimated_rule_revenue
+FROM r3
+""")
+
+PAIRWISE = BASKET + """,
+nd AS (SELECT CAST(n AS DOUBLE) AS n FROM ntx),
+pc AS (SELECT a.item AS antecedent, b.item AS consequent, count(*) AS cooccurrence_visits
+       FROM fv a JOIN fv b ON a.visit_id = b.visit_id AND a.item <> b.item GROUP BY 1, 2),
+p0 AS (SELECT pc.*, ca.visits AS antecedent_visits, cb.visits AS consequent_visits,
+              cooccurrence_visits / (SELECT n FROM nd) AS support,
+              ca.visits / (SELECT n FROM nd) AS sa, cb.visits / (SELECT n FROM nd) AS sb
+       FROM pc JOIN ic ca ON ca.item = pc.antecedent JOIN ic cb ON cb.item = pc.consequent),
+p1 AS (SELECT *, support / sa AS confidence FROM p0 WHERE support >= 0.02),
+p2 AS (SELECT *, confidence / sb AS lift, support - sa * sb AS leverage FROM p1 WHERE confidence / sb >= 1.05),
+p3 AS (SELECT p2.*, coalesce(ip.avg_price, 0.0) AS consequent_avg_price,
+              CAST(round_even(support * (SELECT n FROM nd), 0) AS BIGINT) AS support_count
+       FROM p2 LEFT JOIN ip ON ip.item = p2.consequent),
+rules AS (
+  SELECT antecedent, consequent, support, support_count, confidence, lift, leverage, NULL::DOUBLE AS conviction,
+         antecedent_visits, cooccurrence_visits, antecedent_visits - cooccurrence_visits AS potential_visits_without_consequent,
+         consequent_avg_price, support_count * confidence * consequent_avg_price AS estimated_rule_revenue,
+         (antecedent_visits - cooccurrence_visits) * confidence * consequent_avg_price AS estimated_rule_revenue_if_targeted
+  FROM p3)"""
+
+sql("pairwise_rules", PAIRWISE + """
+SELECT * FROM rules
+""")
+
+sql("top_rules", PAIRWISE + """
+SELECT antecedent || ' → ' || consequent AS rule, antecedent, consequent, estimated_rule_revenue, lift, confidence
+FROM rules ORDER BY estimated_rule_revenue DESC, lift DESC, confidence DESC, antecedent, consequent LIMIT 10
+""")
+
+sql("baskets", """
+SELECT visit_id, array_to_string(list_sort(list(DISTINCT item) FILTER (WHERE item IS NOT NULL)), '|') AS items
+FROM lines WHERE visit_id IS NOT NULL GROUP BY visit_id
+""")
+
+sql("item_price_stats", """
+SELECT item, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price
+FROM lines WHERE item IS NOT NULL GROUP BY item
+""")
+
+ATTACH = """,
+av AS (SELECT DISTINCT visit_id FROM lines WHERE is_anchor AND visit_id IS NOT NULL),
+ar AS (SELECT item, count(DISTINCT visit_id) / (SELECT count(*) FROM av) AS attach_rate,
+              count(DISTINCT visit_id) AS visits_with_item,
+              CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS revenue_in_anchor_visits,
+              CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price
+       FROM lines WHERE NOT is_anchor AND item IS NOT NULL AND visit_id IN (SELECT visit_id FROM av) GROUP BY item)"""
+
+sql("attach_rates", ATTACH + """
+SELECT * FROM ar
+""")
+
+sql("attach_rates_full", ATTACH + """
+SELECT i.item, coalesce(ar.attach_rate, 0.0) AS attach_rate, coalesce(ar.visits_with_item, 0) AS visits_with_item,
+       i.avg_price, coalesce(ar.revenue_in_anchor_visits, 0.0) AS revenue_in_anchor_visits
+FROM (SELECT item, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_price
+      FROM lines WHERE item IS NOT NULL AND NOT is_anchor GROUP BY item) i
+LEFT JOIN ar USING (item)
+""")
+
+sql("conditional_item_rate", ATTACH + """
+SELECT item, count(DISTINCT visit_id) AS anchor_visits_with_item, count(DISTINCT visit_id) / (SELECT count(*) FROM av) AS rate
+FROM lines WHERE item IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4') AND visit_id IN (SELECT visit_id FROM av)
+GROUP BY item
+""")

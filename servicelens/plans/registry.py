@@ -181,3 +181,67 @@ def q_alert_ranking(spark, d):
 def q_tier_distribution(spark, d):
     """Assets per alert tier."""
     return alerts.tier_distribution(_alerts(views(spark, d)))
+
+
+# ---------------------------------------------------------------- basket
+from servicelens.operators import basket  # noqa: E402
+
+BASKET_COLS = ("visit_id", "item", "price", "category", "is_anchor")
+
+
+@query("baskets")
+def q_baskets(spark, d):
+    """B1: distinct items per visit."""
+    return basket.baskets(views(spark, d).lines("visit_id", "item"))
+
+
+@query("frequent_itemsets")
+def q_frequent_itemsets(spark, d):
+    """FP-Growth frequent itemsets."""
+    return basket.frequent_itemsets(views(spark, d).lines("visit_id", "item"), views(spark, d).params)
+
+
+@query("association_rules")
+def q_association_rules(spark, d):
+    """Rules from every proper subset of the frequent itemsets."""
+    sv = views(spark, d)
+    return basket.association_rules(sv.lines("visit_id", "item", "price"), sv.params)
+
+
+@query("pairwise_rules")
+def q_pairwise_rules(spark, d):
+    """Single-item rules from pattern-aggregated pair counts."""
+    sv = views(spark, d)
+    return basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+
+
+@query("top_rules")
+def q_top_rules(spark, d):
+    """B2: top 10 rules by estimated revenue."""
+    sv = views(spark, d)
+    return basket.top_rules(basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params))
+
+
+@query("item_price_stats")
+def q_item_price_stats(spark, d):
+    """Mean price per item."""
+    return basket.item_prices(views(spark, d).lines("item", "price"))
+
+
+@query("attach_rates")
+def q_attach_rates(spark, d):
+    """Attach rates of other items within anchor visits."""
+    return basket.attach_rates(views(spark, d).lines(*BASKET_COLS))
+
+
+@query("attach_rates_full")
+def q_attach_rates_full(spark, d):
+    """Attach rates with zero rows kept."""
+    return basket.attach_rates_full(views(spark, d).lines(*BASKET_COLS))
+
+
+@query("conditional_item_rate")
+def q_conditional_item_rate(spark, d):
+    """P(item | anchor visit) for probe items."""
+    sv = views(spark, d)
+    return basket.conditional_item_rate(sv.lines(*BASKET_COLS), sv.params)
