@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.functions.exprs import closing_monday, first_in_line_order, money_sum, week_start
+from servicelens.functions.exprs import MONEY, closing_monday, first_in_line_order, week_start
 
 
 def visit_rollup(lines: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def visit_rollup(lines: DataFrame) -> DataFrame:
             F.max("meter_km").alias("meter_km"),
             first_in_line_order("branch").alias("branch"),
             first_in_line_order("technician").alias("technician"),
-            money_sum("price").alias("visit_revenue"),
+            # kept decimal so that weekly / customer revenue sums stay exact
+            F.sum(F.col("price").cast(MONEY)).alias("visit_revenue"),
             items.alias("items"),
             F.bool_or("is_anchor").alias("has_anchor"),
         )

@@ -61,6 +61,7 @@ visits AS (
          {branch} AS branch,
          {tech} AS technician,
          {rev} AS visit_revenue,
+         sum(CAST(price AS DECIMAL(18,2))) AS visit_revenue_d,
          list_sort(list(DISTINCT item) FILTER (WHERE item IS NOT NULL)) AS items,
          bool_or(is_anchor) AS has_anchor,
          CAST(count(DISTINCT item) AS INTEGER) AS n_items
@@ -427,3 +428,93 @@ SELECT item, count(DISTINCT visit_id) AS anchor_visits_with_item, count(DISTINCT
 FROM lines WHERE item IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4') AND visit_id IN (SELECT visit_id FROM av)
 GROUP BY item
 """)
+
+
+HOLIDAYS_SQL = "[DATE '1995-03-03', DATE '1996-02-21', DATE '1997-02-09', DATE '1998-01-30', DATE '1999-01-19', DATE '2000-01-08', DATE '2000-12-27', DATE '2001-12-16']"
+
+WEEKLY = VISITS + """,
+wk AS (SELECT 'ALL' AS series, CAST(date_trunc('week', visit_date - 1) AS DATE) + 7 AS week, count(*) AS visits,
+              count(*) FILTER (WHERE has_anchor) AS anchor_visits, sum(visit_revenue_d) AS revenue
+       FROM visits WHERE visit_date IS NOT NULL GROUP BY 1, 2),
+cal AS (SELECT series, CAST(unnest(generate_series(CAST(min(week) AS TIMESTAMP), CAST(max(week) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week
+        FROM wk GROUP BY series),
+dense AS (SELECT c.series, c.week, coalesce(w.visits, 0) AS visits, coalesce(w.anchor_visits, 0) AS anchor_visits,
+                 coalesce(w.revenue, 0) AS revenue
+          FROM cal c LEFT JOIN wk w USING (series, week)),
+hol AS (SELECT unnest(""" + HOLIDAYS_SQL + """) AS h),
+dth AS (SELECT week, min(h - week) FILTER (WHERE h - week >= -3) AS dt FROM (SELECT DISTINCT week FROM dense), hol GROUP BY week),
+calf AS (SELECT d.series, d.week, CAST(weekofyear(d.week) AS INTEGER) AS week_of_year, CAST(month(d.week) AS INTEGER) AS month,
+                CAST(month(d.week) IN (11, 12) AS INTEGER) AS is_year_end,
+                CAST(day(d.week) <= 7 OR day(d.week) >= 25 AS INTEGER) AS payday_week,
+                coalesce(CAST(dth.dt > 0 AND dth.dt <= 28 AS INTEGER), 0) AS pre_holiday_4w,
+                coalesce(CAST(dth.dt >= -3 AND dth.dt <= 7 AS INTEGER), 0) AS holiday_week
+         FROM dense d LEFT JOIN dth USING (week)),
+lf0 AS (SELECT d.*, CAST(lag(visits, 1) OVER w AS DOUBLE) AS lag_1, CAST(lag(visits, 2) OVER w AS DOUBLE) AS lag_2,
+               CAST(lag(visits, 3) OVER w AS DOUBLE) AS lag_3, CAST(lag(visits, 4) OVER w AS DOUBLE) AS lag_4,
+               CAST(lag(visits, 8) OVER w AS DOUBLE) AS lag_8, CAST(lag(visits, 12) OVER w AS DOUBLE) AS lag_12,
+               CASE WHEN count(visits) OVER w4 = 4 THEN avg(CAST(visits AS DOUBLE)) OVER w4 END AS roll4_mean,
+               CASE WHEN count(visits) OVER w8 = 8 THEN avg(CAST(visits AS DOUBLE)) OVER w8 END AS roll8_mean,
+               c.week_of_year, c.month, c.is_year_end, c.payday_week, c.pre_holiday_4w, c.holiday_week,
+               CAST(visits AS DOUBLE) AS y
+        FROM dense d JOIN calf c USING (series, week)
+        WINDOW w AS (PARTITION BY series ORDER BY week),
+               w4 AS (PARTITION BY series ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING),
+               w8 AS (PARTITION BY series ORDER BY week ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)),
+lf AS (SELECT * FROM lf0 WHERE lag_12 IS NOT NULL AND roll8_mean IS NOT NULL AND lag_1 IS NOT NULL),
+sp AS (SELECT lf.*, row_number() OVER (PARTITION BY series ORDER BY week DESC)
+                    <= least(12, greatest(4, floor(count(*) OVER (PARTITION BY series) / 6))) AS is_test FROM lf)"""
+
+sql("weekly_demand", WEEKLY + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits, anchor_visits, CAST(revenue AS DOUBLE) AS revenue FROM dense
+""")
+
+sql("branch_weekly_demand", (WEEKLY.replace("SELECT 'ALL' AS series,", "SELECT coalesce(CAST(branch AS VARCHAR), '') AS series,")) + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits, anchor_visits, CAST(revenue AS DOUBLE) AS revenue FROM dense
+""")
+
+sql("calendar_features", WEEKLY + """
+SELECT series, CAST(week AS VARCHAR) AS week, week_of_year, month, is_year_end, payday_week, pre_holiday_4w, holiday_week
+FROM calf
+""")
+
+sql("lag_features", WEEKLY + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits, anchor_visits, lag_1, lag_2, lag_3, lag_4, lag_8, lag_12,
+       roll4_mean, roll8_mean, week_of_year, month, is_year_end, payday_week, pre_holiday_4w, holiday_week, y, is_test
+FROM sp
+""")
+
+NAIVE = WEEKLY + """,
+nb AS (SELECT series, CASE WHEN count(*) = 4 THEN avg(y) END AS naive
+       FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week DESC) AS rk FROM sp WHERE NOT is_test)
+       WHERE rk <= 4 GROUP BY series),
+te AS (SELECT sp.*, nb.naive FROM sp LEFT JOIN nb USING (series) WHERE is_test),
+mp AS (SELECT series, avg(abs(y - naive) / abs(y)) FILTER (WHERE y <> 0) AS mape_naive FROM te GROUP BY series)"""
+
+sql("naive_backtest", NAIVE + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits AS actual_visits,
+       CAST(round_even(naive, 0) AS BIGINT) AS pred_visits_naive, round(mape_naive, 6) AS mape_naive
+FROM te LEFT JOIN mp USING (series)
+""")
+
+sql("recursive_forecast_naive", WEEKLY + """,
+hs AS (SELECT series, list(CAST(visits AS DOUBLE) ORDER BY week) AS h, max(week) AS last_week,
+              sum(visits) AS tv, sum(anchor_visits) AS ta, sum(revenue) AS tr FROM dense GROUP BY series),
+rec AS (
+  SELECT series, 0 AS step, h, NULL::DOUBLE AS pred FROM hs
+  UNION ALL
+  SELECT series, step + 1, list_append(h, p), p
+  FROM (SELECT *, greatest((h[-4] + h[-3] + h[-2] + h[-1]) / 4, 0.0) AS p FROM rec WHERE step < 8)
+),
+f AS (SELECT r.series, CAST(hs.last_week + 7 * r.step AS DATE) AS week, r.pred,
+             CAST(round_even(r.pred, 0) AS BIGINT) AS fv,
+             CAST(hs.ta AS DOUBLE) / greatest(CAST(hs.tv AS DOUBLE), 1.0) AS ar,
+             CAST(hs.tr AS DOUBLE) / greatest(CAST(hs.tv AS DOUBLE), 1.0) AS aov
+      FROM rec r JOIN hs USING (series) WHERE r.step >= 1)
+SELECT series, CAST(week AS VARCHAR) AS week, pred AS forecast_mean, fv AS forecast_visits,
+       CAST(round_even(fv * ar, 0) AS BIGINT) AS forecast_anchor_visits,
+       CAST(round_even(fv * aov, 0) AS BIGINT) AS forecast_revenue,
+       'naive trailing 4-week mean' AS method
+FROM f
+""")
+
+SQL["recursive_forecast_naive"] = SQL["recursive_forecast_naive"].replace("WITH assets AS", "WITH RECURSIVE assets AS", 1)

@@ -245,3 +245,80 @@ def q_conditional_item_rate(spark, d):
     """P(item | anchor visit) for probe items."""
     sv = views(spark, d)
     return basket.conditional_item_rate(sv.lines(*BASKET_COLS), sv.params)
+
+
+# ---------------------------------------------------------------- demand
+from servicelens.operators import demand  # noqa: E402
+
+
+def _weekly(sv, series_cols=()):
+    cols = ["line_id", "visit_id", "visit_date", "price", "is_anchor", "branch", "technician", "asset_id", "meter_km", "item"]
+    v = visits_op.visit_rollup(sv.lines(*cols)) if not series_cols else visits_op.visit_rollup(sv.lines(*cols))
+    return demand.weekly_demand(v, series_cols)
+
+
+def _split(sv):
+    return demand.time_split(demand.lag_features(_weekly(sv), sv.params))
+
+
+@query("weekly_demand")
+def q_weekly_demand(spark, d):
+    """F1-F2: dense weekly series labelled by closing Monday."""
+    return _weekly(views(spark, d))
+
+
+@query("branch_weekly_demand")
+def q_branch_weekly_demand(spark, d):
+    """the weekly series per branch."""
+    return _weekly(views(spark, d), ["branch"])
+
+
+@query("calendar_features")
+def q_calendar_features(spark, d):
+    """Calendar and holiday flags per week."""
+    sv = views(spark, d)
+    return demand.calendar_features(_weekly(sv), sv.params)
+
+
+@query("lag_features")
+def q_lag_features(spark, d):
+    """Supervised frame with lags, trailing means and the test flag."""
+    return _split(views(spark, d)).drop("revenue")
+
+
+@query("naive_backtest")
+def q_naive_backtest(spark, d):
+    """Baseline backtest with MAPE."""
+    b = demand.naive_backtest(_split(views(spark, d)))
+    return b.withColumn("mape_naive", r6(F.col("mape_naive")))
+
+
+@query("recursive_forecast_naive")
+def q_recursive_forecast_naive(spark, d):
+    """F13-F14 with the baseline predictor: 8-week recursive forecast and translation."""
+    sv = views(spark, d)
+    return demand.recursive_forecast(_weekly(sv), sv.params, None)
+
+
+@query("gbt_backtest")
+def q_gbt_backtest(spark, d):
+    """Gradient-boosted trees backtest (rows-only check)."""
+    sv = views(spark, d)
+    return demand.gbt_backtest(_split(sv), sv.params)
+
+
+@query("backtest_by_model")
+def q_backtest_by_model(spark, d):
+    """F16: MAPE per model (rows-only check)."""
+    sv = views(spark, d)
+    return demand.backtest_by_model(demand.gbt_backtest(_split(sv), sv.params))
+
+
+@query("recursive_forecast_gbt")
+def q_recursive_forecast_gbt(spark, d):
+    """GBT refit on all weeks, recursive forecast with a 95% band (rows-only)."""
+    sv = views(spark, d)
+    split = _split(sv)
+    bt = demand.gbt_backtest(split, sv.params)
+    model = demand.fit_gbt(split, sv.params)
+    return demand.prediction_interval(demand.recursive_forecast(_weekly(sv), sv.params, model), bt)

@@ -58,18 +58,38 @@ def km_per_month_expr(acctbal: Column) -> Column:
     return F.lit(300.0) + (F.abs(acctbal) % F.lit(2000.0))
 
 
+_PLAN_CACHE: dict[tuple, DataFrame] = {}
+
+
 class StarViews:
-    """Canonical views over ``{sf_dir}/{table}.parquet``."""
+    """Canonical views over ``{sf_dir}/{table}.parquet``.
+
+    The (lazy) view DataFrames are memoised per session, folder and column
+    set, which only saves driver-side plan construction; no data is cached.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.params = params or star_params()
 
+    def _memo(self, key: tuple, build) -> DataFrame:
+        k = (id(self.spark), self.sf_dir, self.params) + key
+        if k not in _PLAN_CACHE:
+            _PLAN_CACHE[k] = build()
+        return _PLAN_CACHE[k]
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._memo(("table", name), lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def assets(self) -> DataFrame:
+        return self._memo(("assets",), self._assets)
+
+    def lines(self, *columns: str) -> DataFrame:
+        """Service lines with only the lookups the requested columns need."""
+        return self._memo(("lines",) + tuple(columns), lambda: self._lines(*columns))
+
+    def _assets(self) -> DataFrame:
         c = self.table("customer")
         key = F.col("c_custkey")
         seg = None
@@ -94,8 +114,7 @@ class StarViews:
             km_per_month_expr(F.col("c_acctbal")).alias("km_per_month"),
         )
 
-    def lines(self, *columns: str) -> DataFrame:
-        """Service lines with only the lookups the requested columns need."""
+    def _lines(self, *columns: str) -> DataFrame:
         p = self.params
         wanted = set(columns) if columns else {
             "line_id", "visit_id", "asset_id", "visit_date", "meter_km", "branch",
