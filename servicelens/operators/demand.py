@@ -121,6 +121,7 @@ def fit_gbt(train: DataFrame, params: Params):
 
 def gbt_backtest(split: DataFrame, params: Params) -> DataFrame:
     """GBT fitted on the training weeks, scored on the test weeks, next to the baseline."""
+    split = split.persist()
     model = fit_gbt(split.where(~F.col("is_test")), params)
     test = model.transform(split.where(F.col("is_test"))).withColumn("pred", F.greatest(F.col("prediction"), F.lit(0.0)))
     test = test.join(naive_baseline(split), "series", "left")

@@ -322,3 +322,183 @@ def q_recursive_forecast_gbt(spark, d):
     bt = demand.gbt_backtest(split, sv.params)
     model = demand.fit_gbt(split, sv.params)
     return demand.prediction_interval(demand.recursive_forecast(_weekly(sv), sv.params, model), bt)
+
+
+# ---------------------------------------------------------------- customer value
+from servicelens.operators import value  # noqa: E402
+
+ASSET_OWNER_COLS = ("asset_id", "customer_id", "owner_name", "phone", "segment")
+
+
+def _visits_full(sv):
+    return visits_op.build_visits(sv.lines(*VISIT_COLS), sv.assets())
+
+
+def _customers(sv):
+    return value.customer_rollup(_visits_full(sv), sv.lines("visit_date"), sv.params)
+
+
+@query("customer_rollup")
+def q_customer_rollup(spark, d):
+    """Per-owner rollup, recency, tenure, annualised revenue, risk."""
+    return _customers(views(spark, d))
+
+
+@query("value_score")
+def q_value_score(spark, d):
+    """Percentile value score and reactivation priority."""
+    v = value.value_score(_customers(views(spark, d)))
+    return v.select("customer_id", "annualized_revenue", "recency_risk", "value_score", "risk_score",
+                    "priority_reactivation_score")
+
+
+@query("value_segment")
+def q_value_segment(spark, d):
+    """Revenue quartiles and action policy."""
+    v = value.value_segment(_customers(views(spark, d)))
+    return v.select("customer_id", "revenue", "recency_risk", "value_quartile", "value_segment", "action")
+
+
+# ---------------------------------------------------------------- segmentation
+from servicelens.operators import segments  # noqa: E402
+
+
+def _features(sv):
+    lines = sv.lines(*VISIT_COLS)
+    return segments.feature_table(sv.assets(), visits_op.visit_rollup(lines),
+                                  episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params))
+
+
+@query("car_activity")
+def q_car_activity(spark, d):
+    """Per-asset activity, annualised rates and gap means."""
+    sv = views(spark, d)
+    a = segments.car_activity(visits_op.visit_rollup(sv.lines(*VISIT_COLS)))
+    g = segments.gap_means(episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params))
+    return a.join(g, "asset_id", "left")
+
+
+@query("car_features")
+def q_car_features(spark, d):
+    """C4: the clustering feature table."""
+    f = _features(views(spark, d))
+    return f.select("asset_id", "segment", *segments.FILL_ZERO, *[f"x_{c}" for c in segments.X_COLS])
+
+
+@query("standardized_features")
+def q_standardized_features(spark, d):
+    """Z-scores of the clustering inputs (population sd)."""
+    z = segments.standardized(_features(views(spark, d)))
+    return z.select("asset_id", *[r6(F.col(f"z_{c}")).alias(f"z_{c}") for c in segments.X_COLS])
+
+
+@query("segment_profile")
+def q_segment_profile(spark, d):
+    """C8-C9 grouped by the hidden usage segment (deterministic profile)."""
+    p = segments.group_profile(_features(views(spark, d)), "segment")
+    return p.select("segment", "assets", *[r6(F.col(c)).alias(c) for c in
+                                           ("avg_km_per_month", "avg_visits_per_year", "avg_revenue_per_year",
+                                            "avg_gap_days", "avg_anchor_visits")], "top_segment")
+
+
+@query("choose_k")
+def q_choose_k(spark, d):
+    """Silhouette per k (rows-only)."""
+    sv = views(spark, d)
+    return segments.cluster_run(_features(sv), sv.params)[2]
+
+
+def _clusters(sv):
+    return segments.cluster_run(_features(sv), sv.params)[3]
+
+
+@query("final_clusters")
+def q_final_clusters(spark, d):
+    """Cluster label per asset (rows-only)."""
+    return _clusters(views(spark, d)).select("asset_id", "segment", "cluster_id")
+
+
+@query("cluster_profile")
+def q_cluster_profile(spark, d):
+    """Profile per K-Means cluster (rows-only)."""
+    return segments.group_profile(_clusters(views(spark, d)), "cluster_id")
+
+
+@query("cluster_crosstab")
+def q_cluster_crosstab(spark, d):
+    """Cluster x segment row shares (rows-only)."""
+    return segments.cluster_crosstab(_clusters(views(spark, d)))
+
+
+@query("segment_crosstab")
+def q_segment_crosstab(spark, d):
+    """C11: segment x cluster counts (rows-only)."""
+    return segments.segment_crosstab(_clusters(views(spark, d)))
+
+
+# ---------------------------------------------------------------- interval models
+from servicelens.operators import interval  # noqa: E402
+
+
+@query("training_frame")
+def q_training_frame(spark, d):
+    """M1: complete-case episodes for the interval models."""
+    t = interval.training_frame(_episodes(views(spark, d)))
+    return t.select("asset_id", "visit_id", "gap_days", "gap_km", *interval.NUM_COLS[:3], *interval.CAT_COLS)
+
+
+@query("interval_by_segment")
+def q_interval_by_segment(spark, d):
+    """M9: gap statistics per segment (actual gaps)."""
+    sv = views(spark, d)
+    t = interval.interval_by_segment(_episodes(sv), sv.params)
+    return t.withColumn("avg_utilization", r6(F.col("avg_utilization")))
+
+
+@query("log_gap_trend")
+def q_log_gap_trend(spark, d):
+    """M5 (single covariate): per segment regression of log gap on log km/month."""
+    e = _episodes(views(spark, d)).withColumn("x", F.log("km_per_month"))
+    g = e.groupBy("segment").agg(F.regr_count("log_gap_days", "x").alias("n"),
+                                 F.regr_slope("log_gap_days", "x").alias("slope"),
+                                 F.regr_intercept("log_gap_days", "x").alias("intercept"),
+                                 F.regr_r2("log_gap_days", "x").alias("r2"))
+    return g.select("segment", "n", *[r6(F.col(c)).alias(c) for c in ("slope", "intercept", "r2")])
+
+
+@query("log_ols_coefficients")
+def q_log_ols_coefficients(spark, d):
+    """M5: log-normal OLS coefficients with direction and p-value (rows-only)."""
+    sv = views(spark, d)
+    return interval.log_ols(_episodes(sv), sv.params)[1]
+
+
+@query("weibull_aft")
+def q_weibull_aft(spark, d):
+    """M2-M4: Weibull AFT coefficients (rows-only)."""
+    sv = views(spark, d)
+    return interval.weibull_aft(_episodes(sv), sv.params)[1]
+
+
+@query("gbt_interval")
+def q_gbt_interval(spark, d):
+    """M6-M7: GBT interval model feature importances (rows-only)."""
+    sv = views(spark, d)
+    return interval.gbt_interval(_episodes(sv), sv.params.with_(gbt_iters=sv.params.gbt_iters))[1]
+
+
+@query("model_summary")
+def q_model_summary(spark, d):
+    """Interval model fit and forecast backtest summary (rows-only)."""
+    sv = views(spark, d)
+    _, _, s = interval.log_ols(_episodes(sv), sv.params)
+    bt = demand.gbt_backtest(_split(sv), sv.params)
+    m = bt.select(F.first("mape_model").alias("mape_model"), F.first("mape_naive").alias("mape_naive"))
+    lines = sv.lines("visit_date")
+    from servicelens.sources.csv_source import as_of_date
+    return m.select(F.lit(s["method"]).alias("interval_model_method"), F.lit(s["n_episodes"]).alias("n_episodes"),
+                    F.lit(s["r2"]).alias("r2"), F.lit(s["r2_adj"]).alias("r2_adj"),
+                    F.lit(s["residual_sigma"]).alias("residual_sigma"),
+                    F.lit(s["median_actual_gap_days"]).alias("median_actual_gap_days"),
+                    F.lit(s["median_predicted_gap_days"]).alias("median_predicted_gap_days"),
+                    "mape_model", "mape_naive", as_of_date(lines, sv.params).alias("as_of"))
