@@ -73,7 +73,7 @@ def calendar_weight(d: Column, closed_days: Sequence[str], long_holidays: Sequen
                  F.lit(PAYDAY_WEIGHT)).otherwise(F.lit(1.0))
     ahead = F.filter(F.transform(holiday_array(sorted(str(h) for h in long_holidays)), lambda h: F.datediff(h, d)),
                      lambda x: (x > 0) & (x <= SURGE_DAYS))
-    delta = ahead.getItem(0)
+    delta = F.try_element_at(ahead, F.lit(1))
     surge = F.when(delta.isNull(), F.lit(1.0)).otherwise(
         F.lit(1.0) + F.lit(SURGE_PEAK) * (F.lit(1.0) - delta / F.lit(float(SURGE_DAYS))))
     closed = F.array_contains(holiday_array(closed_days), d)

@@ -84,17 +84,19 @@ def capacity_schedule(alerts: DataFrame, forecast: DataFrame, params: Params) ->
     """Ranked targets assigned to forecast weeks within the weekly headroom
     (capacity - forecast visits); targets beyond the horizon's headroom stay unscheduled.
 
-    The cumulative headroom is a horizon-sized array (scalar subquery), so
-    the assignment is a per-row array lookup, not a join.
+    The slot table has one row per forecast week (bounded by the horizon
+    parameter), so it is broadcast into a range join.
     """
     fc = forecast.where(F.col("series") == "ALL").select(
         "week", F.greatest(F.lit(params.weekly_capacity) - F.col("forecast_visits"), F.lit(0)).alias("headroom"))
-    cum = fc.select("week", F.sum("headroom").over(Window.orderBy("week").rowsBetween(Window.unboundedPreceding, 0))
-                    .alias("cum"))
-    arr = cum.select(F.array_sort(F.collect_list(F.struct("cum", "week")))).scalar()
+    w = Window.orderBy("week")
+    slots = fc.select("week", F.sum("headroom").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
+    slots = slots.withColumn("prev", F.coalesce(F.lag("cum").over(w), F.lit(0)))
     ranked = global_row_number(_targets(alerts).select("asset_id", "customer_id", "alert_tier", "priority_score",
                                                        F.coalesce("progress_km", F.lit(-1.0)).alias("_pk")),
                                [F.desc_nulls_last("priority_score"), F.desc("_pk"), F.asc("asset_id")], "target_rank")
-    slot = F.filter(arr, lambda s: s["cum"] >= F.col("target_rank"))
-    return ranked.select("asset_id", "customer_id", "alert_tier", "priority_score", "target_rank",
-                         slot.getItem(0)["week"].alias("scheduled_week"))
+    # range join against the horizon-sized slot table (one row per forecast week)
+    cond = (F.col("target_rank") > F.col("prev")) & (F.col("target_rank") <= F.col("cum"))
+    return ranked.join(F.broadcast(slots), cond, "left").select(
+        "asset_id", "customer_id", "alert_tier", "priority_score", "target_rank",
+        F.col("week").alias("scheduled_week"))

@@ -518,3 +518,229 @@ FROM f
 """)
 
 SQL["recursive_forecast_naive"] = SQL["recursive_forecast_naive"].replace("WITH assets AS", "WITH RECURSIVE assets AS", 1)
+
+
+CUSTOMERS = """,
+vf AS (SELECT v.*, a.customer_id, a.owner_name, a.phone FROM visits v LEFT JOIN assets a USING (asset_id)),
+c0 AS (SELECT customer_id,
+              first(owner_name ORDER BY visit_id) FILTER (WHERE owner_name IS NOT NULL) AS customer_name,
+              first(phone ORDER BY visit_id) FILTER (WHERE phone IS NOT NULL) AS phone,
+              count(DISTINCT asset_id) AS assets, count(*) AS visits,
+              CAST(sum(visit_revenue_d) AS DOUBLE) AS revenue, min(visit_date) AS first_visit, max(visit_date) AS last_visit,
+              count(*) FILTER (WHERE has_anchor) AS anchor_visits
+       FROM vf WHERE customer_id IS NOT NULL GROUP BY customer_id),
+c1 AS (SELECT *, CAST((SELECT max(visit_date) + 1 FROM lines) - last_visit AS INTEGER) AS days_since_last_visit,
+              CAST(greatest(last_visit - first_visit, 30) AS INTEGER) AS tenure_days FROM c0),
+cust AS (SELECT customer_id, customer_name, phone, assets, visits, revenue,
+                CAST(first_visit AS VARCHAR) AS first_visit, CAST(last_visit AS VARCHAR) AS last_visit, anchor_visits,
+                days_since_last_visit, tenure_days, revenue / tenure_days * 365.0::DOUBLE AS annualized_revenue,
+                revenue / visits AS avg_visit_revenue,
+                CASE WHEN days_since_last_visit IS NULL THEN NULL
+                     ELSE least(greatest(days_since_last_visit / 240.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE) END AS recency_risk
+         FROM c1),
+vs0 AS (SELECT cust.*,
+               CASE WHEN annualized_revenue IS NULL THEN NULL ELSE
+                 (CAST(2 * rank() OVER (ORDER BY annualized_revenue) + count(*) OVER (PARTITION BY annualized_revenue) - 1 AS DOUBLE) / 2.0::DOUBLE)
+                 / CAST((SELECT count(annualized_revenue) FROM cust) AS DOUBLE) END AS pct
+        FROM cust),
+vs AS (SELECT *, 100.0::DOUBLE * pct AS value_score, 100.0::DOUBLE * recency_risk AS risk_score,
+              0.6::DOUBLE * (100.0::DOUBLE * pct) + 0.4::DOUBLE * (100.0::DOUBLE * recency_risk) AS priority_reactivation_score
+       FROM vs0),
+vq AS (SELECT vs.*, CAST(ntile(4) OVER (ORDER BY revenue, customer_id) AS INTEGER) AS value_quartile FROM vs),
+vseg AS (SELECT vq.*, CASE value_quartile WHEN 1 THEN 'Low' WHEN 2 THEN 'Medium' WHEN 3 THEN 'High' WHEN 4 THEN 'VIP' END AS value_segment,
+                CASE WHEN value_quartile >= 3 AND recency_risk >= 0.5 THEN 'reactivation campaign'
+                     WHEN value_quartile >= 3 THEN 'premium service reminder'
+                     WHEN recency_risk >= 0.5 THEN 'automated reminder'
+                     ELSE 'standard reminder' END AS action
+         FROM vq)"""
+
+sql("customer_rollup", CUSTOMERS + """
+SELECT * FROM cust
+""", visits=True)
+
+sql("value_score", CUSTOMERS + """
+SELECT customer_id, annualized_revenue, recency_risk, value_score, risk_score, priority_reactivation_score FROM vs
+""", visits=True)
+
+sql("value_segment", CUSTOMERS + """
+SELECT customer_id, revenue, recency_risk, value_quartile, value_segment, action FROM vseg
+""", visits=True)
+
+ACTIVITY = EPISODES + """,
+ca AS (SELECT asset_id, count(*) AS visits, count(*) FILTER (WHERE has_anchor) AS anchor_visits,
+              CAST(sum(visit_revenue_d) AS DOUBLE) AS revenue, avg(n_items) AS avg_items,
+              min(visit_date) AS first_visit, max(visit_date) AS last_visit
+       FROM visits WHERE asset_id IS NOT NULL GROUP BY asset_id),
+ca2 AS (SELECT *, CAST(greatest(last_visit - first_visit, 30) AS INTEGER) AS active_days FROM ca),
+ca3 AS (SELECT *, visits / active_days * 365.0::DOUBLE AS visits_per_year,
+               revenue / active_days * 365.0::DOUBLE AS revenue_per_year FROM ca2),
+gm AS (SELECT asset_id, avg(gap_days) AS avg_gap_days, avg(gap_km) AS avg_gap_km FROM ep GROUP BY asset_id),
+ft AS (SELECT a.asset_id, a.segment, a.km_per_month,
+              coalesce(CAST(ca3.visits AS DOUBLE), 0.0) AS visits, coalesce(CAST(ca3.anchor_visits AS DOUBLE), 0.0) AS anchor_visits,
+              coalesce(ca3.revenue, 0.0) AS revenue, coalesce(ca3.avg_items, 0.0) AS avg_items,
+              coalesce(ca3.visits_per_year, 0.0) AS visits_per_year, coalesce(ca3.revenue_per_year, 0.0) AS revenue_per_year,
+              coalesce(gm.avg_gap_days, 0.0) AS avg_gap_days, coalesce(gm.avg_gap_km, 0.0) AS avg_gap_km,
+              coalesce(CAST(a.km_per_month AS DOUBLE), 0.0) AS x_km_per_month,
+              coalesce(CAST(a.interval_km AS DOUBLE), 0.0) AS x_interval_km,
+              coalesce(CAST(a.model_year AS DOUBLE), 0.0) AS x_model_year
+       FROM assets a LEFT JOIN ca3 USING (asset_id) LEFT JOIN gm USING (asset_id)),
+ftx AS (SELECT *, visits_per_year AS x_visits_per_year, revenue_per_year AS x_revenue_per_year,
+               avg_items AS x_avg_items, avg_gap_days AS x_avg_gap_days FROM ft)"""
+
+sql("car_activity", ACTIVITY + """
+SELECT ca3.asset_id, visits, anchor_visits, revenue, avg_items, CAST(first_visit AS VARCHAR) AS first_visit,
+       CAST(last_visit AS VARCHAR) AS last_visit, active_days, visits_per_year, revenue_per_year, avg_gap_days, avg_gap_km
+FROM ca3 LEFT JOIN gm USING (asset_id)
+""", visits=True)
+
+sql("car_features", ACTIVITY + """
+SELECT asset_id, segment, visits, anchor_visits, revenue, avg_items, visits_per_year, revenue_per_year, avg_gap_days,
+       avg_gap_km, x_km_per_month, x_interval_km, x_model_year, x_visits_per_year, x_revenue_per_year, x_avg_items,
+       x_avg_gap_days
+FROM ftx
+""", visits=True)
+
+_Z = ("km_per_month", "interval_km", "model_year", "visits_per_year", "revenue_per_year", "avg_items", "avg_gap_days")
+sql("standardized_features", ACTIVITY + """,
+st AS (SELECT """ + ", ".join(f"avg(x_{c}) AS m_{c}, stddev_pop(x_{c}) AS s_{c}" for c in _Z) + """ FROM ftx)
+SELECT asset_id, """ + ", ".join(
+    f"round(CASE WHEN s_{c} = 0 THEN 0.0 ELSE (x_{c} - m_{c}) / s_{c} END, 6) AS z_{c}" for c in _Z) + """
+FROM ftx, st
+""", visits=True)
+
+sql("segment_profile", ACTIVITY + """
+SELECT segment, count(DISTINCT asset_id) AS assets, round(avg(km_per_month), 6) AS avg_km_per_month,
+       round(avg(visits_per_year), 6) AS avg_visits_per_year, round(avg(revenue_per_year), 6) AS avg_revenue_per_year,
+       round(avg(avg_gap_days), 6) AS avg_gap_days, round(avg(anchor_visits), 6) AS avg_anchor_visits, segment AS top_segment
+FROM ftx GROUP BY segment
+""", visits=True)
+
+sql("training_frame", EPISODES + """
+SELECT asset_id, visit_id, gap_days, gap_km, km_per_month, interval_km, car_age, fuel, drive, oil_type, segment
+FROM ep WHERE gap_days IS NOT NULL AND km_per_month IS NOT NULL AND interval_km IS NOT NULL AND car_age IS NOT NULL
+  AND gap_km IS NOT NULL AND fuel IS NOT NULL AND drive IS NOT NULL AND oil_type IS NOT NULL AND segment IS NOT NULL
+""")
+
+sql("interval_by_segment", EPISODES + """
+SELECT segment, count(gap_days) AS n_episodes, avg(gap_days) AS avg_gap_days, CAST(median(gap_days) AS DOUBLE) AS median_gap_days,
+       avg(gap_km) AS avg_gap_km, CAST(median(gap_km) AS DOUBLE) AS median_gap_km, round(avg(utilization), 6) AS avg_utilization
+FROM ep WHERE segment IS NOT NULL GROUP BY segment
+""")
+
+sql("log_gap_trend", EPISODES + """
+SELECT segment, CAST(regr_count(log_gap_days, ln(km_per_month)) AS BIGINT) AS n,
+       round(regr_slope(log_gap_days, ln(km_per_month)), 6) AS slope,
+       round(regr_intercept(log_gap_days, ln(km_per_month)), 6) AS intercept,
+       round(regr_r2(log_gap_days, ln(km_per_month)), 6) AS r2
+FROM ep GROUP BY segment
+""")
+
+sql("uplift_scenarios", ALERTS + """,
+tg AS (SELECT count(*) AS n FROM alerts WHERE alert_tier IN ('Warm Reminder', 'High Priority', 'Critical')),
+aov AS (SELECT CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST((SELECT count(DISTINCT visit_id) FROM lines WHERE visit_id IS NOT NULL) AS DOUBLE) AS v FROM lines),
+sc AS (SELECT * FROM (VALUES ('Conservative', 0.08::DOUBLE, 0.03::DOUBLE), ('Base Case', 0.14::DOUBLE, 0.06::DOUBLE),
+                             ('Aggressive', 0.22::DOUBLE, 0.10::DOUBLE)) AS t(scenario, assumed_conversion_rate, assumed_cross_sell_uplift)),
+u AS (SELECT scenario, tg.n AS targetable_assets, assumed_conversion_rate, tg.n * assumed_conversion_rate AS incremental_visits,
+             tg.n * assumed_conversion_rate * aov.v AS incremental_service_revenue, assumed_cross_sell_uplift
+      FROM sc, tg, aov)
+SELECT *, incremental_service_revenue * assumed_cross_sell_uplift AS incremental_cross_sell_revenue,
+       incremental_service_revenue + incremental_service_revenue * assumed_cross_sell_uplift AS total_incremental_revenue
+FROM u
+""")
+
+sql("topn_uplift", ALERTS + """,
+tot AS (SELECT count(*) AS n, count(*) FILTER (WHERE alert_tier IN ('High Priority', 'Critical')) AS urgent FROM alerts),
+av AS (SELECT CAST(sum(visit_revenue_d) AS DOUBLE) / count(*) AS v FROM visits WHERE has_anchor),
+sc AS (SELECT * FROM (VALUES ('Top 100 due reminders', 100), ('Top 250 due reminders', 250), ('All High/Critical reminders', -1)) AS t(scenario, k)),
+u AS (SELECT scenario, CASE WHEN k < 0 THEN tot.urgent ELSE least(CAST(k AS BIGINT), tot.n) END AS target_count, av.v FROM sc, tot, av)
+SELECT scenario, target_count, 0.18::DOUBLE AS assumed_conversion, v AS avg_anchor_visit_value,
+       target_count * 0.18::DOUBLE * v AS estimated_incremental_revenue FROM u
+""", visits=True)
+
+sql("next_best_offer", ALERTS + PAIRWISE + """,
+tg AS (SELECT a.asset_id, a.customer_id, a.alert_tier, a.priority_score, la.last_anchor_visit_id AS visit_id
+       FROM alerts a JOIN la USING (asset_id) WHERE a.alert_tier IN ('Warm Reminder', 'High Priority', 'Critical')),
+bk AS (SELECT visit_id, list(DISTINCT item) AS items FROM lines WHERE visit_id IS NOT NULL AND item IS NOT NULL GROUP BY visit_id),
+tb AS (SELECT tg.*, bk.items FROM tg JOIN bk USING (visit_id)),
+cand AS (SELECT o.asset_id, r.antecedent, r.consequent, r.estimated_rule_revenue, r.lift, r.confidence
+         FROM (SELECT asset_id, items, unnest(items) AS antecedent FROM tb) o JOIN rules r USING (antecedent)
+         WHERE NOT list_contains(o.items, r.consequent)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY estimated_rule_revenue DESC, lift DESC,
+                                                     confidence DESC, antecedent, consequent) AS rk FROM cand) WHERE rk = 1)
+SELECT tb.asset_id, tb.customer_id, tb.alert_tier, tb.priority_score, tb.visit_id, best.antecedent AS offer_because_of,
+       best.consequent AS next_best_offer, best.estimated_rule_revenue, best.lift, best.confidence
+FROM tb LEFT JOIN best USING (asset_id)
+""")
+
+sql("campaign_target_list", ALERTS + CUSTOMERS + """
+SELECT a.asset_id, a.customer_id, a.alert_tier, a.priority_score, v.value_score, v.value_segment, v.action
+FROM alerts a LEFT JOIN vseg v USING (customer_id) WHERE a.alert_tier IN ('Warm Reminder', 'High Priority', 'Critical')
+""", visits=True)
+
+sql("capacity_schedule", WEEKLY + ALERTS + """,
+hs AS (SELECT series, list(CAST(visits AS DOUBLE) ORDER BY week) AS h, max(week) AS last_week FROM dense GROUP BY series),
+rec AS (
+  SELECT series, 0 AS step, h, NULL::DOUBLE AS pred FROM hs
+  UNION ALL
+  SELECT series, step + 1, list_append(h, p), p
+  FROM (SELECT *, greatest((h[-4] + h[-3] + h[-2] + h[-1]) / 4, 0.0) AS p FROM rec WHERE step < 8)),
+fc AS (SELECT CAST(hs.last_week + 7 * r.step AS DATE) AS week, CAST(round_even(r.pred, 0) AS BIGINT) AS fv
+       FROM rec r JOIN hs USING (series) WHERE r.step >= 1),
+sl0 AS (SELECT week, sum(greatest(60 - fv, 0)) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM fc),
+sl AS (SELECT week, cum, coalesce(lag(cum) OVER (ORDER BY week), 0) AS prev FROM sl0),
+tg AS (SELECT asset_id, customer_id, priority_score,
+              CASE WHEN priority_score >= 85 THEN 'Critical' WHEN priority_score >= 70 THEN 'High Priority' ELSE 'Warm Reminder' END AS alert_tier,
+              row_number() OVER (ORDER BY priority_score DESC NULLS LAST, coalesce(progress_km, -1.0) DESC, asset_id ASC) AS target_rank
+       FROM b5 WHERE priority_score >= 55)
+SELECT tg.asset_id, tg.customer_id, tg.alert_tier, round(tg.priority_score, 6) AS priority_score, tg.target_rank,
+       CAST(sl.week AS VARCHAR) AS scheduled_week
+FROM tg LEFT JOIN sl ON tg.target_rank > sl.prev AND tg.target_rank <= sl.cum
+""")
+SQL["capacity_schedule"] = SQL["capacity_schedule"].replace("WITH assets AS", "WITH RECURSIVE assets AS", 1)
+
+sql("classify_item", """,
+names AS (SELECT p_name AS name FROM part UNION SELECT item FROM lines)
+SELECT name, CASE WHEN contains(name, 'Filter') THEN 'Oli & Filter'
+                  WHEN contains(name, 'Tune') OR contains(name, 'Busi') THEN 'Tune Up'
+                  WHEN contains(name, 'Rem') OR contains(name, 'Ban') OR contains(name, 'Spooring') THEN 'Rem & Kaki'
+                  WHEN contains(name, 'Gardan') THEN 'Drivetrain'
+                  WHEN contains(name, 'Coolant') OR contains(name, 'AC') THEN 'Pendingin'
+                  WHEN contains(name, 'Aki') THEN 'Kelistrikan'
+                  ELSE 'Lainnya' END AS category
+FROM names
+""")
+
+sql("interval_rule", """,
+b AS (SELECT asset_id, fuel, oil_type,
+             CASE oil_type WHEN 'Mineral' THEN 4500 WHEN 'Semi-Sintetik' THEN 7000 WHEN 'Full-Sintetik' THEN 9500
+                           WHEN 'Semi-Synthetic' THEN 7000 WHEN 'Full-Synthetic' THEN 9500 END AS base FROM assets)
+SELECT asset_id, fuel, oil_type, CASE WHEN base IS NULL THEN NULL WHEN fuel = 'Diesel' THEN least(base, 6000)
+                                      WHEN fuel = 'Hybrid' THEN greatest(base, 10000) ELSE base END AS rule_interval_km
+FROM b
+""")
+
+sql("calendar_weight", """,
+days AS (SELECT DISTINCT visit_date AS d FROM lines WHERE visit_date IS NOT NULL),
+w AS (SELECT d, CASE isodow(d) WHEN 1 THEN 1.0 WHEN 2 THEN 1.0 WHEN 3 THEN 1.05 WHEN 4 THEN 1.05 WHEN 5 THEN 1.15
+                               WHEN 6 THEN 1.45 WHEN 7 THEN 0.35 END::DOUBLE AS wd,
+             CASE WHEN day(d) >= 25 OR day(d) <= 5 THEN 1.25::DOUBLE ELSE 1.0::DOUBLE END AS pay,
+             (SELECT min(h - d) FROM (SELECT unnest([DATE '1995-03-03', DATE '1996-02-21', DATE '1997-02-09', DATE '1998-01-30', DATE '1999-01-19', DATE '2000-01-08', DATE '2000-12-27', DATE '2001-12-16']) AS h) WHERE h - d > 0 AND h - d <= 21) AS delta,
+             list_contains([DATE '1995-01-01', DATE '1995-03-01', DATE '1995-03-02', DATE '1995-03-03', DATE '1995-03-04', DATE '1995-03-05', DATE '1995-03-06', DATE '1995-06-01', DATE '1995-08-17', DATE '1995-12-25', DATE '1996-01-01', DATE '1996-02-19', DATE '1996-02-20', DATE '1996-02-21', DATE '1996-02-22', DATE '1996-02-23', DATE '1996-02-24', DATE '1996-06-01', DATE '1996-08-17', DATE '1996-12-25', DATE '1997-01-01', DATE '1997-02-07', DATE '1997-02-08', DATE '1997-02-09', DATE '1997-02-10', DATE '1997-02-11', DATE '1997-02-12', DATE '1997-06-01', DATE '1997-08-17', DATE '1997-12-25', DATE '1998-01-01', DATE '1998-01-28', DATE '1998-01-29', DATE '1998-01-30', DATE '1998-01-31', DATE '1998-02-01', DATE '1998-02-02', DATE '1998-06-01', DATE '1998-08-17', DATE '1998-12-25', DATE '1999-01-01', DATE '1999-01-17', DATE '1999-01-18', DATE '1999-01-19', DATE '1999-01-20', DATE '1999-01-21', DATE '1999-01-22', DATE '1999-06-01', DATE '1999-08-17', DATE '1999-12-25', DATE '2000-01-01', DATE '2000-01-06', DATE '2000-01-07', DATE '2000-01-08', DATE '2000-01-09', DATE '2000-01-10', DATE '2000-01-11', DATE '2000-06-01', DATE '2000-08-17', DATE '2000-12-25', DATE '2000-12-26', DATE '2000-12-27', DATE '2000-12-28', DATE '2000-12-29', DATE '2000-12-30', DATE '2001-01-01', DATE '2001-06-01', DATE '2001-08-17', DATE '2001-12-14', DATE '2001-12-15', DATE '2001-12-16', DATE '2001-12-17', DATE '2001-12-18', DATE '2001-12-19', DATE '2001-12-25'], d) AS closed
+      FROM days)
+SELECT CAST(d AS VARCHAR) AS visit_date,
+       CASE WHEN closed THEN 0.15::DOUBLE
+            ELSE wd * pay * CASE WHEN delta IS NULL THEN 1.0::DOUBLE
+                                 ELSE 1.0::DOUBLE + 0.9::DOUBLE * (1.0::DOUBLE - delta / 21.0::DOUBLE) END END AS weight
+FROM w
+""")
+
+sql("clean_lines", """
+SELECT line_id, CAST(visit_id AS VARCHAR) AS visit_id, CAST(asset_id AS VARCHAR) AS asset_id,
+       CAST(visit_date AS VARCHAR) AS visit_date, CAST(meter_km AS DOUBLE) AS meter_km, branch, technician, category, item,
+       qty, price, is_anchor
+FROM lines
+""")
+
+sql("as_of_date", """
+SELECT CAST(max(visit_date) AS VARCHAR) AS max_service_date, CAST(max(visit_date) + 1 AS VARCHAR) AS as_of FROM lines
+""")

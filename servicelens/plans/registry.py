@@ -502,3 +502,104 @@ def q_model_summary(spark, d):
                     F.lit(s["median_actual_gap_days"]).alias("median_actual_gap_days"),
                     F.lit(s["median_predicted_gap_days"]).alias("median_predicted_gap_days"),
                     "mape_model", "mape_naive", as_of_date(lines, sv.params).alias("as_of"))
+
+
+# ---------------------------------------------------------------- decisions
+from servicelens.operators import decisions  # noqa: E402
+
+
+@query("uplift_scenarios")
+def q_uplift_scenarios(spark, d):
+    """Three conversion scenarios over the targetable assets."""
+    sv = views(spark, d)
+    aov = kpi.kpi_summary(sv.lines("visit_id", "visit_date", "price", "is_anchor"), sv.assets()) \
+             .select("avg_order_value").scalar()
+    return decisions.uplift_scenarios(_alerts(sv), aov)
+
+
+@query("topn_uplift")
+def q_topn_uplift(spark, d):
+    """Top-N reminder scenarios x conversion x mean anchor-visit value."""
+    sv = views(spark, d)
+    return decisions.topn_uplift(_alerts(sv), visits_op.visit_rollup(sv.lines(*VISIT_COLS)), sv.params)
+
+
+@query("next_best_offer")
+def q_next_best_offer(spark, d):
+    """Next best offer per targeted asset from the pairwise rules."""
+    sv = views(spark, d)
+    lines = sv.lines(*EPISODE_LINE_COLS)
+    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    nbo = decisions.next_best_offer(_alerts(sv), alerts.last_anchor(lines),
+                                    basket.baskets(sv.lines("visit_id", "item")), rules)
+    return nbo.withColumn("priority_score", r6(F.col("priority_score")))
+
+
+@query("campaign_target_list")
+def q_campaign_target_list(spark, d):
+    """D3: targeted alerts with the owner's value score and segment."""
+    sv = views(spark, d)
+    cust = value.value_segment(value.value_score(_customers(sv)))
+    t = decisions.campaign_target_list(_alerts(sv), cust)
+    return t.select("asset_id", "customer_id", "alert_tier", "priority_score", "value_score", "value_segment", "action") \
+            .withColumn("priority_score", r6(F.col("priority_score")))
+
+
+@query("capacity_schedule")
+def q_capacity_schedule(spark, d):
+    """Ranked targets assigned to forecast weeks within the weekly headroom."""
+    sv = views(spark, d)
+    fc = demand.recursive_forecast(_weekly(sv), sv.params, None)
+    s = decisions.capacity_schedule(_alerts(sv), fc, sv.params)
+    return s.withColumn("priority_score", r6(F.col("priority_score")))
+
+
+# ---------------------------------------------------------------- simulator rules, sources
+from servicelens.functions import calendar as cal_fn  # noqa: E402
+from servicelens.functions import rules as rules_fn  # noqa: E402
+from servicelens.sources import csv_source  # noqa: E402
+
+
+@query("classify_item")
+def q_classify_item(spark, d):
+    """G1: item-name rules applied to every distinct part name and item."""
+    sv = views(spark, d)
+    names = sv.table("part").select(F.col("p_name").alias("name")).union(
+        sv.lines("item").select(F.col("item").alias("name"))).distinct()
+    return names.select("name", rules_fn.classify_item(F.col("name")).alias("category"))
+
+
+@query("interval_rule")
+def q_interval_rule(spark, d):
+    """Km interval rule per asset from fuel and oil type."""
+    a = views(spark, d).assets()
+    return a.select("asset_id", "fuel", "oil_type", rules_fn.interval_rule(F.col("fuel"), F.col("oil_type")).alias("rule_interval_km"))
+
+
+@query("calendar_weight")
+def q_calendar_weight(spark, d):
+    """Demand weight of every service date."""
+    sv = views(spark, d)
+    years = range(1995, 2002)
+    closed = cal_fn.holiday_set(years, sv.params.holidays)
+    days = sv.lines("visit_date").where(F.col("visit_date").isNotNull()).distinct()
+    return days.select("visit_date", cal_fn.calendar_weight(F.col("visit_date"), closed, sv.params.holidays).alias("weight"))
+
+
+@query("clean_lines")
+def q_clean_lines(spark, d):
+    """The lines as text, coerced back (bad values -> NULL, qty default 1)."""
+    sv = views(spark, d)
+    raw = sv.lines().select(*[F.col(c).cast("string").alias(c) for c in
+                              ("line_id", "visit_id", "asset_id", "visit_date", "meter_km", "branch", "technician",
+                               "category", "item", "qty", "price")])
+    return csv_source.clean_lines(raw, sv.params)
+
+
+@query("as_of_date")
+def q_as_of_date(spark, d):
+    """The as-of date (max service date + 1 day)."""
+    sv = views(spark, d)
+    lines = sv.lines("visit_date")
+    return lines.agg(F.max("visit_date").alias("max_service_date")) \
+                .select("max_service_date", csv_source.as_of_date(lines, sv.params).alias("as_of"))
