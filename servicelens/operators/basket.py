@@ -98,24 +98,34 @@ def association_rules(lines: DataFrame, params: Params, itemsets: DataFrame | No
 
 # ------------------------------------------------------------------ pairwise
 def item_visit_counts(lines: DataFrame) -> DataFrame:
-    vi = lines.select("visit_id", "item").where(F.col("visit_id").isNotNull() & F.col("item").isNotNull()).distinct()
-    return vi.groupBy("item").agg(F.count(F.lit(1)).alias("visits"))
+    return _item_counts(baskets(lines))
 
 
-def pair_counts(lines: DataFrame, params: Params) -> DataFrame:
-    """Ordered pairs (a, b) of frequent items with their co-occurrence visit count."""
-    n = transaction_count(lines)
-    vi = lines.select("visit_id", "item").where(F.col("visit_id").isNotNull() & F.col("item").isNotNull())
-    freq = item_visit_counts(lines).where(F.col("visits") / n >= params.min_support).select("item")
-    patterns = (vi.join(freq, "item", "left_semi")
-                .groupBy("visit_id").agg(F.array_sort(F.collect_set("item")).alias("p"))
+def _item_counts(b: DataFrame) -> DataFrame:
+    """Visits per item, from the basket table (no second pass over the lines)."""
+    return b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("visits"))
+
+
+def pair_counts(lines: DataFrame, params: Params, b: DataFrame | None = None) -> DataFrame:
+    """Ordered pairs (a, b) of frequent items with their co-occurrence visit count.
+
+    Everything derives from the basket table (one shuffle of the lines):
+    the transaction count, the frequent-item list (an array bounded by the
+    catalogue, as a scalar subquery), each visit's pattern of frequent items
+    and the pattern counts.
+    """
+    b = b if b is not None else baskets(lines)
+    n = b.select(F.count(F.lit(1))).scalar()
+    frequent = (_item_counts(b).where(F.col("visits") / n >= params.min_support)
+                .select(F.array_sort(F.collect_list("item"))).scalar())
+    patterns = (b.select(F.array_intersect("items", frequent).alias("p"))
                 .where(F.size("p") >= 2)
                 .groupBy("p").agg(F.count(F.lit(1)).alias("w")))
     pairs = patterns.select(
         "w",
         F.explode(F.flatten(F.transform(
-            "p", lambda a: F.transform(F.filter("p", lambda b: b != a),
-                                       lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("ab"))
+            "p", lambda a: F.transform(F.filter("p", lambda x: x != a),
+                                       lambda x: F.struct(a.alias("a"), x.alias("b")))))).alias("ab"))
     return pairs.groupBy(F.col("ab.a").alias("antecedent"), F.col("ab.b").alias("consequent")) \
                 .agg(F.sum("w").alias("cooccurrence_visits"))
 
@@ -126,9 +136,10 @@ def pairwise_rules(lines: DataFrame, params: Params) -> DataFrame:
     Ratios follow the reference's formulas (support ratios, not count
     ratios).  ``conviction`` is NULL as in the reference's pairwise path.
     """
-    n = transaction_count(lines).cast("double")
-    counts = item_visit_counts(lines)
-    pc = pair_counts(lines, params)
+    b = baskets(lines)
+    n = b.select(F.count(F.lit(1))).scalar().cast("double")
+    counts = _item_counts(b)
+    pc = pair_counts(lines, params, b)
     r = (pc.join(counts.select(F.col("item").alias("antecedent"), F.col("visits").alias("antecedent_visits")), "antecedent")
          .join(counts.select(F.col("item").alias("consequent"), F.col("visits").alias("consequent_visits")), "consequent"))
     s_a = F.col("antecedent_visits") / n
