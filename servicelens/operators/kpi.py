@@ -8,44 +8,49 @@ from pyspark.sql import functions as F
 from servicelens.functions.exprs import MONEY, money_avg, money_sum, ratio
 
 
-def _line_totals(lines: DataFrame) -> DataFrame:
-    return lines.agg(
-        F.count(F.lit(1)).alias("service_item_rows"),
-        F.min("visit_date").alias("date_min"),
-        F.max("visit_date").alias("date_max"),
-        F.sum(F.col("price").cast(MONEY)).alias("_total"),
-        F.sum(F.when(F.col("is_anchor"), F.col("price").cast(MONEY))).alias("_anchor"),
+def _per_visit(lines: DataFrame) -> DataFrame:
+    """One pass over the lines: per-visit partial totals (the NULL visit id is its own group)."""
+    price = F.col("price").cast(MONEY)
+    return lines.groupBy("visit_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("visit_date").alias("dmin"), F.max("visit_date").alias("dmax"),
+        F.sum(price).alias("total"),
+        F.sum(F.when(F.col("is_anchor"), price)).alias("anchor"),
+        F.bool_or("is_anchor").alias("a"),
     )
 
 
-def _visit_totals(lines: DataFrame) -> DataFrame:
-    per_visit = (lines.where(F.col("visit_id").isNotNull())
-                 .groupBy("visit_id").agg(F.bool_or("is_anchor").alias("a")))
-    return per_visit.agg(F.count(F.lit(1)).alias("visits"),
-                         F.count_if(F.col("a")).alias("anchor_visits"))
-
-
 def kpi_summary(lines: DataFrame, assets: DataFrame) -> DataFrame:
-    """K1: one wide row.  Three 1-row aggregates combined as scalar subqueries."""
-    t = _line_totals(lines)
-    v = _visit_totals(lines)
+    """K1: one wide row.
+
+    The lines are read once: a per-visit aggregate (map-side combined) is
+    folded into the totals; the asset counts come from a scalar subquery.
+    """
+    pv = _per_visit(lines)
+    t = pv.agg(
+        F.sum("n").alias("service_item_rows"),
+        F.min("dmin").alias("date_min"), F.max("dmax").alias("date_max"),
+        F.sum("total").alias("_total"),
+        F.sum("anchor").alias("_anchor"),
+        F.count("visit_id").alias("visits"),
+        F.count_if(F.col("visit_id").isNotNull() & F.col("a")).alias("anchor_visits"),
+    )
     a = assets.agg(F.count_distinct("customer_id").alias("customers"),
                    F.count_distinct("asset_id").alias("cars"))
-    visits = v.select("visits").scalar()
     total = F.col("_total").cast("double")
     anchor = F.coalesce(F.col("_anchor"), F.lit(0).cast(MONEY))
     return t.select(
         a.select("customers").scalar().alias("customers"),
         a.select("cars").scalar().alias("cars"),
-        visits.alias("visits"),
+        F.col("visits"),
         F.col("service_item_rows"),
         F.col("date_min"), F.col("date_max"),
         total.alias("total_revenue"),
         anchor.cast("double").alias("anchor_revenue"),
         (F.col("_total") - anchor).cast("double").alias("cross_sell_revenue"),
         ratio((F.col("_total") - anchor).cast("double"), total).alias("cross_sell_share"),
-        ratio(total, visits.cast("double")).alias("avg_order_value"),
-        v.select("anchor_visits").scalar().alias("anchor_visits"),
+        ratio(total, F.col("visits").cast("double")).alias("avg_order_value"),
+        F.col("anchor_visits"),
     )
 
 
@@ -118,6 +123,25 @@ def dataset_summary(lines: DataFrame, assets: DataFrame) -> DataFrame:
                     visits.alias("visits"), "lines", "date_min", "date_max", "total_revenue")
 
 
+def executive_summary(kpi_row: DataFrame, rules: DataFrame, forecast: DataFrame, episodes: DataFrame) -> DataFrame:
+    """The report's headline numbers in one row: revenue, order value, anchor visit
+    share, the best rule by estimated revenue, the forecast totals and the episode count."""
+    best = (rules.orderBy(F.desc("estimated_rule_revenue"), F.desc("lift"), F.desc("confidence"), "antecedent",
+                          "consequent").limit(1)
+            .select(F.concat_ws(" → ", "antecedent", "consequent").alias("best_rule"),
+                    F.col("estimated_rule_revenue").alias("best_rule_revenue")))
+    fc = forecast.agg(F.sum("forecast_visits").alias("forecast_visits"), F.sum("forecast_revenue").alias("forecast_revenue"))
+    return kpi_row.select(
+        "total_revenue", "avg_order_value",
+        ratio(F.col("anchor_visits").cast("double"), F.col("visits").cast("double")).alias("anchor_visit_share"),
+        best.select("best_rule").scalar().alias("best_rule"),
+        best.select("best_rule_revenue").scalar().alias("best_rule_revenue"),
+        fc.select("forecast_visits").scalar().alias("forecast_visits"),
+        fc.select("forecast_revenue").scalar().alias("forecast_revenue"),
+        episodes.select(F.count(F.lit(1))).scalar().alias("episodes"),
+    )
+
+
 def segment_distribution(assets: DataFrame) -> DataFrame:
     """Assets per usage segment."""
     return assets.groupBy("segment").agg(F.count(F.lit(1)).alias("assets")).orderBy(F.desc("assets"), "segment")

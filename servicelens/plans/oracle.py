@@ -744,3 +744,27 @@ FROM lines
 sql("as_of_date", """
 SELECT CAST(max(visit_date) AS VARCHAR) AS max_service_date, CAST(max(visit_date) + 1 AS VARCHAR) AS as_of FROM lines
 """)
+
+sql("executive_summary", (WEEKLY + EPISODES.replace(",\nal AS", ",\nal AS", 1) + PAIRWISE.replace(",\nntx AS", ",\nntx AS", 1)).replace("WITH assets", "WITH assets") + """,
+hs AS (SELECT series, list(CAST(visits AS DOUBLE) ORDER BY week) AS h, sum(visits) AS tv, sum(revenue) AS tr FROM dense GROUP BY series),
+rec AS (
+  SELECT series, 0 AS step, h, NULL::DOUBLE AS pred FROM hs
+  UNION ALL
+  SELECT series, step + 1, list_append(h, p), p
+  FROM (SELECT *, greatest((h[-4] + h[-3] + h[-2] + h[-1]) / 4, 0.0) AS p FROM rec WHERE step < 8)),
+fc AS (SELECT CAST(round_even(r.pred, 0) AS BIGINT) AS fv,
+              CAST(round_even(CAST(round_even(r.pred, 0) AS BIGINT) * (CAST(hs.tr AS DOUBLE) / greatest(CAST(hs.tv AS DOUBLE), 1.0)), 0) AS BIGINT) AS frev
+       FROM rec r JOIN hs USING (series) WHERE r.step >= 1),
+k AS (SELECT CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total,
+             count(DISTINCT visit_id) AS visits FROM lines),
+av AS (SELECT count(*) FILTER (WHERE a) AS anchor_visits FROM (SELECT visit_id, bool_or(is_anchor) AS a FROM lines WHERE visit_id IS NOT NULL GROUP BY visit_id)),
+best AS (SELECT antecedent || ' → ' || consequent AS best_rule, estimated_rule_revenue AS best_rule_revenue FROM rules
+         ORDER BY estimated_rule_revenue DESC, lift DESC, confidence DESC, antecedent, consequent LIMIT 1)
+SELECT k.total AS total_revenue, k.total / CAST(k.visits AS DOUBLE) AS avg_order_value,
+       CAST(av.anchor_visits AS DOUBLE) / CAST(k.visits AS DOUBLE) AS anchor_visit_share,
+       (SELECT best_rule FROM best) AS best_rule, (SELECT best_rule_revenue FROM best) AS best_rule_revenue,
+       (SELECT CAST(sum(fv) AS BIGINT) FROM fc) AS forecast_visits, (SELECT CAST(sum(frev) AS BIGINT) FROM fc) AS forecast_revenue,
+       (SELECT count(*) FROM ep) AS episodes
+FROM k, av
+""")
+SQL["executive_summary"] = SQL["executive_summary"].replace("WITH assets AS", "WITH RECURSIVE assets AS", 1)

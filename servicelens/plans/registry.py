@@ -603,3 +603,13 @@ def q_as_of_date(spark, d):
     lines = sv.lines("visit_date")
     return lines.agg(F.max("visit_date").alias("max_service_date")) \
                 .select("max_service_date", csv_source.as_of_date(lines, sv.params).alias("as_of"))
+
+
+@query("executive_summary")
+def q_executive_summary(spark, d):
+    """Headline numbers of the report (KPI, best rule, naive forecast totals, episodes)."""
+    sv = views(spark, d)
+    k = kpi.kpi_summary(sv.lines("visit_id", "visit_date", "price", "is_anchor"), sv.assets())
+    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    fc = demand.recursive_forecast(_weekly(sv), sv.params, None)
+    return kpi.executive_summary(k, rules, fc, _episodes(sv))

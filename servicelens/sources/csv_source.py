@@ -95,3 +95,17 @@ def as_of_date(lines: DataFrame, params: Params) -> Column:
     if params.as_of:
         return F.lit(params.as_of).cast("date")
     return lines.select(F.date_add(F.max("visit_date"), 1)).scalar()
+
+
+# Column order of the denormalised asset master file.
+MASTER_ORDER = ("customer_id", "owner_name", "phone", "address", "district", "postcode", "city", "asset_id", "plate",
+                "model", "trim", "model_year", "fuel", "drive", "transmission", "oil_type", "interval_km", "segment",
+                "km_per_month")
+
+
+def denormalize_master(cars: DataFrame, customers: DataFrame) -> DataFrame:
+    """Assets left-joined to their owner's attributes, in the master file's column order."""
+    owner = customers.select("customer_id", *[c for c in ("owner_name", "phone", "address", "district", "postcode", "city")
+                                              if c in customers.columns and c not in cars.columns])
+    out = cars.join(owner, "customer_id", "left")
+    return out.select(*[F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in MASTER_ORDER])
