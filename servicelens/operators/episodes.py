@@ -61,3 +61,22 @@ def raw_gap_by_segment(lines: DataFrame, assets: DataFrame) -> DataFrame:
             .agg(F.sum("gaps").alias("n_gaps"), F.sum("span").alias("_span"))
             .select("segment", "n_gaps",
                     F.try_divide(F.col("_span").cast("double"), F.col("n_gaps").cast("double")).alias("avg_gap_days")))
+
+
+def open_intervals(lines: DataFrame, assets: DataFrame, params: Params) -> DataFrame:
+    """Right-censored intervals (event = 0): from each asset's last anchor visit to the as-of
+    date, with the km estimated from the asset's monthly distance (option of the AFT model)."""
+    from servicelens.operators.alerts import last_anchor
+    from servicelens.sources.csv_source import as_of_date
+
+    as_of = as_of_date(lines, params)
+    la = last_anchor(lines).join(assets.select("asset_id", *EPISODE_ASSET_COLS), "asset_id", "left")
+    days = F.datediff(as_of, F.col("last_anchor_date"))
+    return (la.where(days > 0)
+            .select("asset_id", F.col("last_anchor_visit_id").alias("visit_id"), *EPISODE_ASSET_COLS,
+                    days.alias("gap_days"),
+                    (days * F.col("km_per_month") / F.lit(30.0)).alias("gap_km"),
+                    F.lit(0).alias("event"),
+                    (F.year(as_of) - F.col("model_year")).alias("car_age"))
+            .withColumn("log_gap_days", F.log(F.col("gap_days").cast("double")))
+            .withColumn("utilization", F.col("gap_km") / F.col("interval_km")))

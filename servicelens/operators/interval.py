@@ -21,7 +21,9 @@ def training_frame(episodes: DataFrame) -> DataFrame:
 def _one_hot(cats, drop_first: bool):
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
 
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep",
+    # treatment coding: alphabetically first level is the reference (dropped);
+    # "keep" would add an unknown slot that dropLast removes instead
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="error" if drop_first else "keep",
                          stringOrderType="alphabetDesc" if drop_first else "alphabetAsc") for c in cats]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats], outputCols=[f"{c}_oh" for c in cats],
                         dropLast=True, handleInvalid="keep" if not drop_first else "error")
@@ -60,12 +62,16 @@ def log_ols(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame,
     s = lrm.summary
     names = _feature_names(scored, "features") + ["const"]
     coefs = [float(x) for x in lrm.coefficients] + [float(lrm.intercept)]
-    pvals = [float(x) for x in s.pValues]
+    try:
+        pvals = [float(x) for x in s.pValues]
+    except Exception:  # noqa: BLE001 - singular design: Spark falls back to L-BFGS, no p-values
+        pvals = [None] * len(coefs)
     rows = [(n, c, "shorter interval" if c < 0 else "longer interval", p) for n, c, p in zip(names, coefs, pvals)]
     spark = episodes.sparkSession
     coef = spark.createDataFrame(rows, "feature string, coef_log_days double, direction string, p_value double") \
                 .orderBy("p_value")
-    sigma = (s.residuals.select(F.sqrt(F.sum(F.col("residuals") ** 2) / F.lit(float(s.degreesOfFreedom)))).first()[0])
+    sigma = (scored.select(F.sqrt(F.sum((F.col("log_gap_days") - F.col("prediction")) ** 2)
+                                  / F.lit(float(max(s.numInstances - len(coefs), 1))))).first()[0])
     med = scored.agg(F.median("gap_days").alias("a"), F.median("pred_gap_days").alias("p")).first()
     summary = {"n_episodes": int(s.numInstances), "r2": float(s.r2), "r2_adj": float(s.r2adj),
                "residual_sigma": float(sigma), "median_actual_gap_days": float(med["a"]),
@@ -73,24 +79,33 @@ def log_ols(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame,
     return scored, coef, summary
 
 
-def weibull_aft(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, dict]:
-    """M2-M4, M8: Weibull accelerated failure time model (every episode observed).
+def weibull_aft(episodes: DataFrame, params: Params, leak_free: bool = False,
+                censored: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """M2-M4, M8: Weibull accelerated failure time model.
 
-    Predicted median duration clipped to 10..500 days; coefficient table
-    with intercept and log-scale; R² of log duration.  Spark's AFT has no
-    ridge penalty.
+    Default as in the reference: every episode observed and ``gap_km`` (part
+    of the outcome) used as a covariate.  ``leak_free`` drops ``gap_km``;
+    ``censored`` (see ``episodes.open_intervals``) appends the open interval
+    of every asset as a right-censored row.  Predicted median duration
+    clipped to 10..500 days; coefficient table with intercept and log-scale;
+    R² of log duration on the observed rows.  Spark's AFT has no ridge penalty.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import AFTSurvivalRegression
 
-    t = training_frame(episodes).withColumn("censor", F.lit(1.0)) \
-        .withColumn("label", F.col("gap_days").cast("double"))
+    num = [c for c in NUM_COLS if not (leak_free and c == "gap_km")]
+    t = training_frame(episodes).withColumn("censor", F.lit(1.0))
+    if censored is not None:
+        cols = ["asset_id", "visit_id", "gap_days", "gap_km", *NUM_COLS[:3], *CAT_COLS]
+        t = t.select(*cols, "censor").unionByName(
+            training_frame(censored).select(*cols, F.lit(0.0).alias("censor")), allowMissingColumns=True)
+    t = t.withColumn("label", F.col("gap_days").cast("double"))
     for c in NUM_COLS:
         t = t.withColumn(c, F.col(c).cast("double"))
     t = t.persist()
     idx, ohe = _one_hot(CAT_COLS, drop_first=True)
-    asm = VectorAssembler(inputCols=[*NUM_COLS, *[f"{c}_oh" for c in CAT_COLS]], outputCol="features")
+    asm = VectorAssembler(inputCols=[*num, *[f"{c}_oh" for c in CAT_COLS]], outputCol="features")
     aft = AFTSurvivalRegression(featuresCol="features", labelCol="label", censorCol="censor",
                                 quantileProbabilities=[0.5], quantilesCol="quantiles")
     model = Pipeline(stages=[*idx, ohe, asm, aft]).fit(t)
@@ -103,7 +118,8 @@ def weibull_aft(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFra
     rows = [(n, float(c)) for n, c in zip(names, m.coefficients)] + [("intercept", float(m.intercept)),
                                                                       ("log_scale", float(m.scale))]
     coef = episodes.sparkSession.createDataFrame(rows, "feature string, coef double")
-    r2 = _r2(scored, F.log(F.col("gap_days").cast("double")), F.log("pred_gap_days"))
+    observed = scored.where(F.col("censor") == 1.0)
+    r2 = _r2(observed, F.log(F.col("gap_days").cast("double")), F.log("pred_gap_days"))
     return scored, coef, {"method": "Weibull AFT", "n_episodes": None, "r2_log_duration": r2}
 
 

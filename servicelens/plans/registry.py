@@ -613,3 +613,12 @@ def q_executive_summary(spark, d):
     rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
     fc = demand.recursive_forecast(_weekly(sv), sv.params, None)
     return kpi.executive_summary(k, rules, fc, _episodes(sv))
+
+
+@query("weibull_aft_censored")
+def q_weibull_aft_censored(spark, d):
+    """M2 option: leak-free AFT with every asset's open interval as a censored row (rows-only)."""
+    sv = views(spark, d)
+    lines = sv.lines(*EPISODE_LINE_COLS)
+    cens = episodes.open_intervals(lines, sv.assets(), sv.params)
+    return interval.weibull_aft(_episodes(sv), sv.params, leak_free=True, censored=cens)[1]
