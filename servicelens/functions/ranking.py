@@ -24,12 +24,18 @@ _PID_SHIFT = 33  # monotonically_increasing_id() = (partition id << 33) + positi
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
                       partitions: int | None = None) -> DataFrame:
     """1-based position of every row in ``order`` (which must be a total order)."""
+    from pyspark.storagelevel import StorageLevel
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # the range partitioner samples its input before shuffling it: persist so
+    # the input is computed once for both passes
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    s = (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__mid", F.monotonically_increasing_id()))
     s = cut_lineage(s)
+    src.unpersist()
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",

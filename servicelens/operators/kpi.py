@@ -87,16 +87,25 @@ def kpi_long(lines: DataFrame, assets: DataFrame) -> DataFrame:
 
 
 def _revenue_by(lines: DataFrame, key: str, with_avg: bool) -> DataFrame:
+    """Revenue, rows, distinct visits (and mean price) per key, plus the share of the total.
+
+    The total is summed from the grouped rows (exact decimals), so its
+    scalar subquery shares the aggregate's exchange instead of re-reading
+    the lines.
+    """
     aggs = [
-        money_sum("price").alias("revenue"),
+        F.sum(F.col("price").cast(MONEY)).alias("_rev"),
         F.count("line_id").alias("rows"),
         F.count_distinct("visit_id").alias("visits"),
     ]
     if with_avg:
         aggs.append(money_avg("price").alias("avg_price"))
     g = lines.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
-    total = lines.where(F.col(key).isNotNull()).select(money_sum("price")).scalar()
-    return g.withColumn("revenue_share", ratio(F.col("revenue"), total)).orderBy(F.desc("revenue"), key)
+    total = g.select(F.sum("_rev").cast("double")).scalar()
+    out = g.withColumn("revenue", F.col("_rev").cast("double"))
+    cols = [key, "revenue", "rows", "visits"] + (["avg_price"] if with_avg else [])
+    return (out.withColumn("revenue_share", ratio(F.col("revenue"), total))
+            .select(*cols, "revenue_share").orderBy(F.desc("revenue"), key))
 
 
 def revenue_by_category(lines: DataFrame) -> DataFrame:

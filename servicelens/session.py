@@ -49,6 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder (survives executor loss)."""
+    """Materialise ``df`` into the reliable checkpoint folder (survives executor loss).
+
+    The frame is persisted first: an eager checkpoint runs one job to compute
+    the rows and another to write them, which would otherwise recompute it.
+    """
+    from pyspark.storagelevel import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
