@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from servicelens.functions.stats import exact_median
 from servicelens.params import Params
 
 NUM_COLS = ("km_per_month", "interval_km", "car_age", "gap_km")
@@ -160,13 +161,22 @@ def _r2(df: DataFrame, y, p) -> float:
 
 def interval_by_segment(episodes: DataFrame, params: Params, scored: bool = False) -> DataFrame:
     """M9: per segment episode count, mean / median gap days and km, mean utilisation
-    (+ mean predicted gap when scored).  Medians are exact per segment (value->count
-    map, map-side combined) or approximate when ``exact_median`` is off."""
-    med = (lambda c: F.median(c)) if params.exact_median else (lambda c: F.percentile_approx(c, 0.5, 10000).cast("double"))
+    (+ mean predicted gap when scored).  Medians are exact (``functions.stats``,
+    spill-safe) or approximate when ``exact_median`` is off."""
+    ep = episodes.where(F.col("segment").isNotNull())
     aggs = [F.count("gap_days").alias("n_episodes"), F.avg("gap_days").alias("avg_gap_days"),
-            med("gap_days").alias("median_gap_days"), F.avg("gap_km").alias("avg_gap_km"),
-            med("gap_km").alias("median_gap_km"), F.avg("utilization").alias("avg_utilization")]
+            F.avg("gap_km").alias("avg_gap_km"), F.avg("utilization").alias("avg_utilization")]
     if scored:
         aggs.append(F.avg("pred_gap_days").alias("avg_pred_gap_days"))
-    return (episodes.where(F.col("segment").isNotNull()).groupBy("segment").agg(*aggs)
+    g = ep.groupBy("segment").agg(*aggs)
+    if params.exact_median:
+        g = (g.join(exact_median(ep, ["segment"], "gap_days", "median_gap_days"), "segment", "left")
+              .join(exact_median(ep, ["segment"], "gap_km", "median_gap_km"), "segment", "left"))
+    else:
+        approx = ep.groupBy("segment").agg(
+            F.percentile_approx("gap_days", 0.5, 10000).cast("double").alias("median_gap_days"),
+            F.percentile_approx("gap_km", 0.5, 10000).cast("double").alias("median_gap_km"))
+        g = g.join(approx, "segment", "left")
+    cols = ["segment", "n_episodes", "avg_gap_days", "median_gap_days", "avg_gap_km", "median_gap_km", "avg_utilization"]
+    return (g.select(*cols, *(["avg_pred_gap_days"] if scored else []))
             .orderBy("avg_gap_days"))

@@ -138,3 +138,17 @@ def test_pairwise_rules_lift_symmetric(spark):
     rules = {(r.antecedent, r.consequent): r for r in basket.pairwise_rules(lines, Params(min_support=0.2, min_lift=0.0)).collect()}
     assert abs(rules[("a", "b")].lift - rules[("b", "a")].lift) < 1e-12
     assert rules[("a", "b")].cooccurrence_visits == 2 and rules[("a", "b")].antecedent_visits == 3
+
+
+def test_exact_median_matches_percentile(spark):
+    from servicelens.functions.stats import exact_median
+
+    rows = [("hot", float(i % 97)) for i in range(2001)] + [("even", 1.0), ("even", 4.0), ("even", 2.5), ("even", 10.0)] \
+        + [("one", 7.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert got.get("nulls") is None and want["nulls"] is None
+    assert {k: v for k, v in got.items() if v is not None} == {k: v for k, v in want.items() if v is not None}
+    overall = exact_median(df, [], "v", "m").first().m
+    assert overall == df.select(F.median("v")).first()[0]
