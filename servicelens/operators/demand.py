@@ -114,9 +114,11 @@ def fit_gbt(train: DataFrame, params: Params):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
 
+    from servicelens.session import sized_for_fit
+
     gbt = GBTRegressor(featuresCol="features", labelCol="y", maxIter=params.gbt_iters, stepSize=0.04,
                        maxDepth=3, seed=params.seed, lossType="squared")
-    return Pipeline(stages=[_assembler(), gbt]).fit(train)
+    return Pipeline(stages=[_assembler(), gbt]).fit(sized_for_fit(train))
 
 
 def gbt_backtest(split: DataFrame, params: Params) -> DataFrame:

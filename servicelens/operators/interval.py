@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from servicelens.functions.stats import exact_median
 from servicelens.params import Params
+from servicelens.session import sized_for_fit
 
 NUM_COLS = ("km_per_month", "interval_km", "car_age", "gap_km")
 CAT_COLS = ("fuel", "drive", "oil_type", "segment")
@@ -134,7 +135,7 @@ def gbt_interval(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFr
     t = training_frame(episodes)
     for c in NUM_COLS:
         t = t.withColumn(c, F.col(c).cast("double"))
-    t = t.persist()
+    t = sized_for_fit(t)
     imp = Imputer(inputCols=list(NUM_COLS), outputCols=[f"{c}_imp" for c in NUM_COLS], strategy="median")
     idx, ohe = _one_hot(CAT_COLS, drop_first=False)
     asm = VectorAssembler(inputCols=[*[f"{c}_imp" for c in NUM_COLS], *[f"{c}_oh" for c in CAT_COLS]],

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from servicelens.functions.exprs import MONEY
 from servicelens.params import Params
+from servicelens.session import sized_for_fit
 
 MIN_ACTIVE_DAYS = 30
-ROWS_PER_PARTITION = 500_000
 FILL_ZERO = ("visits", "anchor_visits", "revenue", "avg_items", "visits_per_year", "revenue_per_year",
              "avg_gap_days", "avg_gap_km")
 X_COLS = ("km_per_month", "interval_km", "model_year", "visits_per_year", "revenue_per_year", "avg_items",
@@ -99,12 +99,9 @@ def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5), parallelism:
     """
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    data = _vectors(features)
-    # partitions sized by rows (~500k per partition): many tiny partitions only
-    # add per-task overhead to each of the restart fits
-    rows = data.count()
-    data = data.repartition(max(1, rows // ROWS_PER_PARTITION)).persist()
-    data.count()
+    # partitions sized by rows: many tiny partitions only add per-task
+    # overhead to each job of each restart fit
+    data = sized_for_fit(_vectors(features))
     seeds = [params.seed + i for i in range(params.kmeans_restarts)]
     models = _fit_many(data, [(k, s) for k in ks for s in seeds], parallelism)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
