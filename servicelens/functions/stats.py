@@ -29,3 +29,21 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
                              F.min(F.when(F.col("__cum") >= hi, F.col(value))).alias("__hi"))
     lo_v, hi_v = F.col("__lo").cast("double"), F.col("__hi").cast("double")
     return g.select(*keys, (lo_v + (hi_v - lo_v) * F.lit(0.5)).alias(out))
+
+
+def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Exact median per group, choosing the plan by the column's domain.
+
+    Integral columns (day gaps, km readings) have a physically bounded
+    number of distinct values, so Spark's ``median`` (a value->count map per
+    group, map-side combined) is memory-bounded and cheapest; other columns
+    (e.g. model predictions, one distinct value per row) use
+    ``exact_median``, which sorts and spills instead of holding the map.
+    """
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        if keys:
+            return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.median(value).alias(out))
+        return df.agg(F.median(value).alias(out))
+    return exact_median(df, keys, value, out)

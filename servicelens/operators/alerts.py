@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from servicelens.functions.exprs import LINE_ORDER, clip, first_word, half_even
-from servicelens.functions.stats import exact_median
+from servicelens.functions.stats import grouped_median
 from servicelens.params import Params
 from servicelens.sources.csv_source import as_of_date
 
@@ -41,8 +41,8 @@ def segment_interval(episodes: DataFrame, value: str, params: Params) -> tuple[D
     """A4 lookup: per-segment median of ``value`` and the global median (fallback)."""
     ep = episodes.where(F.col("segment").isNotNull())
     if params.exact_median:
-        seg = exact_median(ep, ["segment"], value, "segment_interval")
-        overall = exact_median(episodes, [], value, "m").select("m").scalar()
+        seg = grouped_median(ep, ["segment"], value, "segment_interval")
+        overall = grouped_median(episodes, [], value, "m").select("m").scalar()
         return seg, overall
     agg = F.percentile_approx(value, 0.5, 10000).cast("double")
     seg = ep.groupBy("segment").agg(agg.alias("segment_interval"))

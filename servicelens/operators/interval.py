@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from servicelens.functions.stats import exact_median
 from servicelens.params import Params
@@ -162,8 +163,10 @@ def _r2(df: DataFrame, y, p) -> float:
 
 def interval_by_segment(episodes: DataFrame, params: Params, scored: bool = False) -> DataFrame:
     """M9: per segment episode count, mean / median gap days and km, mean utilisation
-    (+ mean predicted gap when scored).  Medians are exact (``functions.stats``,
-    spill-safe) or approximate when ``exact_median`` is off."""
+    (+ mean predicted gap when scored).  Medians are exact -- Spark's map-based
+    ``median`` for the integral gap columns (bounded domains), the spill-safe
+    ``functions.stats.exact_median`` otherwise -- or approximate when
+    ``exact_median`` is off."""
     ep = episodes.where(F.col("segment").isNotNull())
     aggs = [F.count("gap_days").alias("n_episodes"), F.avg("gap_days").alias("avg_gap_days"),
             F.avg("gap_km").alias("avg_gap_km"), F.avg("utilization").alias("avg_utilization")]
@@ -171,8 +174,12 @@ def interval_by_segment(episodes: DataFrame, params: Params, scored: bool = Fals
         aggs.append(F.avg("pred_gap_days").alias("avg_pred_gap_days"))
     g = ep.groupBy("segment").agg(*aggs)
     if params.exact_median:
-        g = (g.join(exact_median(ep, ["segment"], "gap_days", "median_gap_days"), "segment", "left")
-              .join(exact_median(ep, ["segment"], "gap_km", "median_gap_km"), "segment", "left"))
+        med = ep.groupBy("segment").agg(F.median("gap_days").alias("median_gap_days"),
+                                        F.median("gap_km").alias("median_gap_km")) \
+            if all(isinstance(ep.schema[c].dataType, T.IntegralType) for c in ("gap_days", "gap_km")) else \
+            exact_median(ep, ["segment"], "gap_days", "median_gap_days").join(
+                exact_median(ep, ["segment"], "gap_km", "median_gap_km"), "segment")
+        g = g.join(med, "segment", "left")
     else:
         approx = ep.groupBy("segment").agg(
             F.percentile_approx("gap_days", 0.5, 10000).cast("double").alias("median_gap_days"),
