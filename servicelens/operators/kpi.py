@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from servicelens.functions.exprs import MONEY, money_avg, money_sum, ratio
@@ -89,9 +89,10 @@ def kpi_long(lines: DataFrame, assets: DataFrame) -> DataFrame:
 def _revenue_by(lines: DataFrame, key: str, with_avg: bool) -> DataFrame:
     """Revenue, rows, distinct visits (and mean price) per key, plus the share of the total.
 
-    The total is summed from the grouped rows (exact decimals), so its
-    scalar subquery shares the aggregate's exchange instead of re-reading
-    the lines.
+    The total is summed over the grouped rows (exact decimals) with a window
+    over the aggregate -- one row per key, bounded by the key's domain -- so
+    the lines are read once (a scalar subquery would be pruned to a
+    different aggregate and re-read them).
     """
     aggs = [
         F.sum(F.col("price").cast(MONEY)).alias("_rev"),
@@ -101,7 +102,7 @@ def _revenue_by(lines: DataFrame, key: str, with_avg: bool) -> DataFrame:
     if with_avg:
         aggs.append(money_avg("price").alias("avg_price"))
     g = lines.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
-    total = g.select(F.sum("_rev").cast("double")).scalar()
+    total = F.sum("_rev").over(Window.partitionBy()).cast("double")
     out = g.withColumn("revenue", F.col("_rev").cast("double"))
     cols = [key, "revenue", "rows", "visits"] + (["avg_price"] if with_avg else [])
     return (out.withColumn("revenue_share", ratio(F.col("revenue"), total))
