@@ -59,7 +59,9 @@ def clean_lines(raw: DataFrame, params: Params) -> DataFrame:
 
 
 def anchor_flag(params: Params) -> Column:
-    return F.coalesce(F.col(params.anchor_column) == F.lit(params.anchor_value), F.lit(False))
+    """Anchor-line flag; never NULL, and written with pushable predicates."""
+    a = F.col(params.anchor_column)
+    return (a == F.lit(params.anchor_value)) & a.isNotNull()
 
 
 def clean_assets(raw: DataFrame) -> DataFrame:

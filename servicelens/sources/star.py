@@ -164,7 +164,10 @@ class StarViews:
         cols = [exprs[c].alias(c) for c in exprs if c in wanted]
         df = df.select(*cols)
         if "is_anchor" in wanted:
-            df = df.withColumn("is_anchor", F.coalesce(F.col(p.anchor_column) == F.lit(p.anchor_value), F.lit(False)))
+            # same truth table as coalesce(col = value, false), but made of
+            # predicates Parquet accepts, so `where(is_anchor)` is pushed into the scan
+            a = F.col(p.anchor_column)
+            df = df.withColumn("is_anchor", (a == F.lit(p.anchor_value)) & a.isNotNull())
         order = [c for c in list(exprs) + ["is_anchor"] if c in (set(columns) if columns else wanted)]
         return df.select(*order)
 
