@@ -55,8 +55,9 @@ def average_percent_rank(df: DataFrame, value: str, tiebreak: Sequence[str], out
     per value.  NULL values get a NULL rank.
     """
     nn = df.where(F.col(value).isNotNull())
-    n = nn.select(F.count(F.lit(1))).scalar()
     ranked = global_row_number(nn.select(value, *tiebreak), [value, *tiebreak], "__rn")
+    # the count is the last position (read from the checkpointed ranking, no extra pass)
+    n = ranked.select(F.max("__rn")).scalar()
     per_value = ranked.groupBy(value).agg(((F.min("__rn") + F.max("__rn")) / 2.0).alias("__avg"))
     return (df.join(per_value, value, "left")
               .withColumn(out, F.col("__avg") / n).drop("__avg"))
