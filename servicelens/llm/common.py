@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,21 @@ from pyspark.sql import functions as F
 from servicelens.session import ensure_checkpoint_dir
 
 
+def one_blas_thread() -> None:
+    """Keep numpy's linear algebra to the calling thread.
+
+    Spark runs a task on each core already, and OpenBLAS's own threads were
+    seen to wait for each other forever in a driver that has a JVM below it.
+    """
+    for lib in (Path(np.__file__).parent.parent / "numpy.libs").glob("*openblas*"):
+        put = getattr(ctypes.CDLL(str(lib)), "scipy_openblas_set_num_threads64_", None)
+        if put:
+            put(1)
+
+
+one_blas_thread()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
