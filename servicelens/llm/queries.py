@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from servicelens.llm.common import table
+from servicelens.llm.decontaminate import benchmark_leaks
 from servicelens.llm.quality import score_quality
 from servicelens.llm.simhash_dedup import simhash_dedup
 
@@ -19,9 +20,14 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}
