@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from servicelens.llm.chat import rotate
 from servicelens.llm.common import table
 from servicelens.llm.decontaminate import benchmark_leaks
+from servicelens.llm.mixing import MixParams, mixed
+from servicelens.llm.mtree import top_k
+from servicelens.llm.oracles import CHAT_SQL, TOP_K_SQL, mixing_sql, sharding_sql
 from servicelens.llm.quality import score_quality
+from servicelens.llm.sharding import ShardParams, with_shard
 from servicelens.llm.simhash_dedup import simhash_dedup
 
 
@@ -16,18 +22,49 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), MixParams(), keep=["doc_id", "source"]).select(
+        "doc_id", "source", F.col("__epoch").alias("epoch"), F.col("__order").alias("position")
+    )
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    return rotate(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "perspective", "part", F.col("n_turns").cast("long").alias("n_turns"), F.length("text").cast("long").alias("n_chars"),
+        F.md5("text").alias("text_md5"), F.array_join(spans, ",").alias("spans"),
+    )
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_shard(table(spark, sf_dir, "documents"), ShardParams()).select("doc_id", "shard")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, query_mod=20)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_source_mixing": op3_source_mixing,
+    "op4_chat_formatting": op4_chat_formatting,
+    "op5_sharding": op5_sharding,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_topk_search": op8_topk_search,
     "op10_decontamination": op10_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_source_mixing": mixing_sql(MixParams()),
+    "op4_chat_formatting": CHAT_SQL,
+    "op5_sharding": sharding_sql(ShardParams()),
+    "op8_topk_search": TOP_K_SQL,
+}
