@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from servicelens.llm.chat import rotate
 from servicelens.llm.common import table
 from servicelens.llm.decontaminate import benchmark_leaks
+from servicelens.llm.language_id import identify_language
 from servicelens.llm.mixing import MixParams, mixed
 from servicelens.llm.mtree import top_k
 from servicelens.llm.oracles import CHAT_SQL, TOP_K_SQL, mixing_sql, sharding_sql
 from servicelens.llm.quality import score_quality
 from servicelens.llm.sharding import ShardParams, with_shard
 from servicelens.llm.simhash_dedup import simhash_dedup
+from servicelens.llm.toxicity import score_toxicity
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +42,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_shard(table(spark, sf_dir, "documents"), ShardParams()).select("doc_id", "shard")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=4, distance=4)
 
@@ -48,6 +54,10 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=20, query_mod=20)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,8 +67,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": op3_source_mixing,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_sharding": op5_sharding,
+    "op6_language_id": op6_language_id,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_topk_search": op8_topk_search,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
