@@ -17,9 +17,14 @@ from servicelens.llm.oracles import CHAT_SQL, TOP_K_SQL, mixing_sql, sharding_sq
 from servicelens.llm.quality import score_quality
 from servicelens.llm.sharding import ShardParams, with_shard
 from servicelens.llm.simhash_dedup import simhash_dedup
+from servicelens.llm.substring_dedup import duplicate_spans
 from servicelens.llm.toxicity import score_toxicity
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_spans(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_source_mixing": op3_source_mixing,
     "op4_chat_formatting": op4_chat_formatting,
