@@ -5,9 +5,10 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from servicelens.plans.oracle import SQL
 from tests.conftest import SF0001
 
-ORACLES = E.oracle_sql()
+ORACLES = SQL
 
 
 def _norm(v):
