@@ -59,7 +59,8 @@ def ngram_counts(text: str | None, p: LangParams) -> tuple[np.ndarray, np.ndarra
         return np.empty(0, np.int64), np.empty(0, np.int64)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # a letter, or the first other character after one
-    code = np.concatenate(([SPACE], np.where(letter, code, SPACE)[keep], [SPACE])).astype(np.uint64)
+    keep = np.where(letter, code, SPACE)[keep]
+    code = np.concatenate(([SPACE], keep, [SPACE] * bool(keep[-1] != SPACE))).astype(np.uint64)
     total = np.zeros(p.buckets, np.int64)
     for at in range(0, len(code), STEP):
         part = code[at : at + STEP + max(p.sizes) - 1]
