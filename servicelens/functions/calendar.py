@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Calendar windows of the reference's demand features.
@@ -54,16 +54,28 @@ FIXED_HOLIDAYS_MD = ((1, 1), (8, 17), (12, 25), (6, 1))
 LONG_HOLIDAY_OFFSETS = range(-2, 4)
 
 
-def holiday_set(years: Sequence[int], long_holidays: Sequence[str]) -> list[str]:
-    """Closed days: fixed month/day holidays of each year plus -2..+3 days around each long holiday."""
-    days = {dt.date(y, m, d) for y in years for m, d in FIXED_HOLIDAYS_MD}
-    for h in long_holidays:
-        base = dt.date.fromisoformat(str(h))
-        days |= {base + dt.timedelta(days=k) for k in LONG_HOLIDAY_OFFSETS}
-    return sorted(str(d) for d in days)
+def is_closed_day(d: Column, long_holidays: Sequence[str]) -> Column:
+    """Fixed month/day holidays of any year, and -2..+3 days around each long holiday."""
+    fixed = (F.month(d) * 100 + F.dayofmonth(d)).isin(*[100 * m + day for m, day in FIXED_HOLIDAYS_MD])
+    around = F.exists(holiday_array(long_holidays),
+                      lambda h: F.datediff(d, h).between(LONG_HOLIDAY_OFFSETS[0], LONG_HOLIDAY_OFFSETS[-1]))
+    return fixed | around
 
 
-def calendar_weight(d: Column, closed_days: Sequence[str], long_holidays: Sequence[str]) -> Column:
+def calendar_coverage(days: DataFrame, col: str, long_holidays: Sequence[str]) -> DataFrame:
+    """Dates within the known moving holidays, and before or after them.
+
+    The moving holidays are a list of given dates: flags of dates beyond the
+    last one are not known, so a run should report how many there are.
+    """
+    first, last = (F.lit(str(x)).cast("date") for x in (min(map(str, long_holidays)), max(map(str, long_holidays))))
+    c = F.col(col)
+    return days.where(c.isNotNull()).agg(
+        F.count_if(c < first).alias("before_calendar"), F.count_if(c.between(first, last)).alias("in_calendar"),
+        F.count_if(c > last).alias("after_calendar"))
+
+
+def calendar_weight(d: Column, long_holidays: Sequence[str]) -> Column:
     """Weekday x payday x pre-holiday surge multiplier; closed days weigh 0.15."""
     iso_dow = ((F.dayofweek(d) + 5) % 7) + 1
     wd = None
@@ -76,5 +88,4 @@ def calendar_weight(d: Column, closed_days: Sequence[str], long_holidays: Sequen
     delta = F.try_element_at(ahead, F.lit(1))
     surge = F.when(delta.isNull(), F.lit(1.0)).otherwise(
         F.lit(1.0) + F.lit(SURGE_PEAK) * (F.lit(1.0) - delta / F.lit(float(SURGE_DAYS))))
-    closed = F.array_contains(holiday_array(closed_days), d)
-    return F.when(closed, F.lit(HOLIDAY_WEIGHT)).otherwise(wd * pay * surge)
+    return F.when(is_closed_day(d, long_holidays), F.lit(HOLIDAY_WEIGHT)).otherwise(wd * pay * surge)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(18,2)"  # contract: amounts have two decimals and stay below 1e16; others are rounded or NULL
 # Deterministic tie order for "first line of a group": line ids may repeat,
 # so the remaining line attributes break the tie.
 LINE_ORDER = ("line_id", "branch", "technician", "price")
@@ -16,7 +16,8 @@ def col(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    return col(c).cast(MONEY)
+    """Amount as an exact decimal; NaN, infinite and too large amounts become NULL."""
+    return col(c).try_cast(MONEY)
 
 
 def money_sum(c: str | Column) -> Column:
@@ -25,8 +26,8 @@ def money_sum(c: str | Column) -> Column:
 
 
 def money_avg(c: str | Column) -> Column:
-    """Exact mean of a money column: decimal sum / non-null count."""
-    return F.sum(money(c)).cast("double") / F.count(col(c))
+    """Exact mean of a money column: decimal sum / count of the amounts summed."""
+    return F.sum(money(c)).cast("double") / F.count(money(c))
 
 
 def first_by(value: str | Column, *order: str | Column) -> Column:

@@ -18,24 +18,45 @@ from pyspark.sql import functions as F
 
 from servicelens.session import cut_lineage
 
+HOT_SHARE = 1000
 _PID_SHIFT = 33  # monotonically_increasing_id() = (partition id << 33) + position
 
 
-def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
-                      partitions: int | None = None) -> DataFrame:
-    """1-based position of every row in ``order`` (which must be a total order)."""
+def _range_sorted(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``, with their partition and their place in it, checkpointed."""
     from pyspark.storagelevel import StorageLevel
 
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the range partitioner samples its input before shuffling it: persist so
     # the input is computed once for both passes
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    s = (src.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    s = cut_lineage(s)
+    s = cut_lineage(src.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                    .withColumn("__pid", F.spark_partition_id())
+                    .withColumn("__mid", F.monotonically_increasing_id()))
     src.unpersist()
+    return s
+
+
+def global_running_sum(df: DataFrame, order: Sequence[str | Column], weight: str, out: str) -> DataFrame:
+    """Running sum of an integral column over all rows in ``order``.
+
+    Each range partition sums its own rows; the sums of the partitions before
+    it -- one row a partition -- are added.
+    """
+    s = _range_sorted(df, order)
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (s.groupBy("__pid").agg(F.sum(weight).alias("__n"))
+               .select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    own = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, 0)
+    return (s.join(F.broadcast(offsets), "__pid")
+            .withColumn(out, F.col("__off") + F.sum(weight).over(own))
+            .drop("__pid", "__mid", "__off"))
+
+
+def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
+                      partitions: int | None = None) -> DataFrame:
+    """1-based position of every row in ``order`` (which must be a total order)."""
+    s = _range_sorted(df, order, partitions)
     counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
@@ -53,14 +74,27 @@ def average_percent_rank(df: DataFrame, value: str, tiebreak: Sequence[str], out
     Tied values occupy consecutive positions, so their average rank is
     (first + last position) / 2, taken from a map-side combined aggregate
     per value.  NULL values get a NULL rank.
+
+    The ranks go back to the rows by value.  Values that more than one row in
+    ``HOT_SHARE`` has number ``HOT_SHARE`` at most: they are broadcast, and
+    their rows and those of NULLs are dealt by the tie-breaker, so no task
+    gets all rows of one value.
     """
     nn = df.where(F.col(value).isNotNull())
     ranked = global_row_number(nn.select(value, *tiebreak), [value, *tiebreak], "__rn")
     # the count is the last position (read from the checkpointed ranking, no extra pass)
     n = ranked.select(F.max("__rn")).scalar()
-    per_value = ranked.groupBy(value).agg(((F.min("__rn") + F.max("__rn")) / 2.0).alias("__avg"))
-    return (df.join(per_value, value, "left")
-              .withColumn(out, F.col("__avg") / n).drop("__avg"))
+    per_value = ranked.groupBy(F.col(value).alias("__v")).agg(
+        ((F.min("__rn") + F.max("__rn")) / 2.0).alias("__avg"), F.count(F.lit(1)).alias("__rows"))
+    hot = per_value.where(F.col("__rows") * HOT_SHARE > n).select("__v", F.col("__avg").alias("__hot"))
+    cold = per_value.where(F.col("__rows") * HOT_SHARE <= n).select("__v", F.lit(0).alias("__salt"), "__avg")
+    rows = df.join(F.broadcast(hot), F.col(value) == F.col("__v"), "left").drop("__v")
+    key = F.when(F.col("__hot").isNull(), F.col(value))
+    rows = rows.withColumn("__key", key).withColumn(
+        "__salt", F.when(key.isNull(), F.pmod(F.xxhash64(*tiebreak), F.lit(HOT_SHARE)) + 1).otherwise(0).cast("int"))
+    return (rows.join(cold, (F.col("__key") == F.col("__v")) & (rows["__salt"] == cold["__salt"]), "left")
+            .withColumn(out, F.coalesce("__hot", "__avg") / n)
+            .select(*df.columns, out))
 
 
 def ntile(row_number: Column, n: Column, k: int) -> Column:

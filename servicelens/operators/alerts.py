@@ -79,13 +79,16 @@ def reminder_message(owner: Column, model: Column, plate: Column, pd: Column, pk
 
 
 def score_alerts(lines: DataFrame, assets: DataFrame, episodes: DataFrame, params: Params,
-                 interval_col: str = "gap_days") -> DataFrame:
+                 interval_col: str = "gap_days", as_of: Column | None = None) -> DataFrame:
     """A2-A10: every asset of the master with its due score, tier and message.
 
+    Only the anchor lines of ``lines`` count; with ``as_of`` given they may be
+    all that it holds.
+
     ``interval_col`` of ``episodes`` feeds the segment medians: the actual
     gap (default) or a model's predicted gap.
     """
-    as_of = as_of_date(lines, params)
+    as_of = as_of_date(lines, params) if as_of is None else as_of
     seg, global_median = segment_interval(episodes, interval_col, params)
     base = assets.join(last_anchor(lines), "asset_id", "left").join(seg, "segment", "left")
     days = F.datediff(as_of, F.col("last_anchor_date"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from servicelens.functions.exprs import half_even, money_avg
 from servicelens.params import Params
+from servicelens.session import cut_lineage
 
 def _rule_sort():
     return (F.desc("estimated_rule_revenue"), F.desc("lift"), F.desc("confidence"))
@@ -42,13 +43,13 @@ def frequent_itemsets(lines: DataFrame, params: Params) -> DataFrame:
     """FP-Growth (Spark ML, parallel FP-growth) itemsets with support >= min_support."""
     from pyspark.ml.fpm import FPGrowth
 
-    b = baskets(lines).where(F.size("items") > 0)
-    model = FPGrowth(itemsCol="items", minSupport=params.min_support, minConfidence=0.0).fit(b)
-    n = transaction_count(lines)
-    return (model.freqItemsets
-            .select(F.array_sort("items").alias("items"), F.col("freq"))
-            .withColumn("size", F.size("items"))
-            .withColumn("support", F.col("freq") / n))
+    b = cut_lineage(baskets(lines))  # counted, and read by each pass of the miner
+    model = FPGrowth(itemsCol="items", minSupport=params.min_support, minConfidence=0.0).fit(b.where(F.size("items") > 0))
+    n = b.select(F.count(F.lit(1))).scalar()
+    return cut_lineage(model.freqItemsets
+                       .select(F.array_sort("items").alias("items"), F.col("freq"))
+                       .withColumn("size", F.size("items"))
+                       .withColumn("support", F.col("freq") / n))
 
 
 def association_rules(lines: DataFrame, params: Params, itemsets: DataFrame | None = None) -> DataFrame:

@@ -12,10 +12,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from servicelens.functions.calendar import week_calendar
-from servicelens.functions.exprs import MONEY, closing_monday, half_even
+from servicelens.functions.exprs import MONEY, closing_monday, half_even, money
 from servicelens.params import Params
+from servicelens.session import cut_lineage
 
 LAGS = (1, 2, 3, 4, 8, 12)
 CALENDAR_COLS = ("week_of_year", "month", "is_year_end", "payday_week", "pre_holiday_4w", "holiday_week")
@@ -34,21 +36,24 @@ def _series_key(series_cols: Sequence[str]) -> Column:
 def weekly_demand(visits: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:
     """F1-F2 (+F17): visits, anchor visits and revenue per closing-Monday week, densified.
 
-    Weeks with no visit between a series' first and last week get zeros
-    (calendar from ``sequence``; one row per week, not per visit).
+    Weeks with no visit between a series' first and last week get zeros: each
+    week also stands for the empty weeks up to the next one, so the visits are
+    read once.
     """
     v = visits.where(F.col("visit_date").isNotNull()).withColumn("series", _series_key(series_cols))
     g = (v.groupBy("series", closing_monday("visit_date").alias("week"))
          .agg(F.count(F.lit(1)).alias("visits"),
               F.count_if(F.col("has_anchor")).alias("anchor_visits"),
-              F.sum(F.col("visit_revenue").cast(MONEY)).alias("revenue")))
-    span = g.groupBy("series").agg(F.min("week").alias("w0"), F.max("week").alias("w1"))
-    cal = span.select("series", F.explode(F.sequence("w0", "w1", F.expr("INTERVAL 7 DAYS"))).alias("week"))
-    return (cal.join(g, ["series", "week"], "left")
-            .select("series", "week",
-                    F.coalesce("visits", F.lit(0)).alias("visits"),
-                    F.coalesce("anchor_visits", F.lit(0)).alias("anchor_visits"),
-                    F.coalesce("revenue", F.lit(0).cast(MONEY)).alias("revenue")))
+              F.sum(money("visit_revenue")).alias("revenue")))
+    after = F.lead("week").over(Window.partitionBy("series").orderBy("week"))
+    until = F.coalesce(F.date_sub(after, 7), F.col("week"))
+    filled = (g.withColumn("until", until).withColumnRenamed("week", "own")
+              .withColumn("week", F.explode(F.sequence("own", "until", F.expr("INTERVAL 7 DAYS")))))
+    here = F.col("week") == F.col("own")
+    return filled.select("series", "week",
+                         F.when(here, F.col("visits")).otherwise(F.lit(0)).alias("visits"),
+                         F.when(here, F.col("anchor_visits")).otherwise(F.lit(0)).alias("anchor_visits"),
+                         F.coalesce(F.when(here, F.col("revenue")), F.lit(0).cast(MONEY)).alias("revenue"))
 
 
 def calendar_features(weekly: DataFrame, params: Params) -> DataFrame:
@@ -114,11 +119,12 @@ def fit_gbt(train: DataFrame, params: Params):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
 
-    from servicelens.session import sized_for_fit
-
     gbt = GBTRegressor(featuresCol="features", labelCol="y", maxIter=params.gbt_iters, stepSize=0.04,
                        maxDepth=3, seed=params.seed, lossType="squared")
-    return Pipeline(stages=[_assembler(), gbt]).fit(sized_for_fit(train))
+    held = train.persist(StorageLevel.MEMORY_AND_DISK)
+    model = Pipeline(stages=[_assembler(), gbt]).fit(held)
+    held.unpersist()
+    return model
 
 
 def gbt_backtest(split: DataFrame, params: Params) -> DataFrame:
@@ -194,12 +200,11 @@ def _naive_recursion(hist: DataFrame, horizon: int) -> DataFrame:
 def _model_recursion(hist: DataFrame, params: Params, model) -> DataFrame:
     """Fitted-model recursion: one ``model.transform`` per step over #series rows.
 
-    Each step reads the previous step's array several times; the state is
-    persisted between steps so that the optimizer sees it as a leaf instead
+    Each step reads the previous step's array several times; the state (one
+    row per series) is checkpointed between steps so that the optimizer sees it as a leaf instead
     of inlining all steps into one exponentially growing expression.
     """
     state = hist.withColumn("preds", F.array().cast("array<struct<week:date,pred:double>>"))
-    held = []
     for step in range(1, params.horizon_weeks + 1):
         wk = F.date_add(F.col("last_week"), 7 * step)
         mean_h = F.aggregate("h", F.lit(0.0), lambda a, x: a + x) / F.size("h")
@@ -214,9 +219,7 @@ def _model_recursion(hist: DataFrame, params: Params, model) -> DataFrame:
         cur = cur.withColumn("p", F.greatest(F.col("prediction"), F.lit(0.0)))
         state = cur.select("series", F.concat("h", F.array("p")).alias("h"), "last_week", "tv", "ta", "tr",
                            F.concat("preds", F.array(F.struct(wk.alias("week"), F.col("p").alias("pred")))).alias("preds"))
-        state = state.persist()
-        state.count()
-        held.append(state)
+        state = cut_lineage(state)
     return state
 
 

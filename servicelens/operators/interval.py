@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
-from servicelens.functions.stats import exact_median
+from servicelens.functions.stats import exact_median, grouped_median
 from servicelens.params import Params
-from servicelens.session import sized_for_fit
+from servicelens.session import cut_lineage
 
 NUM_COLS = ("km_per_month", "interval_km", "car_age", "gap_km")
 CAT_COLS = ("fuel", "drive", "oil_type", "segment")
@@ -42,14 +43,56 @@ def _feature_names(df: DataFrame, col: str) -> list[str]:
     return [names[i] for i in sorted(names)]
 
 
+def trend_scored(episodes: DataFrame) -> DataFrame:
+    """Episodes with a closed-form prediction: exp of the segment's regression of log gap on log km/month.
+
+    Clipped to 10..500 days like the fitted models' medians; SQL can follow it,
+    so it checks the tables that are fed by predictions.
+    """
+    x = F.log("km_per_month")
+    fit = episodes.groupBy("segment").agg(F.regr_slope("log_gap_days", x).alias("__slope"),
+                                          F.regr_intercept("log_gap_days", x).alias("__icpt"))
+    pred = F.exp(F.col("__icpt") + F.col("__slope") * x)
+    return (episodes.join(fit, "segment")
+            .withColumn("pred_gap_days", F.least(F.greatest(pred, F.lit(PRED_MIN)), F.lit(PRED_MAX)))
+            .drop("__slope", "__icpt"))
+
+
+def independent_columns(frame: DataFrame, vec: str, width: int) -> list[int]:
+    """Columns of a design (beside a constant) that no earlier column makes up.
+
+    One aggregate gives the cross products; sweeping them in order leaves what
+    each column has beyond those before it.
+    """
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    a = frame.select(vector_to_array(vec).alias("a"))
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    got = a.agg(F.count(F.lit(1)), *[F.sum(F.col("a")[i]) for i in range(width)],
+                *[F.sum(F.col("a")[i] * F.col("a")[j]) for i, j in pairs]).first()
+    n, sums = got[0], np.array([x or 0.0 for x in got[1:1 + width]])
+    left = np.zeros((width, width))
+    for (i, j), v in zip(pairs, got[1 + width:]):
+        left[i, j] = left[j, i] = (v or 0.0) - sums[i] * sums[j] / max(n, 1)
+    total = np.diag(left).copy() + sums ** 2 / max(n, 1)
+    keep = []
+    for j in range(width):
+        if left[j, j] > 1e-9 * max(total[j], 1e-300):
+            keep.append(j)
+            left = left - np.outer(left[:, j], left[j, :]) / left[j, j]
+    return keep
+
+
 def log_ols(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, dict]:
     """M5: OLS on log(gap_days); normal-equation solver gives p-values, R², adj. R².
 
     Categoricals are treatment coded against their alphabetically first
-    level.  Returns (scored episodes, coefficient table, summary dict).
+    level.  Columns that others make up (aliased) leave the fit and keep a
+    NULL coefficient.  Returns (scored episodes, coefficient table, summary dict).
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import VectorAssembler, VectorSlicer
     from pyspark.ml.regression import LinearRegression
 
     t = (training_frame(episodes)
@@ -58,24 +101,27 @@ def log_ols(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame,
          .withColumn("model_year", F.col("model_year").cast("double"))).persist()
     idx, ohe = _one_hot(CAT_COLS, drop_first=True)
     asm = VectorAssembler(inputCols=[*OLS_NUM, *[f"{c}_oh" for c in CAT_COLS]], outputCol="features")
-    lr = LinearRegression(featuresCol="features", labelCol="log_gap_days", solver="normal", fitIntercept=True)
-    model = Pipeline(stages=[*idx, ohe, asm, lr]).fit(t)
-    scored = model.transform(t).withColumn("pred_gap_days", F.exp("prediction"))
-    lrm = model.stages[-1]
+    design = Pipeline(stages=[*idx, ohe, asm]).fit(t).transform(t)
+    names = _feature_names(design, "features")
+    keep = independent_columns(design, "features", len(names))
+    design = VectorSlicer(inputCol="features", outputCol="kept", indices=keep).transform(design)
+    lr = LinearRegression(featuresCol="kept", labelCol="log_gap_days", solver="normal", fitIntercept=True)
+    lrm = lr.fit(design)
     s = lrm.summary
-    names = _feature_names(scored, "features") + ["const"]
+    scored = cut_lineage(lrm.transform(design).withColumn("pred_gap_days", F.exp("prediction")).drop("features", "kept"))
+    t.unpersist()
     coefs = [float(x) for x in lrm.coefficients] + [float(lrm.intercept)]
-    try:
-        pvals = [float(x) for x in s.pValues]
-    except Exception:  # noqa: BLE001 - singular design: Spark falls back to L-BFGS, no p-values
-        pvals = [None] * len(coefs)
-    rows = [(n, c, "shorter interval" if c < 0 else "longer interval", p) for n, c, p in zip(names, coefs, pvals)]
+    pvals = [float(x) for x in s.pValues] if s.numInstances > len(coefs) else [None] * len(coefs)
+    fitted = dict(zip([names[i] for i in keep] + ["const"], zip(coefs, pvals)))
+    rows = [(n, c, None if c is None else "shorter interval" if c < 0 else "longer interval", p)
+            for n in [*names, "const"] for c, p in [fitted.get(n, (None, None))]]
     spark = episodes.sparkSession
     coef = spark.createDataFrame(rows, "feature string, coef_log_days double, direction string, p_value double") \
-                .orderBy("p_value")
+                .orderBy(F.asc_nulls_last("p_value"), "feature")
     sigma = (scored.select(F.sqrt(F.sum((F.col("log_gap_days") - F.col("prediction")) ** 2)
                                   / F.lit(float(max(s.numInstances - len(coefs), 1))))).first()[0])
-    med = scored.agg(F.median("gap_days").alias("a"), F.median("pred_gap_days").alias("p")).first()
+    med = {"a": grouped_median(scored, [], "gap_days", "m").first()[0],
+           "p": grouped_median(scored, [], "pred_gap_days", "m").first()[0]}
     summary = {"n_episodes": int(s.numInstances), "r2": float(s.r2), "r2_adj": float(s.r2adj),
                "residual_sigma": float(sigma), "median_actual_gap_days": float(med["a"]),
                "median_predicted_gap_days": float(med["p"]), "method": "log-normal OLS"}
@@ -118,12 +164,14 @@ def weibull_aft(episodes: DataFrame, params: Params, leak_free: bool = False,
                                                         F.lit(PRED_MAX)))
     m = model.stages[-1]
     names = _feature_names(scored, "features")
+    scored = cut_lineage(scored.drop("features", "quantiles", *[f"{c}_oh" for c in CAT_COLS]))
+    t.unpersist()
     rows = [(n, float(c)) for n, c in zip(names, m.coefficients)] + [("intercept", float(m.intercept)),
                                                                       ("log_scale", float(m.scale))]
     coef = episodes.sparkSession.createDataFrame(rows, "feature string, coef double")
     observed = scored.where(F.col("censor") == 1.0)
     r2 = _r2(observed, F.log(F.col("gap_days").cast("double")), F.log("pred_gap_days"))
-    return scored, coef, {"method": "Weibull AFT", "n_episodes": None, "r2_log_duration": r2}
+    return observed, coef, {"method": "Weibull AFT", "n_episodes": observed.count(), "r2_log_duration": r2}
 
 
 def gbt_interval(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, dict]:
@@ -136,7 +184,7 @@ def gbt_interval(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFr
     t = training_frame(episodes)
     for c in NUM_COLS:
         t = t.withColumn(c, F.col(c).cast("double"))
-    t = sized_for_fit(t)
+    t = t.persist(StorageLevel.MEMORY_AND_DISK)
     imp = Imputer(inputCols=list(NUM_COLS), outputCols=[f"{c}_imp" for c in NUM_COLS], strategy="median")
     idx, ohe = _one_hot(CAT_COLS, drop_first=False)
     asm = VectorAssembler(inputCols=[*[f"{c}_imp" for c in NUM_COLS], *[f"{c}_oh" for c in CAT_COLS]],
@@ -146,6 +194,8 @@ def gbt_interval(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFr
     model = Pipeline(stages=[imp, *idx, ohe, asm, gbt]).fit(t)
     scored = model.transform(t).withColumn("pred_gap_days", F.exp("prediction"))
     names = _feature_names(scored, "features")
+    scored = cut_lineage(scored.drop("features", *[f"{c}_oh" for c in CAT_COLS]))
+    t.unpersist()
     imp_rows = sorted(zip(names, [float(x) for x in model.stages[-1].featureImportances.toArray()]),
                       key=lambda r: -r[1])
     coef = episodes.sparkSession.createDataFrame(imp_rows, "feature string, importance double")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from servicelens.functions.exprs import MONEY, money_avg, money_sum, ratio
+from servicelens.functions.exprs import MONEY, money, money_avg, money_sum, ratio
 
 
 def _per_visit(lines: DataFrame) -> DataFrame:
     """One pass over the lines: per-visit partial totals (the NULL visit id is its own group)."""
-    price = F.col("price").cast(MONEY)
+    price = money("price")
     return lines.groupBy("visit_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("visit_date").alias("dmin"), F.max("visit_date").alias("dmax"),
@@ -95,7 +95,7 @@ def _revenue_by(lines: DataFrame, key: str, with_avg: bool) -> DataFrame:
     different aggregate and re-read them).
     """
     aggs = [
-        F.sum(F.col("price").cast(MONEY)).alias("_rev"),
+        F.sum(money("price")).alias("_rev"),
         F.count("line_id").alias("rows"),
         F.count_distinct("visit_id").alias("visits"),
     ]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from servicelens.functions.exprs import MONEY
+from servicelens.functions.exprs import money
 from servicelens.params import Params
-from servicelens.session import sized_for_fit
+from servicelens.session import cut_lineage
 
 MIN_ACTIVE_DAYS = 30
 FILL_ZERO = ("visits", "anchor_visits", "revenue", "avg_items", "visits_per_year", "revenue_per_year",
@@ -21,7 +22,7 @@ def car_activity(visits: DataFrame) -> DataFrame:
     a = (visits.where(F.col("asset_id").isNotNull()).groupBy("asset_id").agg(
         F.count(F.lit(1)).alias("visits"),
         F.count_if(F.col("has_anchor")).alias("anchor_visits"),
-        F.sum(F.col("visit_revenue").cast(MONEY)).cast("double").alias("revenue"),
+        F.sum(money("visit_revenue")).cast("double").alias("revenue"),
         F.avg("n_items").alias("avg_items"),
         F.min("visit_date").alias("first_visit"),
         F.max("visit_date").alias("last_visit")))
@@ -99,9 +100,7 @@ def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5), parallelism:
     """
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    # partitions sized by rows: many tiny partitions only add per-task
-    # overhead to each job of each restart fit
-    data = sized_for_fit(_vectors(features))
+    data = _vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
     seeds = [params.seed + i for i in range(params.kmeans_restarts)]
     models = _fit_many(data, [(k, s) for k in ks for s in seeds], parallelism)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
@@ -119,13 +118,15 @@ def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5), parallelism:
     labelled = final.transform(data).drop("raw", "features")
     order = labelled.groupBy("cluster").agg(F.avg("revenue_per_year").alias("r"))
     order = order.select("cluster", (F.row_number().over(Window.orderBy(F.desc("r"), "cluster")) - 1).alias("cluster_id"))
-    labelled = labelled.join(F.broadcast(order), "cluster").drop("cluster")
+    # the labels are written once: every table made from them shares this fit
+    labelled = cut_lineage(labelled.join(F.broadcast(order), "cluster").drop("cluster"))
+    data.unpersist()
     table = features.sparkSession.createDataFrame(rows, "k int, silhouette double, training_cost double")
     return best_k, best_s, table, labelled
 
 
-def group_profile(labelled: DataFrame, label: str) -> DataFrame:
-    """Per group: assets, means of the activity features, dominant hidden segment."""
+def group_profile(labelled: DataFrame, label: str, silhouette: float | None = None) -> DataFrame:
+    """Per group: assets, means of the activity features, dominant hidden segment (+ the fit's silhouette)."""
     prof = labelled.groupBy(label).agg(
         F.count_distinct("asset_id").alias("assets"),
         F.avg("km_per_month").alias("avg_km_per_month"),
@@ -135,14 +136,21 @@ def group_profile(labelled: DataFrame, label: str) -> DataFrame:
         F.avg("anchor_visits").alias("avg_anchor_visits"))
     seg = (labelled.groupBy(label, "segment").agg(F.count(F.lit(1)).alias("n"))
            .groupBy(label).agg(F.max_by("segment", F.struct("n", F.col("segment"))).alias("top_segment")))
-    return prof.join(seg, label, "left").orderBy(F.desc("avg_revenue_per_year"))
+    out = prof.join(seg, label, "left")
+    if silhouette is not None:
+        out = out.withColumn("silhouette", F.lit(silhouette))
+    return out.orderBy(F.desc("avg_revenue_per_year"))
 
 
 def cluster_crosstab(labelled: DataFrame) -> DataFrame:
-    """Cluster x segment, shares normalised by row (long form)."""
-    c = labelled.groupBy("cluster_id", "segment").agg(F.count(F.lit(1)).alias("n"))
-    tot = labelled.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("t"))
-    return c.join(tot, "cluster_id").select("cluster_id", "segment", (F.col("n") / F.col("t")).alias("share"))
+    """Cluster x segment, shares normalised by row (long form, zero cells included)."""
+    # clusters and segments are two short lists; their grid holds the empty cells too
+    c = labelled.where(F.col("segment").isNotNull()).groupBy("cluster_id", "segment").agg(F.count(F.lit(1)).alias("n"))
+    tot = c.groupBy("cluster_id").agg(F.sum("n").alias("t"))
+    segs = c.agg(F.array_sort(F.collect_set("segment"))).scalar()
+    grid = tot.select("cluster_id", "t", F.explode(segs).alias("segment"))
+    return (grid.join(c, ["cluster_id", "segment"], "left")
+            .select("cluster_id", "segment", (F.coalesce("n", F.lit(0)) / F.col("t")).alias("share")))
 
 
 def segment_crosstab(labelled: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.functions.exprs import MONEY, clip, first_by
+from servicelens.functions.exprs import clip, first_by, money
 from servicelens.functions.ranking import average_percent_rank, global_row_number, ntile
 from servicelens.params import Params
 from servicelens.sources.csv_source import as_of_date
@@ -32,7 +32,7 @@ def customer_rollup(visits: DataFrame, lines: DataFrame, params: Params) -> Data
         first_by("phone", "visit_id").alias("phone"),
         F.count_distinct("asset_id").alias("assets"),
         F.count(F.lit(1)).alias("visits"),
-        F.sum(F.col("visit_revenue").cast(MONEY)).cast("double").alias("revenue"),
+        F.sum(money("visit_revenue")).cast("double").alias("revenue"),
         F.min("visit_date").alias("first_visit"),
         F.max("visit_date").alias("last_visit"),
         F.count_if(F.col("has_anchor")).alias("anchor_visits"),

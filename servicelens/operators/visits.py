@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.functions.exprs import MONEY, closing_monday, first_in_line_order, week_start
+from servicelens.functions.exprs import closing_monday, first_in_line_order, money, week_start
 
 
 def visit_rollup(lines: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def visit_rollup(lines: DataFrame) -> DataFrame:
             first_in_line_order("branch").alias("branch"),
             first_in_line_order("technician").alias("technician"),
             # kept decimal so that weekly / customer revenue sums stay exact
-            F.sum(F.col("price").cast(MONEY)).alias("visit_revenue"),
+            F.sum(money("price")).alias("visit_revenue"),
             items.alias("items"),
             F.bool_or("is_anchor").alias("has_anchor"),
         )
@@ -33,6 +33,24 @@ def visit_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
+def visit_totals(lines: DataFrame, first_cols: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Date, revenue and anchor flag per visit, and the first line's value of ``first_cols``.
+
+    The part of ``visit_rollup`` that the weekly series needs; a narrow scan
+    feeds it, without the lookups of the other columns.
+    """
+    return (
+        lines.where(F.col("visit_id").isNotNull())
+        .groupBy("visit_id")
+        .agg(
+            F.min("visit_date").alias("visit_date"),
+            F.sum(money("price")).alias("visit_revenue"),
+            F.bool_or("is_anchor").alias("has_anchor"),
+            *[first_in_line_order(c).alias(c) for c in first_cols],
+        )
+    )
+
+
 def build_visits(lines: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     """V1-V6: rollup, left join of the asset master (V4), month and week labels."""
     v = visit_rollup(lines)

@@ -472,6 +472,16 @@ sql("branch_weekly_demand", (WEEKLY.replace("SELECT 'ALL' AS series,", "SELECT c
 SELECT series, CAST(week AS VARCHAR) AS week, visits, anchor_visits, CAST(revenue AS DOUBLE) AS revenue FROM dense
 """)
 
+FIRST_CATEGORY = """,
+vc AS (SELECT visit_id, first(category ORDER BY line_id, branch, technician, price) AS category
+       FROM lines WHERE category IS NOT NULL GROUP BY visit_id)"""
+
+sql("category_weekly_demand", FIRST_CATEGORY + (
+    WEEKLY.replace("SELECT 'ALL' AS series,", "SELECT coalesce(CAST(category AS VARCHAR), '') AS series,")
+    .replace("FROM visits WHERE", "FROM visits LEFT JOIN vc USING (visit_id) WHERE")) + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits, anchor_visits, CAST(revenue AS DOUBLE) AS revenue FROM dense
+""")
+
 sql("calendar_features", WEEKLY + """
 SELECT series, CAST(week AS VARCHAR) AS week, week_of_year, month, is_year_end, payday_week, pre_holiday_4w, holiday_week
 FROM calf
@@ -615,6 +625,36 @@ SELECT segment, count(DISTINCT asset_id) AS assets, round(avg(km_per_month), 6)
 FROM ftx GROUP BY segment
 """, visits=True)
 
+sql("profile_given_labels", ACTIVITY + """,
+gl AS (SELECT *, CAST(asset_id % 3 AS INTEGER) AS cluster_id FROM ftx),
+gs AS (SELECT cluster_id, first(segment ORDER BY n DESC, segment DESC) AS top_segment
+       FROM (SELECT cluster_id, segment, count(*) AS n FROM gl GROUP BY 1, 2) GROUP BY cluster_id)
+SELECT cluster_id, count(DISTINCT asset_id) AS assets, round(avg(km_per_month), 6) AS avg_km_per_month,
+       round(avg(visits_per_year), 6) AS avg_visits_per_year, round(avg(revenue_per_year), 6) AS avg_revenue_per_year,
+       round(avg(avg_gap_days), 6) AS avg_gap_days, round(avg(anchor_visits), 6) AS avg_anchor_visits,
+       any_value(top_segment) AS top_segment, 0.5::DOUBLE AS silhouette
+FROM gl JOIN gs USING (cluster_id) GROUP BY cluster_id
+""", visits=True)
+
+sql("crosstab_given_labels", """,
+gl AS (SELECT CAST(asset_id % 3 AS INTEGER) AS cluster_id, segment FROM assets),
+gr AS (SELECT c.cluster_id, s.segment FROM (SELECT DISTINCT cluster_id FROM gl) c, (SELECT DISTINCT segment FROM gl) s)
+SELECT cluster_id, segment, round(count(gl.segment) / CAST(sum(count(gl.segment)) OVER (PARTITION BY cluster_id) AS DOUBLE), 6) AS share
+FROM gr LEFT JOIN gl USING (cluster_id, segment) GROUP BY cluster_id, segment
+""")
+
+sql("segment_counts_given_labels", """
+SELECT segment, count(*) FILTER (WHERE asset_id % 3 = 0) AS "0", count(*) FILTER (WHERE asset_id % 3 = 1) AS "1",
+       count(*) FILTER (WHERE asset_id % 3 = 2) AS "2" FROM assets GROUP BY segment
+""")
+
+sql("calendar_coverage", """,
+dd AS (SELECT DISTINCT visit_date AS d FROM lines WHERE visit_date IS NOT NULL)
+SELECT count(*) FILTER (WHERE d < DATE '1995-03-03') AS before_calendar,
+       count(*) FILTER (WHERE d BETWEEN DATE '1995-03-03' AND DATE '2001-12-16') AS in_calendar,
+       count(*) FILTER (WHERE d > DATE '2001-12-16') AS after_calendar FROM dd
+""")
+
 sql("training_frame", EPISODES + """
 SELECT asset_id, visit_id, gap_days, gap_km, km_per_month, interval_km, car_age, fuel, drive, oil_type, segment
 FROM ep WHERE gap_days IS NOT NULL AND km_per_month IS NOT NULL AND interval_km IS NOT NULL AND car_age IS NOT NULL
@@ -627,6 +667,28 @@ SELECT segment, count(gap_days) AS n_episodes, avg(gap_days) AS avg_gap_days, CA
 FROM ep WHERE segment IS NOT NULL GROUP BY segment
 """)
 
+SCORED = EPISODES + """,
+tr AS (SELECT segment, regr_slope(log_gap_days, ln(km_per_month)) AS slope, regr_intercept(log_gap_days, ln(km_per_month)) AS icpt
+       FROM ep GROUP BY segment),
+sc AS (SELECT ep.*, least(greatest(exp(icpt + slope * ln(km_per_month)), 10.0), 500.0) AS pred_gap_days FROM ep JOIN tr USING (segment))"""
+
+sql("scored_episodes", SCORED + """
+SELECT asset_id, visit_id, segment, gap_days, round(pred_gap_days, 6) AS pred_gap_days FROM sc
+""")
+
+sql("interval_by_segment_scored", SCORED + """
+SELECT segment, count(gap_days) AS n_episodes, avg(gap_days) AS avg_gap_days, CAST(median(gap_days) AS DOUBLE) AS median_gap_days,
+       avg(gap_km) AS avg_gap_km, CAST(median(gap_km) AS DOUBLE) AS median_gap_km, round(avg(utilization), 6) AS avg_utilization,
+       round(avg(pred_gap_days), 6) AS avg_pred_gap_days
+FROM sc WHERE segment IS NOT NULL GROUP BY segment
+""")
+
+sql("alert_ranking_predicted", SCORED + ALERTS[len(EPISODES):].replace("median(gap_days) AS segment_interval FROM ep", "median(pred_gap_days) AS segment_interval FROM sc")
+    .replace("(SELECT median(gap_days) FROM ep)", "(SELECT median(pred_gap_days) FROM sc)") + """
+SELECT asset_id, segment, days_since_last_anchor, round(predicted_interval_days, 6) AS predicted_interval_days,
+       round(progress_day, 6) AS progress_day, due_probability, priority_score, alert_tier FROM alerts
+""")
+
 sql("log_gap_trend", EPISODES + """
 SELECT segment, CAST(regr_count(log_gap_days, ln(km_per_month)) AS BIGINT) AS n,
        round(regr_slope(log_gap_days, ln(km_per_month)), 6) AS slope,
@@ -737,7 +799,7 @@ FROM w
 sql("clean_lines", """
 SELECT line_id, CAST(visit_id AS VARCHAR) AS visit_id, CAST(asset_id AS VARCHAR) AS asset_id,
        CAST(visit_date AS VARCHAR) AS visit_date, CAST(meter_km AS DOUBLE) AS meter_km, branch, technician, category, item,
-       qty, price, is_anchor
+       CAST(qty AS BIGINT) AS qty, price, is_anchor
 FROM lines
 """)
 

@@ -20,9 +20,14 @@ def build_tables(lines: DataFrame, assets: DataFrame, params: Params, with_model
     lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     v = visits_op.build_visits(lines, assets).persist(StorageLevel.MEMORY_AND_DISK)
     ep = episodes.build_episodes(lines, assets, params).persist(StorageLevel.MEMORY_AND_DISK)
-    al = alerts.score_alerts(lines, assets, ep, params).persist(StorageLevel.MEMORY_AND_DISK)
+    gaps, gap_col, coef = ep, "gap_days", None
+    if with_models:  # as in the reference, alerts and segment intervals come from the survival model's medians
+        gaps, coef, fit = interval.weibull_aft(ep, params)
+        gap_col = "pred_gap_days"
+    al = alerts.score_alerts(lines, assets, gaps, params, interval_col=gap_col).persist(StorageLevel.MEMORY_AND_DISK)
     cust = value.value_segment(value.value_score(value.customer_rollup(v, lines, params)))
-    rules = basket.pairwise_rules(lines, params)
+    pair_rules = basket.pairwise_rules(lines, params)
+    rules = basket.association_rules(lines, params)
     weekly = demand.weekly_demand(v)
     split = demand.time_split(demand.lag_features(weekly, params))
     k = kpi.kpi_summary(lines, assets)
@@ -33,17 +38,17 @@ def build_tables(lines: DataFrame, assets: DataFrame, params: Params, with_model
         "audit_status": audit.audit_status(lines, assets, params),
         "revenue_by_category": kpi.revenue_by_category(lines),
         "revenue_by_item": kpi.revenue_by_item(lines),
-        "interval_by_segment": interval.interval_by_segment(ep, params),
+        "interval_by_segment": interval.interval_by_segment(gaps, params, scored=with_models),
         "due_alert_candidates": alerts.rank_alerts(al),
         "tier_distribution": alerts.tier_distribution(al),
         "market_basket_rules": rules,
-        "top_rules": basket.top_rules(rules),
+        "top_rules": basket.top_rules(pair_rules),
         "attach_rates": basket.attach_rates_full(lines),
         "naive_backtest": demand.naive_backtest(split),
         "customer_value_risk": cust,
         "uplift_scenarios": decisions.uplift_scenarios(al, k.select("avg_order_value").scalar()),
         "topn_uplift": decisions.topn_uplift(al, v, params),
-        "next_best_offer": decisions.next_best_offer(al, alerts.last_anchor(lines), basket.baskets(lines), rules),
+        "next_best_offer": decisions.next_best_offer(al, alerts.last_anchor(lines), basket.baskets(lines), pair_rules),
         "campaign_target_list": decisions.campaign_target_list(al, cust),
     }
     naive_fc = demand.recursive_forecast(weekly, params, None)
@@ -53,17 +58,15 @@ def build_tables(lines: DataFrame, assets: DataFrame, params: Params, with_model
         model = demand.fit_gbt(split, params)
         out["forecast_backtest"] = bt
         out["weekly_demand_forecast"] = demand.prediction_interval(demand.recursive_forecast(weekly, params, model), bt)
-        scored, coef, summ = interval.log_ols(ep, params)
         out["interval_model_coefficients"] = coef
         feats = segments.feature_table(assets, v, ep)
         best_k, sil, _, labelled = segments.cluster_run(feats, params)
-        out["cluster_profile"] = segments.group_profile(labelled, "cluster_id").withColumn("silhouette", F.lit(sil))
-        out["cluster_confusion"] = segments.segment_crosstab(labelled)
+        out["cluster_profile"] = segments.group_profile(labelled, "cluster_id", sil)
+        out["cluster_confusion"] = segments.cluster_crosstab(labelled)
         mape = bt.select(F.first("mape_model").alias("mape_model"), F.first("mape_naive").alias("mape_naive"))
         out["model_summary"] = mape.select(
-            F.lit(summ["method"]).alias("interval_model_method"), F.lit(summ["n_episodes"]).alias("n_episodes"),
-            F.lit(summ["r2"]).alias("r2"), F.lit(summ["r2_adj"]).alias("r2_adj"),
-            F.lit(summ["residual_sigma"]).alias("residual_sigma"), "mape_model", "mape_naive",
+            F.lit(fit["method"]).alias("interval_model_method"), F.lit(fit["n_episodes"]).alias("n_episodes"),
+            F.lit(fit["r2_log_duration"]).alias("r2_log_duration"), "mape_model", "mape_naive",
             F.lit(best_k).alias("clusters"))
     else:
         out["weekly_demand_forecast"] = naive_fc

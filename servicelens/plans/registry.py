@@ -121,13 +121,23 @@ def q_audit_status(spark, d):
 # ---------------------------------------------------------------- episodes
 from servicelens.functions.exprs import r6  # noqa: E402
 from servicelens.operators import alerts, episodes  # noqa: E402
+from servicelens.sources import csv_source  # noqa: E402
 
 EPISODE_LINE_COLS = ("line_id", "visit_id", "asset_id", "visit_date", "meter_km", "branch", "technician", "price",
                      "is_anchor")
 
 
+def _anchors(sv):
+    """The anchor lines: all that episodes, last anchors and alerts need of the fact table."""
+    return sv.shared("anchors", lambda: sv.lines(*EPISODE_LINE_COLS).where("is_anchor"))
+
+
+def _as_of(sv):
+    return csv_source.as_of_date(sv.lines("visit_date"), sv.params)
+
+
 def _episodes(sv):
-    return episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params)
+    return sv.shared("episodes", lambda: episodes.build_episodes(_anchors(sv), sv.assets(), sv.params))
 
 
 @query("anchor_lines")
@@ -158,9 +168,7 @@ def q_raw_gap_by_segment(spark, d):
 
 # ---------------------------------------------------------------- alerts
 def _alerts(sv):
-    lines = sv.lines(*EPISODE_LINE_COLS)
-    ep = episodes.build_episodes(lines, sv.assets(), sv.params)
-    return alerts.score_alerts(lines, sv.assets(), ep, sv.params)
+    return sv.shared("alerts", lambda: alerts.score_alerts(_anchors(sv), sv.assets(), _episodes(sv), sv.params, as_of=_as_of(sv)))
 
 
 @query("last_anchor")
@@ -251,10 +259,14 @@ def q_conditional_item_rate(spark, d):
 from servicelens.operators import demand  # noqa: E402
 
 
+WEEKLY_COLS = ("visit_id", "visit_date", "price", "is_anchor")
+
+
 def _weekly(sv, series_cols=()):
-    cols = ["line_id", "visit_id", "visit_date", "price", "is_anchor", "branch", "technician", "asset_id", "meter_km", "item"]
-    v = visits_op.visit_rollup(sv.lines(*cols)) if not series_cols else visits_op.visit_rollup(sv.lines(*cols))
-    return demand.weekly_demand(v, series_cols)
+    """The weekly series from the columns it needs: the global one joins neither supplier, nation nor customer."""
+    extra = ("line_id", "branch", "technician", "category") if series_cols else ()
+    name = "weekly_" + "_".join(series_cols)
+    return sv.shared(name, lambda: demand.weekly_demand(visits_op.visit_totals(sv.lines(*WEEKLY_COLS, *extra), series_cols), series_cols))
 
 
 def _split(sv):
@@ -273,6 +285,12 @@ def q_branch_weekly_demand(spark, d):
     return _weekly(views(spark, d), ["branch"])
 
 
+@query("category_weekly_demand")
+def q_category_weekly_demand(spark, d):
+    """the weekly series per category (of the visit's first line)."""
+    return _weekly(views(spark, d), ["category"])
+
+
 @query("calendar_features")
 def q_calendar_features(spark, d):
     """Calendar and holiday flags per week."""
@@ -335,7 +353,7 @@ def _visits_full(sv):
 
 
 def _customers(sv):
-    return value.customer_rollup(_visits_full(sv), sv.lines("visit_date"), sv.params)
+    return sv.shared("customers", lambda: value.customer_rollup(_visits_full(sv), sv.lines("visit_date"), sv.params))
 
 
 @query("customer_rollup")
@@ -364,9 +382,8 @@ from servicelens.operators import segments  # noqa: E402
 
 
 def _features(sv):
-    lines = sv.lines(*VISIT_COLS)
-    return segments.feature_table(sv.assets(), visits_op.visit_rollup(lines),
-                                  episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params))
+    return sv.shared("features", lambda: segments.feature_table(
+        sv.assets(), visits_op.visit_rollup(sv.lines(*VISIT_COLS)), _episodes(sv)))
 
 
 @query("car_activity")
@@ -374,7 +391,7 @@ def q_car_activity(spark, d):
     """Per-asset activity, annualised rates and gap means."""
     sv = views(spark, d)
     a = segments.car_activity(visits_op.visit_rollup(sv.lines(*VISIT_COLS)))
-    g = segments.gap_means(episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS), sv.assets(), sv.params))
+    g = segments.gap_means(_episodes(sv))
     return a.join(g, "asset_id", "left")
 
 
@@ -412,6 +429,32 @@ def _clusters(sv):
     return segments.cluster_run(_features(sv), sv.params)[3]
 
 
+def _by_modulus(sv):
+    """Features with a given label instead of a fitted one, so that SQL can follow the tables made from labels."""
+    return _features(sv).withColumn("cluster_id", (F.col("asset_id") % 3).cast("int"))
+
+
+@query("crosstab_given_labels")
+def q_crosstab_given_labels(spark, d):
+    """C10 on given labels: group x segment row shares, zero cells included."""
+    return segments.cluster_crosstab(_by_modulus(views(spark, d))).withColumn("share", r6(F.col("share")))
+
+
+@query("segment_counts_given_labels")
+def q_segment_counts_given_labels(spark, d):
+    """C11 on given labels: segment x group counts."""
+    return segments.segment_crosstab(_by_modulus(views(spark, d)))
+
+
+@query("profile_given_labels")
+def q_profile_given_labels(spark, d):
+    """C8-C9 on given labels: group means and the dominant segment of each group."""
+    p = segments.group_profile(_by_modulus(views(spark, d)), "cluster_id", silhouette=0.5)
+    return p.select("cluster_id", "assets", *[r6(F.col(c)).alias(c) for c in
+                                              ("avg_km_per_month", "avg_visits_per_year", "avg_revenue_per_year",
+                                               "avg_gap_days", "avg_anchor_visits")], "top_segment", "silhouette")
+
+
 @query("final_clusters")
 def q_final_clusters(spark, d):
     """Cluster label per asset (rows-only)."""
@@ -421,7 +464,9 @@ def q_final_clusters(spark, d):
 @query("cluster_profile")
 def q_cluster_profile(spark, d):
     """Profile per K-Means cluster (rows-only)."""
-    return segments.group_profile(_clusters(views(spark, d)), "cluster_id")
+    sv = views(spark, d)
+    _, silhouette, _, labelled = segments.cluster_run(_features(sv), sv.params)
+    return segments.group_profile(labelled, "cluster_id", silhouette)
 
 
 @query("cluster_crosstab")
@@ -455,6 +500,51 @@ def q_interval_by_segment(spark, d):
     return t.withColumn("avg_utilization", r6(F.col("avg_utilization")))
 
 
+@query("scored_episodes")
+def q_scored_episodes(spark, d):
+    """M3 with the closed-form prediction: predicted gap per episode."""
+    s = interval.trend_scored(_episodes(views(spark, d)))
+    return s.select("asset_id", "visit_id", "segment", "gap_days", r6(F.col("pred_gap_days")).alias("pred_gap_days"))
+
+
+@query("interval_by_segment_scored")
+def q_interval_by_segment_scored(spark, d):
+    """M9 with predictions: gap statistics per segment and the mean predicted gap."""
+    sv = views(spark, d)
+    t = interval.interval_by_segment(interval.trend_scored(_episodes(sv)), sv.params, scored=True)
+    return t.withColumn("avg_utilization", r6(F.col("avg_utilization"))) \
+            .withColumn("avg_pred_gap_days", r6(F.col("avg_pred_gap_days")))
+
+
+@query("alert_ranking_predicted")
+def q_alert_ranking_predicted(spark, d):
+    """A4 on predicted gaps (the reference's default), here of the closed-form prediction."""
+    sv = views(spark, d)
+    scored = interval.trend_scored(_episodes(sv))
+    a = alerts.score_alerts(_anchors(sv), sv.assets(), scored, sv.params, interval_col="pred_gap_days", as_of=_as_of(sv))
+    return alerts.rank_alerts(a.select(
+        "asset_id", "segment", "days_since_last_anchor", r6(F.col("predicted_interval_days")).alias("predicted_interval_days"),
+        r6(F.col("progress_day")).alias("progress_day"), r6(F.col("due_probability")).alias("due_probability"),
+        r6(F.col("priority_score")).alias("priority_score"), "alert_tier", "progress_km")).drop("progress_km")
+
+
+@query("alert_ranking_aft")
+def q_alert_ranking_aft(spark, d):
+    """A2-A10 fed by the Weibull AFT medians, as the reference runs it (rows-only)."""
+    sv = views(spark, d)
+    scored, _, _ = interval.weibull_aft(_episodes(sv), sv.params)
+    return alerts.rank_alerts(alerts.score_alerts(_anchors(sv), sv.assets(), scored, sv.params,
+                                                  interval_col="pred_gap_days", as_of=_as_of(sv)))
+
+
+@query("aft_scored_episodes")
+def q_aft_scored_episodes(spark, d):
+    """M3, M8: predicted median per episode and the fit's R² of log duration (rows-only)."""
+    sv = views(spark, d)
+    scored, _, s = interval.weibull_aft(_episodes(sv), sv.params)
+    return scored.select("asset_id", "visit_id", "gap_days", "pred_gap_days", F.lit(s["r2_log_duration"]).alias("r2_log_duration"))
+
+
 @query("log_gap_trend")
 def q_log_gap_trend(spark, d):
     """M5 (single covariate): per segment regression of log gap on log km/month."""
@@ -528,9 +618,8 @@ def q_topn_uplift(spark, d):
 def q_next_best_offer(spark, d):
     """Next best offer per targeted asset from the pairwise rules."""
     sv = views(spark, d)
-    lines = sv.lines(*EPISODE_LINE_COLS)
     rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
-    nbo = decisions.next_best_offer(_alerts(sv), alerts.last_anchor(lines),
+    nbo = decisions.next_best_offer(_alerts(sv), alerts.last_anchor(_anchors(sv)),
                                     basket.baskets(sv.lines("visit_id", "item")), rules)
     return nbo.withColumn("priority_score", r6(F.col("priority_score")))
 
@@ -557,7 +646,6 @@ def q_capacity_schedule(spark, d):
 # ---------------------------------------------------------------- simulator rules, sources
 from servicelens.functions import calendar as cal_fn  # noqa: E402
 from servicelens.functions import rules as rules_fn  # noqa: E402
-from servicelens.sources import csv_source  # noqa: E402
 
 
 @query("classify_item")
@@ -580,10 +668,15 @@ def q_interval_rule(spark, d):
 def q_calendar_weight(spark, d):
     """Demand weight of every service date."""
     sv = views(spark, d)
-    years = range(1995, 2002)
-    closed = cal_fn.holiday_set(years, sv.params.holidays)
     days = sv.lines("visit_date").where(F.col("visit_date").isNotNull()).distinct()
-    return days.select("visit_date", cal_fn.calendar_weight(F.col("visit_date"), closed, sv.params.holidays).alias("weight"))
+    return days.select("visit_date", cal_fn.calendar_weight(F.col("visit_date"), sv.params.holidays).alias("weight"))
+
+
+@query("calendar_coverage")
+def q_calendar_coverage(spark, d):
+    """G3/F4 audit: distinct service dates before, within and after the known moving holidays."""
+    sv = views(spark, d)
+    return cal_fn.calendar_coverage(sv.lines("visit_date").distinct(), "visit_date", sv.params.holidays)
 
 
 @query("clean_lines")

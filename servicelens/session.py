@@ -61,21 +61,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = held.checkpoint(eager=True)
     held.unpersist()
     return out
-
-
-ROWS_PER_PARTITION = 500_000
-
-
-def sized_for_fit(df: DataFrame) -> DataFrame:
-    """Repartition a model's training frame to ~500k rows per partition and persist it.
-
-    Iterative Spark ML fits (boosting, k-means restarts) run several jobs per
-    iteration; small inputs spread over many partitions pay task overhead in
-    every one of them, while large inputs keep one task per ~500k rows.
-    """
-    from pyspark.storagelevel import StorageLevel
-
-    rows = df.count()
-    out = df.repartition(max(1, rows // ROWS_PER_PARTITION)).persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out

@@ -31,18 +31,23 @@ def _read_text(spark: SparkSession, path: str, columns: dict[str, str], fmt: str
 
 
 def coerce_date(c: Column) -> Column:
-    """Unparseable dates become NULL (dates are kept at day precision)."""
+    """Unparseable dates become NULL (dates are kept at day precision).
+
+    Accepted are ISO dates and timestamps (``2024-01-05``, ``2024-01-05 10:30:00``);
+    other layouts, such as ``05/01/2024`` or ``20240105``, are NULL.
+    """
     return F.try_to_timestamp(F.trim(c)).cast("date")
 
 
 def coerce_number(c: Column) -> Column:
-    """Unparseable numbers become NULL."""
-    return F.trim(c).try_cast("double")
+    """Unparseable and non-finite numbers become NULL."""
+    v = F.trim(c).try_cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
 
 
 def default_quantity(c: Column) -> Column:
-    """missing/unparseable quantity -> 1, then truncated to int."""
-    return F.coalesce(coerce_number(c), F.lit(1.0)).cast("int")
+    """missing/unparseable quantity -> 1, then truncated to a 64-bit integer."""
+    return F.coalesce(coerce_number(c).try_cast("bigint"), F.lit(1).cast("bigint"))
 
 
 def clean_lines(raw: DataFrame, params: Params) -> DataFrame:
@@ -100,7 +105,7 @@ def as_of_date(lines: DataFrame, params: Params) -> Column:
 
 
 # Column order of the denormalised asset master file.
-MASTER_ORDER = ("customer_id", "owner_name", "phone", "address", "district", "postcode", "city", "asset_id", "plate",
+MASTER_ORDER = ("customer_id", "owner_name", "phone", "address", "district", "city", "postcode", "asset_id", "plate",
                 "model", "trim", "model_year", "fuel", "drive", "transmission", "oil_type", "interval_km", "segment",
                 "km_per_month")
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicelens.params import Params
+from servicelens.session import cut_lineage
 
 # Meaning given to the star tables' columns.
 ANCHOR_CATEGORY = "PROMO"
@@ -58,26 +59,27 @@ def km_per_month_expr(acctbal: Column) -> Column:
     return F.lit(300.0) + (F.abs(acctbal) % F.lit(2000.0))
 
 
-_PLAN_CACHE: dict[tuple, DataFrame] = {}
-
-
 class StarViews:
     """Canonical views over ``{sf_dir}/{table}.parquet``.
 
-    The (lazy) view DataFrames are memoised per session, folder and column
-    set, which only saves driver-side plan construction; no data is cached.
+    The (lazy) view DataFrames are memoised per column set on this object,
+    which only saves driver-side plan construction; no data is cached.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.params = params or star_params()
+        self._views: dict[tuple, DataFrame] = {}
 
     def _memo(self, key: tuple, build) -> DataFrame:
-        k = (id(self.spark), self.sf_dir, self.params) + key
-        if k not in _PLAN_CACHE:
-            _PLAN_CACHE[k] = build()
-        return _PLAN_CACHE[k]
+        if key not in self._views:
+            self._views[key] = build()
+        return self._views[key]
+
+    def shared(self, name: str, build) -> DataFrame:
+        """A result that several parts of one query use: computed and checkpointed once for this object."""
+        return self._memo(("shared", name), lambda: cut_lineage(build()))
 
     def table(self, name: str) -> DataFrame:
         return self._memo(("table", name), lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))

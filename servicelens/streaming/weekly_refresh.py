@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from servicelens.functions.exprs import MONEY, closing_monday
+from servicelens.functions.exprs import closing_monday, money
 
 LINE_STREAM_SCHEMA = T.StructType([
     T.StructField("visit_id", T.LongType()),
@@ -31,7 +31,7 @@ def weekly_visit_stream(spark: SparkSession, folder: str, late_days: int = 14) -
             # windows [Tuesday, next Tuesday): the epoch is a Thursday, +5 days is a Tuesday
             .groupBy(F.window("event_time", "7 days", startTime="5 days").alias("w"), "visit_id")
             .agg(F.bool_or("is_anchor").alias("has_anchor"),
-                 F.sum(F.col("price").cast(MONEY)).alias("visit_revenue"),
+                 F.sum(money("price")).alias("visit_revenue"),
                  F.min("visit_date").alias("visit_date")))
 
 
