@@ -83,12 +83,15 @@ def campaign_target_list(alerts: DataFrame, customers: DataFrame) -> DataFrame:
 def capacity_schedule(alerts: DataFrame, forecast: DataFrame, params: Params) -> DataFrame:
     """Ranked targets assigned to forecast weeks within the weekly headroom
     (capacity - forecast visits); targets beyond the horizon's headroom stay unscheduled.
+    Without a given capacity it is 11/10 of the highest forecast week, rounded up.
 
     The slot table has one row per forecast week (bounded by the horizon
     parameter), so it is broadcast into a range join.
     """
+    most = F.max("forecast_visits").over(Window.partitionBy("series"))  # horizon rows
+    capacity = F.floor((most * 11 + 9) / 10) if params.weekly_capacity is None else F.lit(params.weekly_capacity)
     fc = forecast.where(F.col("series") == "ALL").select(
-        "week", F.greatest(F.lit(params.weekly_capacity) - F.col("forecast_visits"), F.lit(0)).alias("headroom"))
+        "week", F.greatest(capacity - F.col("forecast_visits"), F.lit(0)).alias("headroom"))
     w = Window.orderBy("week")
     slots = fc.select("week", F.sum("headroom").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
     slots = slots.withColumn("prev", F.coalesce(F.lag("cum").over(w), F.lit(0)))

@@ -47,7 +47,8 @@ class Params:
     # approx_percentile for high-cardinality double columns
     exact_median: bool = True
     # decision layer
-    weekly_capacity: int = 60
+    # visits a week that can be served; None: 11/10 of the highest forecast week
+    weekly_capacity: int | None = 60
     uplift_conversion: float = 0.18
     # model sizes (reference: 250 trees, 20/30 k-means restarts)
     gbt_iters: int = 250

@@ -748,7 +748,8 @@ rec AS (
   FROM (SELECT *, greatest((h[-4] + h[-3] + h[-2] + h[-1]) / 4, 0.0) AS p FROM rec WHERE step < 8)),
 fc AS (SELECT CAST(hs.last_week + 7 * r.step AS DATE) AS week, CAST(round_even(r.pred, 0) AS BIGINT) AS fv
        FROM rec r JOIN hs USING (series) WHERE r.step >= 1),
-sl0 AS (SELECT week, sum(greatest(60 - fv, 0)) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM fc),
+cp AS (SELECT *, (max(fv) OVER () * 11 + 9) // 10 AS cap FROM fc),
+sl0 AS (SELECT week, sum(greatest(cap - fv, 0)) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM cp),
 sl AS (SELECT week, cum, coalesce(lag(cum) OVER (ORDER BY week), 0) AS prev FROM sl0),
 tg AS (SELECT asset_id, customer_id, priority_score,
               CASE WHEN priority_score >= 85 THEN 'Critical' WHEN priority_score >= 70 THEN 'High Priority' ELSE 'Warm Reminder' END AS alert_tier,

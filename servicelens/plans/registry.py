@@ -365,7 +365,7 @@ def q_customer_rollup(spark, d):
 @query("value_score")
 def q_value_score(spark, d):
     """Percentile value score and reactivation priority."""
-    v = value.value_score(_customers(views(spark, d)))
+    v = value.value_score(_customers(views(spark, d))).orderBy(F.desc_nulls_last("priority_reactivation_score"), "customer_id")
     return v.select("customer_id", "annualized_revenue", "recency_risk", "value_score", "risk_score",
                     "priority_reactivation_score")
 

@@ -43,7 +43,7 @@ def star_params(**overrides) -> Params:
     base = Params(
         anchor_column="category", anchor_value=ANCHOR_CATEGORY,
         min_support=0.02, min_lift=1.05, window_start=METER_EPOCH,
-        holidays=STAR_HOLIDAYS, probe_items=STAR_PROBE_ITEMS,
+        holidays=STAR_HOLIDAYS, probe_items=STAR_PROBE_ITEMS, weekly_capacity=None,
     )
     return base.with_(**overrides) if overrides else base
 

@@ -2,8 +2,12 @@
 
 New line files arriving in a folder are aggregated into closing-Monday weeks
 with a watermark on the service date, so a week's row is final once the
-stream has moved ``late_days`` past it.  Distinct visits are counted per week
-from the (week, visit) state; revenue is an exact decimal sum.
+stream has moved ``late_days`` past it; weeks that are not final yet are not
+written, they follow with later files.  Distinct visits are counted per week
+from the (week, visit) state; revenue is an exact decimal sum.  Lines of no
+visit or date are left out, as in the batch; lines that come after their week
+was final are dropped and counted (``late_lines``).  Each micro-batch has a
+folder of its own in the sink, so a replayed batch replaces its own rows.
 """
 
 from __future__ import annotations
@@ -11,20 +15,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from servicelens.functions.exprs import closing_monday, money
 
-LINE_STREAM_SCHEMA = T.StructType([
-    T.StructField("visit_id", T.LongType()),
-    T.StructField("visit_date", T.DateType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("is_anchor", T.BooleanType()),
-])
 
+def line_schema(id_type: T.DataType | None = None) -> T.StructType:
+    """Columns of the line files; visit ids are text unless another type is given."""
+    return T.StructType([
+        T.StructField("visit_id", id_type or T.StringType()),
+        T.StructField("visit_date", T.DateType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("is_anchor", T.BooleanType()),
+    ])
 
-def weekly_visit_stream(spark: SparkSession, folder: str, late_days: int = 14) -> DataFrame:
+
+def weekly_visit_stream(spark: SparkSession, folder: str, late_days: int = 14, id_type: T.DataType | None = None) -> DataFrame:
     """Per (week, visit) rollup of a line stream; feed it to ``weekly_from_visits``."""
-    s = spark.readStream.schema(LINE_STREAM_SCHEMA).parquet(folder)
+    s = spark.readStream.schema(line_schema(id_type)).parquet(folder)
+    s = s.where(F.col("visit_id").isNotNull() & F.col("visit_date").isNotNull())
     ts = F.col("visit_date").cast("timestamp")
     return (s.withColumn("event_time", ts)
             .withWatermark("event_time", f"{late_days} days")
@@ -43,13 +52,18 @@ def weekly_from_visits(batch: DataFrame) -> DataFrame:
 
 
 def start(spark: SparkSession, folder: str, sink_folder: str, checkpoint: str, late_days: int = 14,
-          available_now: bool = True):
-    """Start the refresh: completed weeks are appended to ``sink_folder`` (Parquet)."""
-    visits = weekly_visit_stream(spark, folder, late_days)
+          available_now: bool = True, id_type: T.DataType | None = None) -> StreamingQuery:
+    """Start the refresh: completed weeks go to ``sink_folder/batch=N`` (Parquet)."""
+    visits = weekly_visit_stream(spark, folder, late_days, id_type)
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        weekly_from_visits(batch).write.mode("append").parquet(sink_folder)
+    def write(batch: DataFrame, epoch: int) -> None:
+        weekly_from_visits(batch).write.mode("overwrite").parquet(f"{sink_folder.rstrip('/')}/batch={epoch}")
 
     w = visits.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def late_lines(query: StreamingQuery) -> int:
+    """(week, visit) updates dropped so far since their week was final already."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

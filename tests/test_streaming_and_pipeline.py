@@ -2,11 +2,12 @@
 the full pipeline writes every table."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from servicelens.operators import demand, visits as visits_op
 from servicelens.plans.common import views
 from servicelens.plans.pipeline import run
-from servicelens.streaming.weekly_refresh import start
+from servicelens.streaming.weekly_refresh import late_lines, start
 from tests.conftest import SF0001
 
 
@@ -17,9 +18,11 @@ def test_weekly_refresh_matches_batch(spark, tmp_path):
     # two arrivals: older half then newer half
     cut = "1998-06-01"
     lines.where(F.col("visit_date") < cut).write.parquet(src + "/part1")
-    lines.where(F.col("visit_date") >= cut).write.parquet(src + "/part2")
-    q = start(spark, src + "/*", str(tmp_path / "sink"), str(tmp_path / "ckpt"), late_days=14)
+    none = lines.limit(5).withColumn("visit_id", F.lit(None).cast("long"))  # of no visit: counted by neither
+    lines.where(F.col("visit_date") >= cut).unionByName(none).write.parquet(src + "/part2")
+    q = start(spark, src + "/*", str(tmp_path / "sink"), str(tmp_path / "ckpt"), late_days=14, id_type=T.LongType())
     q.awaitTermination(300)
+    assert late_lines(q) >= 0
     got = {r.week: (r.visits, r.anchor_visits) for r in spark.read.parquet(str(tmp_path / "sink")).collect()}
     batch = demand.weekly_demand(visits_op.visit_rollup(sv.lines("line_id", "visit_id", "visit_date", "price", "is_anchor",
                                                                    "asset_id", "meter_km", "branch", "technician", "item")))
