@@ -831,3 +831,29 @@ SELECT k.total AS total_revenue, k.total / CAST(k.visits AS DOUBLE) AS avg_order
 FROM k, av
 """)
 SQL["executive_summary"] = SQL["executive_summary"].replace("WITH assets AS", "WITH RECURSIVE assets AS", 1)
+
+
+def _long(name: str, section: str, item: str, values: list[str], tail: str = "", scale: str = "{}") -> str:
+    """The result of another query's SQL as (section, item, metric, value)."""
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, CAST({item} AS VARCHAR) AS item, '{v}' AS metric, " + scale.format(f"CAST({v} AS DOUBLE)")
+        + f" AS value FROM (SELECT * FROM ({SQL[name]}) {tail})" for v in values)
+
+
+SQL["executive_tables"] = " UNION ALL ".join([
+    f"SELECT 'kpi' AS section, 'all' AS item, metric, CAST(value AS DOUBLE) AS value FROM ({SQL['kpi_long']})",
+    _long("interval_by_segment", "interval", "segment", ["n_episodes", "avg_gap_days", "avg_gap_km"]),
+    _long("top_rules", "best_rule", "rule", ["confidence", "lift", "estimated_rule_revenue"],
+          "ORDER BY estimated_rule_revenue DESC, lift DESC, confidence DESC, antecedent, consequent LIMIT 1"),
+    _long("recursive_forecast_naive", "forecast", "week", ["forecast_visits", "forecast_anchor_visits", "forecast_revenue"]),
+    _long("uplift_scenarios", "uplift", "scenario",
+          ["targetable_assets", "incremental_visits", "incremental_service_revenue", "total_incremental_revenue"]),
+])
+SQL["chart_data"] = " UNION ALL ".join(
+    _long(name, section, item, [value], scale="round({}, 6)") for name, section, item, value in (
+        ("revenue_by_category", "revenue_by_category", "category", "revenue"),
+        ("interval_by_segment", "interval_by_segment", "segment", "avg_gap_days"),
+        ("top_rules", "top_rules", "rule", "estimated_rule_revenue"),
+        ("recursive_forecast_naive", "weekly_forecast", "week", "forecast_visits"),
+        ("tier_distribution", "alert_tiers", "alert_tier", "assets"),
+        ("segment_profile", "profile", "segment", "avg_revenue_per_year")))

@@ -708,6 +708,34 @@ def q_executive_summary(spark, d):
     return kpi.executive_summary(k, rules, fc, _episodes(sv))
 
 
+from servicelens.operators import report  # noqa: E402
+
+
+@query("executive_tables")
+def q_executive_tables(spark, d):
+    """The report's tables in long form (section, item, metric, value)."""
+    sv = views(spark, d)
+    lines = sv.lines("visit_id", "visit_date", "price", "is_anchor")
+    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    aov = kpi.kpi_summary(lines, sv.assets()).select("avg_order_value").scalar()
+    return report.executive_tables(
+        kpi.kpi_long(lines, sv.assets()), interval.interval_by_segment(_episodes(sv), sv.params), basket.top_rules(rules, 1),
+        demand.recursive_forecast(_weekly(sv), sv.params, None), decisions.uplift_scenarios(_alerts(sv), aov))
+
+
+@query("chart_data")
+def q_chart_data(spark, d):
+    """What the six charts draw; the profile is by usage segment, as given labels are."""
+    sv = views(spark, d)
+    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    c = report.chart_data(
+        kpi.revenue_by_category(sv.lines("line_id", "visit_id", "category", "price")),
+        interval.interval_by_segment(_episodes(sv), sv.params), basket.top_rules(rules),
+        demand.recursive_forecast(_weekly(sv), sv.params, None), alerts.tier_distribution(_alerts(sv)),
+        segments.group_profile(_features(sv), "segment"), "segment")
+    return c.withColumn("value", r6(F.col("value")))
+
+
 @query("weibull_aft_censored")
 def q_weibull_aft_censored(spark, d):
     """M2 option: leak-free AFT with every asset's open interval as a censored row (rows-only)."""
