@@ -204,13 +204,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_mod: int = 5, held_re
 def keep_good(docs: DataFrame, labels: DataFrame, held_mod: int = 5, held_rest: int = 0, params: RidgeParams | None = None) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns as they are.
 
-    The model is fitted as in ``score_quality``; each row is then scored from
-    its own text, so repeated rows and NULL ids need no join.
+    The model is fitted as in ``score_quality``: statistics of all rows meet
+    the labels, so no text is shuffled. Each row is then scored from its own
+    text, so repeated rows and NULL ids need no join.
     """
     p = params or RidgeParams()
-    labelled = labels.where(fold("doc_id", held_mod) != held_rest).where(F.col("quality").isNotNull())
-    ids = labelled.select(F.col("doc_id").cast("long").alias("__id")).distinct()
-    model = fit_quality(statistics(docs.join(ids, docs["doc_id"].cast("long") == F.col("__id"), "left_semi")), labelled, params=p)
+    model = fit_quality(statistics(docs), labels.where(fold("doc_id", held_mod) != held_rest), params=p)
 
     @F.pandas_udf("double")
     def score(text):
