@@ -256,7 +256,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, p: GruParams)
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where("doc_id is not null and y is not null")
     own = own.groupBy("doc_id").agg(F.max("y").alias("y"))
     most = p.window + p.stride * (p.sample_windows - 1)
-    # a token takes two characters at least, so longer texts may have too many windows
+    # of texts that are longer than that many tokens of eight characters, few would fit: they are not read for it
     short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= 8 * most)
     ids = short.select("doc_id").join(own, "doc_id").distinct()
     order = F.xxhash64("doc_id", F.lit(p.seed))
