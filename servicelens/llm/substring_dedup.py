@@ -33,7 +33,7 @@ class ChunkParams:
     window: int = 12
     #: Least words of a run of shared chunks. A shared passage of n words holds whole chunks of
     #: n - 3 - 2 * window words at least, so each one of 51 words is found; common short lines are not.
-    min_words: int = 20
+    min_words: int = 24
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
