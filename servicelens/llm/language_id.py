@@ -91,7 +91,8 @@ class LangModel:
     def vector(self, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets and TF-IDF values of length one; the last bucket is the intercept."""
         v = np.log1p(count) * self.idf[at]
-        return np.append(at, self.params.buckets), np.append(v / max(np.sqrt((v * v).sum()), 1e-12), 1.0)
+        v = np.append(v / max(np.sqrt((v * v).sum()), 1e-12), 1.0)
+        return np.append(at, self.params.buckets).astype(np.int32), v.astype(np.float32)
 
     def logits(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
         return x @ self.weights[at]
@@ -182,16 +183,14 @@ def fit_language_model(docs: DataFrame, params: LangParams | None = None) -> Lan
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [ngram_counts(t, p) for t in texts(b)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("lang"), pa.array([a.tolist() for a, _ in got], pa.list_(pa.int32())), pa.array([c.tolist() for _, c in got], pa.list_(pa.int32()))],
-                names=["doc_id", "lang", "at", "n"],
-            )
+            packed = [pa.array([x[i].astype("<i4").tobytes() for x in got], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), *packed], names=["doc_id", "lang", "at", "n"])
 
     chance = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit: Column = F.create_map(*[x for name in langs for x in (F.lit(name), F.lit(p.rows_a_language / sizes[name]))])[F.col("lang")]
-    picked = source.where(chance < limit).mapInArrow(counts, "doc_id long, lang string, at array<int>, n array<int>").collect()
+    picked = source.where(chance < limit).mapInArrow(counts, "doc_id long, lang string, at binary, n binary").collect()
     place = {name: i for i, name in enumerate(langs)}
-    rows = [(r.doc_id, (*model.vector(np.array(r.at, np.int64), np.array(r.n, np.int64)), place[r.lang])) for r in picked if r.at]
+    rows = [(r.doc_id, (*model.vector(np.frombuffer(r.at, "<i4"), np.frombuffer(r.n, "<i4")), place[r.lang])) for r in picked if r.at]
     rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1][2]))
     apart = [i % p.calibration_part == 0 for i in range(len(rows))] if len(rows) >= 10 * p.calibration_part else [False] * len(rows)
     train_ftrl(model, [r for (_, r), out in zip(rows, apart) if not out])
