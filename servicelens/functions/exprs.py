@@ -17,7 +17,7 @@ def col(c: str | Column) -> Column:
 
 def money(c: str | Column) -> Column:
     """Amount as an exact decimal; NaN, infinite and too large amounts become NULL."""
-    return col(c).try_cast(MONEY)
+    return F.when(F.abs(col(c)) < F.lit(1e16), col(c)).cast(MONEY)
 
 
 def money_sum(c: str | Column) -> Column:

@@ -128,7 +128,7 @@ EPISODE_LINE_COLS = ("line_id", "visit_id", "asset_id", "visit_date", "meter_km"
 
 
 def _anchors(sv):
-    """The anchor lines: all that episodes, last anchors and alerts need of the fact table."""
+    """The anchor lines: all that episodes, last anchors and alerts need of the fact table, for queries that use several of these."""
     return sv.shared("anchors", lambda: sv.lines(*EPISODE_LINE_COLS).where("is_anchor"))
 
 
@@ -136,8 +136,8 @@ def _as_of(sv):
     return csv_source.as_of_date(sv.lines("visit_date"), sv.params)
 
 
-def _episodes(sv):
-    return sv.shared("episodes", lambda: episodes.build_episodes(_anchors(sv), sv.assets(), sv.params))
+def _episodes(sv, lines=None):
+    return episodes.build_episodes(sv.lines(*EPISODE_LINE_COLS) if lines is None else lines, sv.assets(), sv.params)
 
 
 @query("anchor_lines")
@@ -168,7 +168,8 @@ def q_raw_gap_by_segment(spark, d):
 
 # ---------------------------------------------------------------- alerts
 def _alerts(sv):
-    return sv.shared("alerts", lambda: alerts.score_alerts(_anchors(sv), sv.assets(), _episodes(sv), sv.params, as_of=_as_of(sv)))
+    anchors = _anchors(sv)
+    return alerts.score_alerts(anchors, sv.assets(), _episodes(sv, anchors), sv.params, as_of=_as_of(sv))
 
 
 @query("last_anchor")
@@ -265,8 +266,7 @@ WEEKLY_COLS = ("visit_id", "visit_date", "price", "is_anchor")
 def _weekly(sv, series_cols=()):
     """The weekly series from the columns it needs: the global one joins neither supplier, nation nor customer."""
     extra = ("line_id", "branch", "technician", "category") if series_cols else ()
-    name = "weekly_" + "_".join(series_cols)
-    return sv.shared(name, lambda: demand.weekly_demand(visits_op.visit_totals(sv.lines(*WEEKLY_COLS, *extra), series_cols), series_cols))
+    return demand.weekly_demand(visits_op.visit_totals(sv.lines(*WEEKLY_COLS, *extra), series_cols), series_cols)
 
 
 def _split(sv):
@@ -353,7 +353,12 @@ def _visits_full(sv):
 
 
 def _customers(sv):
-    return sv.shared("customers", lambda: value.customer_rollup(_visits_full(sv), sv.lines("visit_date"), sv.params))
+    return value.customer_rollup(_visits_full(sv), sv.lines("visit_date"), sv.params)
+
+
+def _shared_customers(sv):
+    """The rollup for queries that rank it and join the ranks back."""
+    return sv.shared("customers", lambda: _customers(sv))
 
 
 @query("customer_rollup")
@@ -365,7 +370,7 @@ def q_customer_rollup(spark, d):
 @query("value_score")
 def q_value_score(spark, d):
     """Percentile value score and reactivation priority."""
-    v = value.value_score(_customers(views(spark, d))).orderBy(F.desc_nulls_last("priority_reactivation_score"), "customer_id")
+    v = value.value_score(_shared_customers(views(spark, d))).orderBy(F.desc_nulls_last("priority_reactivation_score"), "customer_id")
     return v.select("customer_id", "annualized_revenue", "recency_risk", "value_score", "risk_score",
                     "priority_reactivation_score")
 
@@ -382,8 +387,7 @@ from servicelens.operators import segments  # noqa: E402
 
 
 def _features(sv):
-    return sv.shared("features", lambda: segments.feature_table(
-        sv.assets(), visits_op.visit_rollup(sv.lines(*VISIT_COLS)), _episodes(sv)))
+    return segments.feature_table(sv.assets(), visits_op.visit_rollup(sv.lines(*VISIT_COLS)), _episodes(sv))
 
 
 @query("car_activity")
@@ -405,7 +409,8 @@ def q_car_features(spark, d):
 @query("standardized_features")
 def q_standardized_features(spark, d):
     """Z-scores of the clustering inputs (population sd)."""
-    z = segments.standardized(_features(views(spark, d)))
+    sv = views(spark, d)
+    z = segments.standardized(sv.shared("features", lambda: _features(sv)))
     return z.select("asset_id", *[r6(F.col(f"z_{c}")).alias(f"z_{c}") for c in segments.X_COLS])
 
 
@@ -520,7 +525,7 @@ def q_interval_by_segment_scored(spark, d):
 def q_alert_ranking_predicted(spark, d):
     """A4 on predicted gaps (the reference's default), here of the closed-form prediction."""
     sv = views(spark, d)
-    scored = interval.trend_scored(_episodes(sv))
+    scored = interval.trend_scored(_episodes(sv, _anchors(sv)))
     a = alerts.score_alerts(_anchors(sv), sv.assets(), scored, sv.params, interval_col="pred_gap_days", as_of=_as_of(sv))
     return alerts.rank_alerts(a.select(
         "asset_id", "segment", "days_since_last_anchor", r6(F.col("predicted_interval_days")).alias("predicted_interval_days"),
@@ -628,7 +633,7 @@ def q_next_best_offer(spark, d):
 def q_campaign_target_list(spark, d):
     """D3: targeted alerts with the owner's value score and segment."""
     sv = views(spark, d)
-    cust = value.value_segment(value.value_score(_customers(sv)))
+    cust = value.value_segment(value.value_score(_shared_customers(sv)))
     t = decisions.campaign_target_list(_alerts(sv), cust)
     return t.select("asset_id", "customer_id", "alert_tier", "priority_score", "value_score", "value_segment", "action") \
             .withColumn("priority_score", r6(F.col("priority_score")))
