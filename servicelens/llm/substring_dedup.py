@@ -31,9 +31,10 @@ NO_ID = 1 << 62
 @dataclass(frozen=True)
 class ChunkParams:
     window: int = 12
-    #: Least words of a run of shared chunks. A shared passage of n words holds whole chunks of
-    #: n - 3 - 2 * window words at least, so each one of 51 words is found; common short lines are not.
-    min_words: int = 24
+    #: Least words of a run of shared chunks. The first word of a passage that has 16 bytes of it before
+    #: it is word 8 at most (after words of one letter), and the first and last sure cut are up to window - 1
+    #: and window words from there and from the end: n - 8 - 2 * window + 1 words of whole chunks are sure to be shared, 20 of 51.
+    min_words: int = 20
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:

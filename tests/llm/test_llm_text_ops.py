@@ -153,6 +153,19 @@ def test_long_passages_are_found_and_short_lines_left(spark):
         assert kept[d] == want
 
 
+def test_passages_that_open_with_short_words_are_found(spark):
+    """Nine one-letter words first: the sure run is 20 words, the shortest there can be."""
+    rows, later = [], []
+    for s in range(300):
+        rng = random.Random(7000 + s)
+        passage = " ".join([rng.choice("abcdefghij") for _ in range(9)] + prose(8000 + s, 42).split())
+        for i in (2 * s, 2 * s + 1):
+            rows.append((i, f"{prose(20_000 + i, 40)} {passage} {prose(30_000 + i, 40)}", "en", "s", 0))
+        later.append(2 * s + 1)
+    got = duplicate_spans(spark.createDataFrame(rows, DOC_SCHEMA)).collect()
+    assert {r.doc_id for r in got} == set(later) and min(r.n_words for r in got) < 24
+
+
 def test_spans_of_odd_rows(spark):
     df = odd_docs(spark)
     got = duplicate_spans(df).collect()
