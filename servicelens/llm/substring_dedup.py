@@ -4,7 +4,8 @@ A gear hash of the 16 bytes before each word decides where chunks are cut: a
 word starts a chunk if its hash is the least of some ``window`` successive
 words. Cuts depend on the text around them alone, so an insertion shifts no
 other cut, and no chunk is longer than ``window`` words. Runs of chunks that an
-earlier document has too are duplicate spans.
+earlier document has too are duplicate spans, if they are long or the whole
+document.
 """
 
 from __future__ import annotations
@@ -70,7 +71,10 @@ def chunk_cuts(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def chunks(docs: DataFrame, p: ChunkParams) -> DataFrame:
-    """(digest, dkey, seq, start, stop, words): all chunks of all rows; start and stop are UTF-8 byte offsets."""
+    """(digest, dkey, seq, final, start, stop, words): all chunks of all rows; start and stop are UTF-8 byte offsets.
+
+    ``final`` marks the last chunk of its text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -79,23 +83,24 @@ def chunks(docs: DataFrame, p: ChunkParams) -> DataFrame:
                 yield rows(part.column("doc_id").to_pylist(), texts(part))
 
     def rows(ids: list[int | None], group: Iterator[str | None]) -> pa.RecordBatch:
-        digest, cols = [], [[] for _ in range(5)]
+        digest, cols = [], [[] for _ in range(6)]
         for doc_id, t in zip(ids, group):
             data = (t or "").encode("utf-8", "surrogatepass")
             start, stop, words = chunk_cuts(np.frombuffer(data, np.uint8), p.window)
             digest += [xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(start.tolist(), stop.tolist())]
             key = doc_id if doc_id is not None else NO_ID + (xxhash.xxh3_64_intdigest(data) >> 2)
-            for c, v in zip(cols, (np.full(len(start), key, np.int64), np.arange(len(start)), start, stop, words)):
+            seq = np.arange(len(start))
+            for c, v in zip(cols, (np.full(len(start), key, np.int64), seq, seq == len(start) - 1, start, stop, words)):
                 c.append(v)
         whole = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array(np.array(digest, np.uint64).view(np.int64)), *(pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(whole, kinds))],
-            names=["digest", "dkey", "seq", "start", "stop", "words"],
+            names=["digest", "dkey", "seq", "final", "start", "stop", "words"],
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "digest long, dkey long, seq int, start int, stop int, words int")
+    return source.mapInArrow(run, "digest long, dkey long, seq int, final boolean, start int, stop int, words int")
 
 
 def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataFrame:
@@ -104,6 +109,8 @@ def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataF
     start and stop are UTF-8 byte offsets; first_doc_id is the smallest of the
     documents that have a chunk of the span first, first_doc_ids lists them.
     The document of the smallest id keeps a passage and gives no row for it.
+    A span has ``min_words`` words at least or is a whole document, as in exact
+    copies of short ones.
     Repeats within one document are no duplicates, nor are repeated rows of
     one doc_id; rows with a NULL doc_id are told apart by their text and come
     last. NULL and empty texts have no chunk; an empty table gives no rows.
@@ -120,8 +127,9 @@ def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataF
     spans = (
         repeated.withColumn("island", island).groupBy("dkey", "island")
         .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"),
+             (F.min("seq") == 0).alias("from_start"), F.bool_or("final").alias("to_end"),
              F.min("first").alias("first"), F.sort_array(F.collect_set(F.when(F.col("first") < NO_ID, F.col("first")))).alias("first_doc_ids"))
-        .where(F.col("n_words") >= p.min_words)
+        .where((F.col("n_words") >= p.min_words) | (F.col("from_start") & F.col("to_end")))
     )
     known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
     return spans.select(known("dkey").alias("doc_id"), "start", "stop", "n_words", known("first").alias("first_doc_id"), "first_doc_ids", "dkey").drop("dkey")

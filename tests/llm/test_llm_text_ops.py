@@ -166,6 +166,14 @@ def test_passages_that_open_with_short_words_are_found(spark):
     assert {r.doc_id for r in got} == set(later) and min(r.n_words for r in got) < 24
 
 
+def test_copies_of_short_documents_are_found(spark):
+    rows = [(100 * n + i, prose(40_000 + n, n)) for n in range(1, 31) for i in range(3)]
+    rows += [(5000, "word"), (5001, " word\n"), (5002, "word other"), (5003, prose(1, 60) + " word"), (5004, "")]
+    got = duplicate_spans(spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOC_SCHEMA)).collect()
+    want = [(100 * n + i, 0, len(prose(40_000 + n, n)), n, 100 * n) for n in range(1, 31) for i in (1, 2)] + [(5001, 1, 5, 1, 5000)]
+    assert sorted((r.doc_id, r.start, r.stop, r.n_words, r.first_doc_id) for r in got) == want
+
+
 def test_spans_of_odd_rows(spark):
     df = odd_docs(spark)
     got = duplicate_spans(df).collect()
