@@ -71,9 +71,10 @@ def chunk_cuts(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def chunks(docs: DataFrame, p: ChunkParams) -> DataFrame:
-    """(digest, dkey, seq, final, start, stop, words): all chunks of all rows; start and stop are UTF-8 byte offsets.
+    """(digest, dkey, text_key, seq, final, start, stop, words): all chunks of all rows; start and stop are UTF-8 byte offsets.
 
-    ``final`` marks the last chunk of its text.
+    ``final`` marks the last chunk of its text; ``text_key``, a digest of the
+    whole text, tells apart several texts of one doc_id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,28 +84,29 @@ def chunks(docs: DataFrame, p: ChunkParams) -> DataFrame:
                 yield rows(part.column("doc_id").to_pylist(), texts(part))
 
     def rows(ids: list[int | None], group: Iterator[str | None]) -> pa.RecordBatch:
-        digest, cols = [], [[] for _ in range(6)]
+        digest, cols = [], [[] for _ in range(7)]
         for doc_id, t in zip(ids, group):
             data = (t or "").encode("utf-8", "surrogatepass")
             start, stop, words = chunk_cuts(np.frombuffer(data, np.uint8), p.window)
             digest += [xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(start.tolist(), stop.tolist())]
-            key = doc_id if doc_id is not None else NO_ID + (xxhash.xxh3_64_intdigest(data) >> 2)
+            text_key = xxhash.xxh3_64_intdigest(data)
+            key = doc_id if doc_id is not None else NO_ID + (text_key >> 2)
             seq = np.arange(len(start))
-            for c, v in zip(cols, (np.full(len(start), key, np.int64), seq, seq == len(start) - 1, start, stop, words)):
+            for c, v in zip(cols, (np.full(len(start), key, np.int64), np.full(len(start), text_key, np.uint64).view(np.int64), seq, seq == len(start) - 1, start, stop, words)):
                 c.append(v)
         whole = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
-        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
             [pa.array(np.array(digest, np.uint64).view(np.int64)), *(pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(whole, kinds))],
-            names=["digest", "dkey", "seq", "final", "start", "stop", "words"],
+            names=["digest", "dkey", "text_key", "seq", "final", "start", "stop", "words"],
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "digest long, dkey long, seq int, final boolean, start int, stop int, words int")
+    return source.mapInArrow(run, "digest long, dkey long, text_key long, seq int, final boolean, start int, stop int, words int")
 
 
 def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataFrame:
-    """(doc_id, start, stop, n_words, first_doc_id, first_doc_ids): spans that a smaller doc_id has too.
+    """(doc_id, start, stop, n_words, first_doc_id, first_doc_ids, text_hash): spans that a smaller doc_id has too.
 
     start and stop are UTF-8 byte offsets; first_doc_id is the smallest of the
     documents that have a chunk of the span first, first_doc_ids lists them.
@@ -112,7 +114,9 @@ def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataF
     A span has ``min_words`` words at least or is a whole document, as in exact
     copies of short ones.
     Repeats within one document are no duplicates, nor are repeated rows of
-    one doc_id; rows with a NULL doc_id are told apart by their text and come
+    one doc_id; of several texts with one doc_id each has its own spans, told
+    apart by text_hash (xxhash3 of the text), and none is a duplicate of
+    another; rows with a NULL doc_id are told apart by their text and come
     last. NULL and empty texts have no chunk; an empty table gives no rows.
     Other columns are not read. Ids are below 2**62.
     """
@@ -123,24 +127,24 @@ def duplicate_spans(docs: DataFrame, params: ChunkParams | None = None) -> DataF
         own.groupBy("digest").agg(F.min("dkey").alias("first"), F.max("dkey").alias("last")).where("first <> last").select("digest", "first")
     )
     repeated = own.join(shared, "digest").where("dkey <> first").drop("digest").distinct()
-    island = F.col("seq") - F.row_number().over(Window.partitionBy("dkey").orderBy("seq", "start", "first"))
+    island = F.col("seq") - F.row_number().over(Window.partitionBy("dkey", "text_key").orderBy("seq", "start", "first"))
     spans = (
-        repeated.withColumn("island", island).groupBy("dkey", "island")
+        repeated.withColumn("island", island).groupBy("dkey", "text_key", "island")
         .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"),
              (F.min("seq") == 0).alias("from_start"), F.bool_or("final").alias("to_end"),
              F.min("first").alias("first"), F.sort_array(F.collect_set(F.when(F.col("first") < NO_ID, F.col("first")))).alias("first_doc_ids"))
         .where((F.col("n_words") >= p.min_words) | (F.col("from_start") & F.col("to_end")))
     )
     known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    return spans.select(known("dkey").alias("doc_id"), "start", "stop", "n_words", known("first").alias("first_doc_id"), "first_doc_ids", "dkey").drop("dkey")
+    return spans.select(known("dkey").alias("doc_id"), "start", "stop", "n_words", known("first").alias("first_doc_id"), "first_doc_ids", F.col("text_key").alias("text_hash"))
 
 
 def drop_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with its duplicate spans cut out of ``text``; other rows and columns as they are.
 
-    Rows are met by doc_id; those with a NULL doc_id are left alone.
+    Rows are met by doc_id and text; those with a NULL doc_id are left alone.
     """
-    cuts = spans.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("__cuts"))
+    cuts = spans.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list(F.struct("start", "stop", "text_hash"))).alias("__cuts"))
 
     @F.pandas_udf("string")
     def cut(text, ranges):
@@ -150,7 +154,8 @@ def drop_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
         for t, r in zip(text, ranges):
             if t is not None and r is not None:
                 data, kept, at = t.encode("utf-8", "surrogatepass"), [], 0
-                for x in r:
+                own = int(np.array([xxhash.xxh3_64_intdigest(data)], np.uint64).view(np.int64)[0])
+                for x in (x for x in r if x["text_hash"] == own):
                     kept.append(data[at : x["start"]])
                     at = max(at, x["stop"])
                 t = b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")

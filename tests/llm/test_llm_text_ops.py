@@ -174,6 +174,23 @@ def test_copies_of_short_documents_are_found(spark):
     assert sorted((r.doc_id, r.start, r.stop, r.n_words, r.first_doc_id) for r in got) == want
 
 
+def test_texts_of_one_id_have_their_own_spans(spark):
+    a, b = prose(50_000, 120), prose(50_001, 120)
+    first, second = f"{prose(50_002, 30)} {a} {prose(50_003, 30)}", f"{b} {prose(50_004, 50)}"
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in [(1, a), (2, b), (7, first), (7, second), (7, second), (8, first)]], DOC_SCHEMA)
+    got = duplicate_spans(df)
+    alone = duplicate_spans(df.where("doc_id < 7").unionByName(df.where("doc_id = 8")))
+    key = lambda r: (r.start, r.stop, r.n_words, r.first_doc_id)
+    rows = [r for r in got.collect() if r.doc_id == 7]
+    assert len(rows) == 2 and len({r.text_hash for r in rows}) == 2
+    assert sorted(r.first_doc_id for r in rows) == [1, 2] and all(r.n_words >= 97 for r in rows)
+    assert [key(r) for r in rows if r.first_doc_id == 1] == [key(r) for r in alone.where("doc_id = 8").collect()]
+    cuts = {r.first_doc_id: r for r in rows}
+    left = lambda t, r: (t.encode()[: r.start] + t.encode()[r.stop :]).decode()
+    want = sorted([left(first, cuts[1]), left(second, cuts[2]), left(second, cuts[2])])
+    assert sorted(r.text for r in drop_spans(df, got).collect() if r.doc_id == 7) == want
+
+
 def test_spans_of_odd_rows(spark):
     df = odd_docs(spark)
     got = duplicate_spans(df).collect()
