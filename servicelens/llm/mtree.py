@@ -125,13 +125,13 @@ class MTree:
                     scores = self.vectors[open_[0] : open_[-1] + 1] @ query
                 else:
                     scores = self.vectors[open_] @ query
+                other = self.ids[open_] != own_id  # an id may have several vectors
+                scores, open_ = scores[other], open_[other]
                 least = best[0][0] if len(best) == k else -np.inf
                 if len(scores) > k:  # those that tie with the k-th stay
-                    least = max(least, np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1])
+                    least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
                 hold = np.flatnonzero(scores >= least)
                 for s, i in zip(scores[hold].tolist(), self.ids[open_[hold]].tolist()):
-                    if i == own_id:
-                        continue
                     if len(best) < k:
                         heapq.heappush(best, (s, -i))
                     elif (s, -i) > best[0]:
@@ -194,7 +194,8 @@ def top_k(vectors: DataFrame, k: int = 20, query_mod: int = 20, params: TreePara
         return pa.table({"block": t.column("block").slice(0, 1), "queries": pa.array(
             [pickle.dumps((t.column("vec_id").to_numpy(), _padded(t.column("v").to_pylist(), p.scale)))], pa.binary())})
 
-    spread = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")
+    # by the vector too: one id may have any number of them
+    spread = lambda m: F.pmod(F.xxhash64("vec_id", "v"), F.lit(m)).cast("int")
     forest = materialise(rows.withColumn("tree", spread(trees)).groupBy("tree").applyInArrow(build, "tree int, pages binary"))
     asked = materialise(rows.where(is_query).withColumn("block", spread(blocks)).groupBy("block").applyInArrow(pack, "block int, queries binary"))
     met = forest.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(

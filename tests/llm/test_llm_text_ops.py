@@ -236,6 +236,18 @@ def test_top_k_of_odd_vectors(spark):
     assert sorted(map(tuple, top_k(df.where("vec_id < 5")).collect())) == plain_top(rows[:5], 20, 20)
 
 
+def test_vectors_of_the_query_id_take_no_place(spark):
+    """An id with many vectors, all nearer to each other than any other is."""
+    rng = random.Random(3)
+    rows = [(20, [2 + rng.uniform(0, 1) for _ in range(6)]) for _ in range(60)]
+    rows += [(1000 + 20 * i + 1, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(100)]
+    every = sorted((x for x in plain_top(rows, len(rows), 20)), key=lambda x: (-x[3], x[2]))
+    want = [(20, n + 1, i, s) for n, (_, _, i, s) in enumerate(every[:20])]  # of all its vectors together
+    df = spark.createDataFrame(rows, VEC_SCHEMA)
+    for p in (TreeParams(), TreeParams(vectors_a_tree=40, queries_a_block=3, page=8, fanout=3)):
+        assert sorted(map(tuple, top_k(df, 20, 20, p).collect())) == want
+
+
 def test_tree_bounds_save_computations():
     """Clustered vectors: the stored bounds leave most pages unread, and the answer is exact."""
     rng = np.random.default_rng(0)
