@@ -33,7 +33,8 @@ class GruParams:
     embed: int = 12
     hidden: int = 8
     attend: int = 8
-    #: Bound of the training sample: labelled rows of each class, and the windows of a row.
+    #: Bound of the training sample: labelled rows of each class, and their windows on average
+    #: (a class has rows x sample_windows windows at most, of short and long rows alike).
     toxic_rows: int = 1500
     clean_rows: int = 4000
     sample_windows: int = 48
@@ -222,7 +223,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], p: GruParams) -> Gru
         for i in range(0, len(order), p.batch):
             own = [rows[j] for j in order[i : i + p.batch]]
             ids, mask = np.concatenate([r[0] for r in own]), np.concatenate([r[1] for r in own])
-            logit = net.logits(ids, mask)
+            logit = np.concatenate([net.logits(ids[j : j + 4096], mask[j : j + 4096]) for j in range(0, len(ids), 4096)])
             take, target, share, at = [], [], [], 0
             for r in own:
                 worst = np.argsort(-logit[at : at + len(r[0])])[: 1 if r[2] > 0.5 else 2]
@@ -247,30 +248,43 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], p: GruParams) -> Gru
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, p: GruParams) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """The bounded sample: of each class the rows first in the order of a hash, as their windows.
+    """The bounded sample: of each class the rows first in the order of a hash, with all their windows.
 
-    Rows with over ``sample_windows`` windows are left out of the sample (they
-    are scored as a whole all the same). The rows are picked by id, so that
-    texts are read for them only.
+    It ends with the class's number of rows, or before the row that would bring
+    it over its total of windows (or of characters, eight for a token, which
+    bounds what is read). No row is passed over for its length, unless it alone
+    has more characters than the whole class may have. The rows are picked by
+    id, so that texts are read for them only.
     """
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where("doc_id is not null and y is not null")
     own = own.groupBy("doc_id").agg(F.max("y").alias("y"))
-    most = p.window + p.stride * (p.sample_windows - 1)
-    # of texts that are longer than that many tokens of eight characters, few would fit: they are not read for it
-    short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= 8 * most)
-    ids = short.select("doc_id").join(own, "doc_id").distinct()
+    most = 8 * (p.window + p.stride * (p.sample_windows - 1))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    ids = source.select("doc_id", F.length("text").alias("chars")).join(own, "doc_id").groupBy("doc_id", "y").agg(F.max("chars").alias("chars"))
     order = F.xxhash64("doc_id", F.lit(p.seed))
-    picked = [r for y, n in ((1, p.toxic_rows), (0, p.clean_rows)) for r in ids.where((F.col("y") > 0.5) == F.lit(bool(y))).orderBy(order, "doc_id").limit(n).collect()]
+    classes = []
+    for y, n in ((1, p.toxic_rows), (0, p.clean_rows)):
+        rows, chars = [], 0
+        for r in ids.where(((F.col("y") > 0.5) == F.lit(bool(y))) & (F.col("chars") <= most * n)).orderBy(order, "doc_id").limit(n).collect():
+            chars += r.chars
+            if chars > most * n:
+                break
+            rows.append(r)
+        classes.append((n, rows))
+    picked = [r.doc_id for _, rows in classes for r in rows]
     if not picked:
         return []
-    target = {r.doc_id: r.y for r in picked}
-    got = short.where(F.col("doc_id").isin(list(target))).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    out = []
-    for r in got:
-        ids_, mask = windows(token_inputs(r.text, p.buckets), p)
-        if len(ids_) <= p.sample_windows:
-            out.append((ids_, mask, target[r.doc_id]))
-    return out
+    text = {r.doc_id: r.text for r in source.where(F.col("doc_id").isin(picked)).dropDuplicates(["doc_id"]).collect()}
+    out = {}
+    for n, rows in classes:
+        total = 0
+        for r in rows:
+            ids_, mask = windows(token_inputs(text.pop(r.doc_id), p.buckets), p)
+            total += len(ids_)
+            if total > n * p.sample_windows and total > len(ids_):
+                break
+            out[r.doc_id] = (ids_, mask, r.y)
+    return [out[i] for i in sorted(out)]
 
 
 def score_texts(net: GruScorer, group: list[str | None]) -> np.ndarray:

@@ -2,12 +2,12 @@
 
 import numpy as np
 import pytest
-from llm_cases import LABEL_SCHEMA, empty_docs, label_rows, odd_docs
+from llm_cases import DOC_SCHEMA, LABEL_SCHEMA, empty_docs, label_rows, odd_docs, prose
 
 from servicelens.llm.language_id import LangModel, LangParams, fit_temperature, identify_language, ngram_counts, softmax, train_ftrl
 from servicelens.llm.quality import STATS, QualityModel, RidgeParams, document_stats, fit_quality, keep_good, pool_adjacent, score_quality, statistics
 from servicelens.llm.queries import QUERIES
-from servicelens.llm.toxicity import GruParams, GruScorer, score_texts, score_toxicity, token_inputs, train, window_starts, windows
+from servicelens.llm.toxicity import GruParams, GruScorer, score_texts, score_toxicity, token_inputs, train, training_rows, window_starts, windows
 
 SF = "/root/testdata/sf0.1"
 
@@ -188,3 +188,19 @@ def test_token_hash_does_not_depend_on_the_place():
     text = " ".join(f"tok{i}" for i in range(60_000))
     cut = token_inputs(text, 1 << 15)
     assert len(cut) == 60_000 and (cut[59_999] == token_inputs("tok59999", 1 << 15)[0]).all()
+
+
+def test_long_rows_are_in_the_toxicity_sample(spark):
+    """With all their windows, and the total of windows bounds the rows of each class."""
+    lengths = {i: 3000 if i % 4 == 0 else 20 for i in range(40)}
+    docs = spark.createDataFrame([(i, prose(i, n), "en", "s", 0) for i, n in lengths.items()], DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i < 20)) for i in range(40)], LABEL_SCHEMA)
+    p = GruParams()
+    size = {i: len(window_starts(n, p)) for i, n in lengths.items()}
+    rows = training_rows(docs, labels, "toxic", p)
+    assert [len(r[0]) for r in rows] == [size[i] for i in range(40)] and max(size.values()) > p.sample_windows
+    assert [r[2] for r in rows] == [float(i < 20) for i in range(40)]
+    p = GruParams(toxic_rows=12, clean_rows=12)
+    for y in (0, 1):
+        own = [len(r[0]) for r in training_rows(docs, labels, "toxic", p) if r[2] == y]
+        assert 0 < len(own) <= 12 and sum(own) <= 12 * p.sample_windows and max(own) > p.sample_windows
