@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servicelens.llm.chat import rotate
+from servicelens.llm.collocations import collocations
 from servicelens.llm.common import table
 from servicelens.llm.decontaminate import benchmark_leaks
+from servicelens.llm.divergence import source_divergence
 from servicelens.llm.language_id import identify_language
 from servicelens.llm.mixing import MixParams, mixed
 from servicelens.llm.mtree import top_k
-from servicelens.llm.oracles import CHAT_SQL, TOP_K_SQL, mixing_sql, sharding_sql
+from servicelens.llm.oracles import CHAT_SQL, COLLOCATION_SQL, DIVERGENCE_SQL, TOP_K_SQL, mixing_sql, sharding_sql
 from servicelens.llm.quality import score_quality
 from servicelens.llm.sharding import ShardParams, with_shard
 from servicelens.llm.simhash_dedup import simhash_dedup
 from servicelens.llm.substring_dedup import duplicate_spans
+from servicelens.llm.token_files import token_codes
 from servicelens.llm.toxicity import score_toxicity
 
 
@@ -67,6 +70,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents")).drop("n")
+
+
+def op12_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_codes(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -78,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_token_codes": op12_token_codes,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -85,4 +105,6 @@ SQL: dict[str, str] = {
     "op4_chat_formatting": CHAT_SQL,
     "op5_sharding": sharding_sql(ShardParams()),
     "op8_topk_search": TOP_K_SQL,
+    "op11_source_divergence": DIVERGENCE_SQL,
+    "op13_collocations": COLLOCATION_SQL,
 }
