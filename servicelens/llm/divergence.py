@@ -8,6 +8,7 @@ each language, and from the shares a chi-squared-like distance.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,8 +25,9 @@ from servicelens.llm.common import materialise, texts
 
 #: Letters of ASCII and all that is not ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Documents of a block (their numbers are 16 bits wide), and the chunks of its documents that close it.
-BLOCK_DOCS, BLOCK_CHUNKS = 32_000, 1 << 21
+FOUND = re.compile(TERM).findall
+#: A block of documents is closed at so many distinct chunks of each; a task merges so many rows at a time.
+BLOCK_CHUNKS, MERGED_ROWS = 1 << 21, 100_000
 #: Pairs of sources that a task sums at a time.
 PAIRS = 1 << 21
 
@@ -40,42 +42,64 @@ class DivergenceParams:
     top_terms: int = 200
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
-    """(block, lang, chunk, docs, occ): a row for each chunk of a block of documents and language.
+def merged(keys: np.ndarray, docs: tuple, occ: tuple, most: int) -> tuple[np.ndarray, pa.ListArray, np.ndarray, np.ndarray, np.ndarray]:
+    """One row for each of ``keys``: (first rows' numbers, documents, where its occurrences start, sources, n).
 
-    ``docs`` are the numbers, within the block, of the documents that have the
-    chunk; ``occ`` are its occurrences by source. Chunks are the lower-cased
-    runs between ASCII white space, which no term spans. Documents are rows:
+    ``docs`` is (row, document), ``occ`` is (row, source, n). A key's documents
+    are distinct, the ``most`` smallest of them; n is summed by source. The
+    smallest of some parts' smallest are the smallest of all, so that a count
+    up to ``most`` is exact however often rows are merged.
+    """
+    _, first, key = np.unique(keys, return_index=True, return_inverse=True)
+    own, doc = key[docs[0]], docs[1]
+    order = np.lexsort((doc, own))
+    own, doc = own[order], doc[order]
+    new = np.append(True, (own[1:] != own[:-1]) | (doc[1:] != doc[:-1]))[: len(own)]
+    own, doc = own[new], doc[new]
+    rank = np.arange(len(own)) - np.searchsorted(own, own)
+    own, doc = own[rank < most], doc[rank < most]
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(own, np.arange(len(first) + 1)), pa.int32()), pa.array(doc, pa.int64()))
+    own, source = key[occ[0]], occ[1]
+    order = np.lexsort((source, own))
+    own, source = own[order], source[order]
+    new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (source[1:] != source[:-1]))[: len(own)])
+    n = np.add.reduceat(occ[2][order], new) if len(new) else occ[2]
+    return first, lists, np.searchsorted(own[new], np.arange(len(first) + 1)), source[new], n
+
+
+def _rows(names: list[str], langs: pa.Array, words: pa.Array, docs: pa.ListArray, at: np.ndarray, sources: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    occ = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([sources, pa.array(n, pa.int64())], names=["source", "n"]))
+    whole = pa.RecordBatch.from_arrays([langs, words, docs, occ], names=names)
+    for i in range(0, whole.num_rows, 20_000):
+        yield whole.slice(i, 20_000)
+
+
+def chunk_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, chunk, docs, occ): a row for each chunk of a language in a block of documents.
+
+    ``docs`` are up to ``min_docs`` of the documents that have the chunk,
+    ``occ`` all its occurrences by source. Chunks are the lower-cased runs
+    between ASCII white space, which no term spans. Documents are rows:
     repeated ones count each.
     """
 
-    def block_rows(block: int, words: list[bytes], langs: list[str], sources: list[str], doc_lang, doc_source, codes, counts) -> Iterator[pa.RecordBatch]:
-        doc = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        code, n = np.concatenate(codes), np.concatenate(counts)
-        lang, source = np.array(doc_lang)[doc], np.array(doc_source)[doc]
-        order = np.lexsort((doc, source, code, lang))
-        doc, code, n, lang, source = (x[order] for x in (doc, code, n, lang, source))
-        row = np.flatnonzero(np.diff(lang, prepend=-1) | np.diff(code, prepend=-1))
-        occ = np.flatnonzero(np.diff(np.searchsorted(row, np.arange(len(code)), "right"), prepend=-1) | np.diff(source, prepend=-1))
-        text = pa.array(words, pa.binary()).cast(pa.string())
-        occurrences = pa.StructArray.from_arrays(
-            [pa.array(sources, pa.string()).take(pa.array(source[occ])), pa.array(np.add.reduceat(n, occ), pa.int64())], names=["source", "n"])
-        ends = lambda at, size: pa.array(np.append(at, size), pa.int32())
-        whole = pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(row), block, np.int64)), pa.array(langs, pa.string()).take(pa.array(lang[row])), text.take(pa.array(code[row])),
-            pa.ListArray.from_arrays(ends(row, len(code)), pa.array(doc, pa.int16())),
-            pa.ListArray.from_arrays(ends(np.searchsorted(occ, row), len(occ)), occurrences),
-        ], names=["block", "lang", "chunk", "docs", "occ"])
-        for i in range(0, whole.num_rows, 20_000):
-            yield whole.slice(i, 20_000)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = count(TaskContext.get().partitionId() << 32)
+        numbers = count(TaskContext.get().partitionId() << 40)
 
         def fresh():
-            return defaultdict(count().__next__), defaultdict(count().__next__), defaultdict(count().__next__), [], [], [], [], 0
-
-        words, langs, sources, doc_lang, doc_source, codes, counts, size = fresh()
+            return defaultdict(count().__next__), defaultdict(count().__next__), defaultdict(count().__next__), [], [], [], [], [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            entry = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+            code, n = np.concatenate(codes), np.concatenate(counts)
+            lang, source, doc = np.array(doc_lang)[entry], np.array(doc_source)[entry], np.array(doc_number)[entry]
+            row = np.arange(len(code))
+            first, lists, at, by, total = merged(lang * len(words) + code, (row, doc), (row, source, n), min_docs)
+            text = pa.array(list(words), pa.binary()).cast(pa.string())
+            yield from _rows(["lang", "chunk", "docs", "occ"], pa.array(list(langs), pa.string()).take(pa.array(lang[first])), text.take(pa.array(code[first])),
+                             lists, at, pa.array(list(sources), pa.string()).take(pa.array(by)), total)
+
+        words, langs, sources, doc_lang, doc_source, doc_number, codes, counts, size = fresh()
         for b in batches:
             for lang, source, t in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), texts(b)):
                 own = Counter((t or "").encode().lower().split())
@@ -85,48 +109,91 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                 counts.append(np.fromiter(own.values(), np.int64, len(own)))
                 doc_lang.append(langs[lang])
                 doc_source.append(sources[source])
+                doc_number.append(next(numbers))
                 size += len(own)
-                if size >= BLOCK_CHUNKS or len(codes) >= BLOCK_DOCS:
-                    yield from block_rows(next(blocks), list(words), list(langs), list(sources), doc_lang, doc_source, codes, counts)
-                    words, langs, sources, doc_lang, doc_source, codes, counts, size = fresh()
+                if size >= BLOCK_CHUNKS:
+                    yield from close()
+                    words, langs, sources, doc_lang, doc_source, doc_number, codes, counts, size = fresh()
         if codes:
-            yield from block_rows(next(blocks), list(words), list(langs), list(sources), doc_lang, doc_source, codes, counts)
+            yield from close()
 
     kept = docs.select(_name("lang"), _name("source"), F.col("text").cast("string").alias("text"))
-    return kept.mapInArrow(run, "block long, lang string, chunk string, docs array<smallint>, occ array<struct<source:string,n:long>>")
+    return kept.mapInArrow(run, "lang string, chunk string, docs array<bigint>, occ array<struct<source:string,n:bigint>>")
 
 
 def _name(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, k, alone): each distinct chunk's terms, how often it has each, and whether no other chunk has the term."""
-    found = materialise(
-        chunks.select("chunk").distinct().select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
-        .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("k"))
-    )
-    alone = found.groupBy("term").agg(F.count(F.lit(1)).alias("variants")).where("variants = 1")
-    return materialise(found.join(alone, "term", "left").select("chunk", "term", "k", F.col("variants").isNotNull().alias("alone")))
+def term_parts(chunks: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, term, docs, occ): each distinct chunk is cut into terms once, and its terms take its documents and occurrences.
+
+    Equal chunks of all blocks come together, sorted, where the common ones are
+    spread over tasks by Spark's rebalancing; a task then merges what it has of
+    each term, so that a term of many chunks leaves it in few rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: tuple = (None, Counter())  # the last chunk, which may go on in the next batch
+
+        def close(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal known
+            t = pa.Table.from_batches(held).combine_chunks()
+            chunk, lang = (t.column(c).combine_chunks().dictionary_encode() for c in ("chunk", "lang"))
+            terms: defaultdict = defaultdict(count().__next__)
+            of, sizes, times = [], [], []
+            for c in chunk.dictionary:
+                c = c.as_py()
+                if known[0] != c:
+                    known = (c, Counter(FOUND(c)))
+                of += [terms[x] for x in known[1]]
+                times += known[1].values()
+                sizes.append(len(known[1]))
+            if not of:
+                return
+            of, times, sizes = np.array(of), np.array(times), np.array(sizes)
+            start, code = np.cumsum(sizes) - sizes, chunk.indices.to_numpy()
+            # a row for each term of each chunk's row
+            row = np.repeat(np.arange(len(code)), sizes[code])
+            entry = np.arange(len(row)) - np.repeat(np.cumsum(sizes[code]) - sizes[code], sizes[code]) + start[code[row]]
+            own = lang.indices.to_numpy()[row]
+            docs, occ = t.column("docs").combine_chunks(), t.column("occ").combine_chunks()
+            to_doc, to_occ = _spread(docs.offsets.to_numpy(), row), _spread(occ.offsets.to_numpy(), row)
+            source = occ.values.field("source").dictionary_encode()
+            n = occ.values.field("n").to_numpy()[to_occ[1]] * times[entry][to_occ[0]]
+            first, lists, at, by, total = merged(
+                own * len(terms) + of[entry], (to_doc[0], docs.values.to_numpy()[to_doc[1]]), (to_occ[0], source.indices.to_numpy()[to_occ[1]], n), min_docs)
+            yield from _rows(["lang", "term", "docs", "occ"], lang.dictionary.take(pa.array(own[first])), pa.array(list(terms), pa.string()).take(pa.array(of[entry][first])),
+                             lists, at, source.dictionary.take(pa.array(by)), total)
+
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size >= MERGED_ROWS:
+                yield from close(held)
+                held, size = [], 0
+        if held:
+            yield from close(held)
+
+    dealt = chunks.hint("rebalance", "chunk").sortWithinPartitions("chunk")
+    return dealt.mapInArrow(run, "lang string, term string, docs array<bigint>, occ array<struct<source:string,n:bigint>>")
+
 
+def _spread(offsets: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``row``, position in the values) of each element of the lists that ``row`` names."""
+    size = (offsets[1:] - offsets[:-1])[row]
+    place = np.repeat(np.arange(len(row)), size)
+    return place, np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size) + offsets[row][place]
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, df): occurrences of each term, and distinct documents, which only their sum by language tells in full.
 
-    A document that has a term in several chunks counts once: the documents of
-    such a term's chunks meet by block.
-    """
-    chunks = materialise(chunk_counts(docs))
-    back = chunks.join(chunk_terms(chunks), "chunk").withColumn(
-        "occ", F.transform("occ", lambda x: F.struct(x["source"].alias("source"), (x["n"] * F.col("k")).alias("n"))))
-    once = back.where("alone").select("lang", "term", F.size("docs").alias("df"), "occ")
-    several = back.where("not alone").groupBy("block", "lang", "term").agg(F.collect_list("docs").alias("docs"), F.flatten(F.collect_list("occ")).alias("occ"))
-    several = several.select("lang", "term", F.size(F.array_distinct(F.flatten("docs"))).alias("df"), "occ")
-    return (
-        once.unionAll(several).select("lang", "term", "df", F.posexplode("occ").alias("at", "o"))
-        .groupBy("lang", F.col("o.source").alias("source"), "term")
-        .agg(F.sum("o.n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("df")).otherwise(0)).alias("df"))
-    )
+def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, term, total, sources): the terms in ``min_docs`` documents of a language or more, with their occurrences in all and by source."""
+    parts = term_parts(chunk_counts(docs, min_docs), min_docs)
+    whole = parts.groupBy("lang", "term").agg(F.collect_list("docs").alias("docs"), F.flatten(F.collect_list("occ")).alias("occ"))
+    enough = whole.where(F.size(F.array_distinct(F.flatten("docs"))) >= min_docs).select("lang", "term", F.explode("occ").alias("o"))
+    by_source = enough.groupBy("lang", "term", F.col("o.source").alias("source")).agg(F.sum("o.n").alias("n"))
+    return by_source.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources"))
 
 
 def _share(n: Column, total: Column, terms: Column, scale: int) -> Column:
@@ -211,11 +278,9 @@ def source_divergence(docs: DataFrame, params: DivergenceParams | None = None) -
     0. An empty table gives no rows. Further columns are not read.
     """
     p = params or DivergenceParams()
-    counts = materialise(term_counts(docs))
-    kept = materialise(counts.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total")).where(F.col("df") >= p.min_docs))
+    kept = materialise(kept_terms(docs, p.min_docs))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("total").alias("lang_n"))
-    own = counts.select("lang", "source", "term", "n").join(kept.select("lang", "term", "total"), ["lang", "term"])
-    own = materialise(own)
+    own = kept.select("lang", "term", "total", F.inline("sources"))
     found = docs.select(_name("lang"), _name("source")).distinct()
     sums = own.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count(F.lit(1)).alias("nz"))
     zero = F.lit(0).cast("long")
