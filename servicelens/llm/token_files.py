@@ -17,6 +17,7 @@ All numbers are little-endian::
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -26,20 +27,28 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from servicelens.llm.common import ensure_checkpoint_dir, materialise, texts
+from servicelens.llm.common import ensure_checkpoint_dir, materialise
 
 MAGIC = b"DACTOK1\n"
 RANK_EVERY = 512
-#: A file is closed with the document that brings it to so many tokens; a reader takes so many at a time.
+#: A file is closed once it has so many tokens; a reader takes so many at a time.
 FILE_TOKENS, READ_TOKENS = 1 << 22, 1 << 20
-#: Ids of so many chunks, of at most so many bytes each, are kept by a worker.
-CACHED, CACHED_BYTES = 400_000, 64
+#: Ids of so many chunks, and of so many words, are kept by a worker; it encodes texts of so many bytes together.
+CACHED, GROUP_BYTES = 1_000_000, 1 << 22
+#: Rules under which a chunk of visible ASCII is cut as below (fixed values of the tokenizer's definition).
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+VISIBLE = re.compile(r"[!-~]+").fullmatch
+WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+").findall
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long"
 
 
@@ -55,7 +64,7 @@ def split_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def file_bytes(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> bytes:
+def file_bytes(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
     """A whole file of documents with the given numbers of ids."""
     levels = split_levels(ids)
     parts = [MAGIC, np.array([len(doc_ids), len(ids), len(levels), *(len(c) for c, _ in levels)], "<u8").tobytes()]
@@ -64,7 +73,7 @@ def file_bytes(doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) ->
         parts += [chunks.tobytes(), np.packbits(more, bitorder="little").tobytes(), ones.astype("<u8").tobytes()]
     parts.append(np.array([x or 0 for x in doc_ids], "<i8").tobytes())
     parts.append(np.array([x is None for x in doc_ids], np.uint8).tobytes())
-    parts.append(np.append(0, np.cumsum(np.array(sizes, np.int64))).astype("<u8").tobytes())
+    parts.append(np.append(0, np.cumsum(sizes)).astype("<u8").tobytes())
     return b"".join(parts)
 
 
@@ -134,43 +143,70 @@ class Encoder:
 
     The tokenizers that this is for drop white space, and neither their
     normalisation nor their words reach over it, so a text's ids are those of
-    its chunks one after the other. A worker keeps the ids of many chunks.
+    its chunks one after the other. A worker keeps the ids of many chunks. A
+    chunk of visible ASCII needs no normalisation but lower case, and its words
+    are plain: it is cut here, and the library's model alone encodes each
+    distinct word. ``plain`` says whether the tokenizer is one for which that
+    holds; all other chunks go through the whole library.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
-
-    def _learn(self, chunks: list[bytes], into: dict[bytes, bytes]) -> None:
-        for i in range(0, len(chunks), 4096):
-            part = chunks[i : i + 4096]
-            got = self.tokenizer.encode([c.decode("utf-8", "surrogatepass") for c in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            ends = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(part) + 1))
-            for c, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()):
-                into[c] = ids[a:b].tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        new = [c for c in set(words) if c not in self.known]
-        if not new:
-            return b"".join(map(self.known.__getitem__, words))
-        found: dict[bytes, bytes] = {}
-        self._learn(new, found)
-        if len(self.known) + len(found) > CACHED:
-            self.known.clear()
-        ids = b"".join([found[w] if w in found else self.known.get(w) or self._again(w, found) for w in words])
-        if len(found) <= CACHED:
-            self.known.update((k, v) for k, v in found.items() if len(k) <= CACHED_BYTES)
-        return ids
-
-    def _again(self, word: bytes, found: dict[bytes, bytes]) -> bytes:
-        """Ids of a chunk that was just forgotten."""
-        if word not in found:
-            self._learn([word], found)
-        return found[word]
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        rules = json.loads(definition)
+        self.plain = rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER
+        self.special = [x["content"] for x in rules["added_tokens"]]
+
+    def _ids(self, tokenizer, parts: list[str], into: dict[str, bytes]) -> None:
+        for i in range(0, len(parts), 8192):
+            part = parts[i : i + 8192]
+            got = tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(got.ids, "<u4").tobytes()
+            ends = (4 * np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
+            into.update(zip(part, map(ids.__getitem__, map(slice, ends, ends[1:]))))
+
+    def _learn(self, new: list[str]) -> None:
+        letters, mixed, rest = [], [], []
+        for c in new:
+            if not (self.plain and VISIBLE(c)) or "<" in c and any(x in c for x in self.special):
+                rest.append(c)
+            elif c.isalpha():
+                letters.append(c)
+            else:
+                mixed.append(c)
+        lower, cut = list(map(str.lower, letters)), [WORDS(c.lower()) for c in mixed]
+        if len(self.words) > CACHED:
+            self.words.clear()
+        self._ids(self.model, list(set(lower).union(*cut).difference(self.words)), self.words)
+        word = self.words.__getitem__
+        self.chunks.update(zip(letters, map(word, lower)))
+        self.chunks.update(zip(mixed, [b"".join(map(word, own)) for own in cut]))
+        self._ids(self.tokenizer, rest, self.chunks)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each text's ids start, and where the last one's end)."""
+        texts = texts.fill_null("")
+        if self.plain:  # texts of ASCII alone are lower-cased as the library does it, and so have fewer distinct chunks
+            whole = pc.string_is_ascii(texts)
+            for x in self.special:
+                whole = pc.and_(whole, pc.invert(pc.match_substring(texts, x)))
+            texts = pc.if_else(whole, pc.ascii_lower(texts), texts)
+        cut = pc.ascii_split_whitespace(texts)
+        words = cut.flatten().dictionary_encode()
+        chunks, code = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        if len(self.chunks) + len(chunks) > CACHED:
+            self.chunks.clear()
+        self._learn([c for c in chunks if c not in self.chunks])
+        own = list(map(self.chunks.__getitem__, chunks))
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start, long = (np.cumsum(size) - size)[code], size[code]
+        ends = np.append(0, np.cumsum(long))
+        ids = np.frombuffer(b"".join(own), "<u4")[np.repeat(start - ends[:-1], long) + np.arange(ends[-1])]
+        return ids, ends[cut.offsets.to_numpy()]
 
 
 @lru_cache(maxsize=2)
@@ -178,6 +214,16 @@ def encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+def encoded(batches: Iterator[pa.RecordBatch], encode, end_id: int) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    """(doc_ids, ids, numbers of ids) of some rows at a time, in order; each row's ids end with ``end_id``."""
+    for b in batches:
+        at = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        cuts = [*np.flatnonzero(np.diff(at, prepend=-1)).tolist(), b.num_rows]
+        for i, j in zip(cuts, cuts[1:]):
+            ids, ends = encode(b.column("text").slice(i, j - i))
+            yield b.column("doc_id").slice(i, j - i).to_pylist(), np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
+
+
 # ------------------------------------------------------------------ jobs
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Encode and write all documents; returns the manifest (part, seq, path, n_docs, n_tokens), a row a file.
@@ -192,32 +238,31 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
     spark = docs.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
     definition = spark.sparkContext.broadcast(Path(tokenizer).read_text())
-    end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         encode = encoder(definition.value).encode
-        doc_ids, held, size = [], [], 0
+        doc_ids, sizes, held, tokens = [], [], [], 0
 
         def close() -> pa.RecordBatch:
             system, top = storage(folder)
             system.create_dir(top, recursive=True)
             name, own = f"part-{part:06d}-{seq:04d}.tok", f"{top}/_{uuid.uuid4().hex}"
             with system.open_output_stream(own) as f:
-                f.write(file_bytes(doc_ids, [len(x) // 4 for x in held], np.frombuffer(b"".join(held), "<u4")))
+                f.write(file_bytes(doc_ids, np.concatenate(sizes), np.concatenate(held)))
             system.move(own, f"{top}/{name}")
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [f"{folder}/{name}"],
-                "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_tokens": pa.array([size], pa.int64())})
-
-        for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), texts(b)):
-                held.append(encode(text) + end)
-                doc_ids.append(doc_id)
-                size += len(held[-1]) // 4
-                if size >= file_tokens:
-                    yield close()
-                    doc_ids, held, size, seq = [], [], 0, seq + 1
+                "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_tokens": pa.array([tokens], pa.int64())})
+
+        for ids_of, ids, size in encoded(batches, encode, end_id):
+            doc_ids += ids_of
+            held.append(ids)
+            sizes.append(size)
+            tokens += len(ids)
+            if tokens >= file_tokens:
+                yield close()
+                doc_ids, sizes, held, tokens, seq = [], [], [], 0, seq + 1
         if doc_ids:
             yield close()
 
