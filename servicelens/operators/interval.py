@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from servicelens.functions.stats import exact_median, grouped_median
+from servicelens.operators.survival import TABLE, AftFit, Design, fit_weibull
 from servicelens.params import Params
 from servicelens.session import cut_lineage
 
@@ -130,48 +131,45 @@ def log_ols(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame,
 
 def weibull_aft(episodes: DataFrame, params: Params, leak_free: bool = False,
                 censored: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
-    """M2-M4, M8: Weibull accelerated failure time model.
+    """M2-M4, M8: ridge-penalised Weibull accelerated failure time model.
 
     Default as in the reference: every episode observed and ``gap_km`` (part
     of the outcome) used as a covariate.  ``leak_free`` drops ``gap_km``;
     ``censored`` (see ``episodes.open_intervals``) appends the open interval
     of every asset as a right-censored row.  Predicted median duration
-    clipped to 10..500 days; coefficient table with intercept and log-scale;
-    R² of log duration on the observed rows.  Spark's AFT has no ridge penalty.
+    clipped to 10..500 days; coefficient table with standard errors, z and p;
+    R² of log duration on the observed rows.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import AFTSurvivalRegression
-
     num = [c for c in NUM_COLS if not (leak_free and c == "gap_km")]
     t = training_frame(episodes).withColumn("censor", F.lit(1.0))
     if censored is not None:
         cols = ["asset_id", "visit_id", "gap_days", "gap_km", *NUM_COLS[:3], *CAT_COLS]
         t = t.select(*cols, "censor").unionByName(
             training_frame(censored).select(*cols, F.lit(0.0).alias("censor")), allowMissingColumns=True)
-    t = t.withColumn("label", F.col("gap_days").cast("double"))
-    for c in NUM_COLS:
-        t = t.withColumn(c, F.col(c).cast("double"))
     t = t.persist()
-    idx, ohe = _one_hot(CAT_COLS, drop_first=True)
-    asm = VectorAssembler(inputCols=[*num, *[f"{c}_oh" for c in CAT_COLS]], outputCol="features")
-    aft = AFTSurvivalRegression(featuresCol="features", labelCol="label", censorCol="censor",
-                                quantileProbabilities=[0.5], quantilesCol="quantiles")
-    model = Pipeline(stages=[*idx, ohe, asm, aft]).fit(t)
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(t).withColumn("pred_gap_days", F.least(F.greatest(vector_to_array("quantiles")[0], F.lit(PRED_MIN)),
-                                                        F.lit(PRED_MAX)))
-    m = model.stages[-1]
-    names = _feature_names(scored, "features")
-    scored = cut_lineage(scored.drop("features", "quantiles", *[f"{c}_oh" for c in CAT_COLS]))
+    fit = fit_weibull(t, num, CAT_COLS, "gap_days", "censor")
+    scored = cut_lineage(t.withColumn("pred_gap_days", F.least(F.greatest(fit.median(), F.lit(PRED_MIN)), F.lit(PRED_MAX))))
     t.unpersist()
-    rows = [(n, float(c)) for n, c in zip(names, m.coefficients)] + [("intercept", float(m.intercept)),
-                                                                      ("log_scale", float(m.scale))]
-    coef = episodes.sparkSession.createDataFrame(rows, "feature string, coef double")
+    coef = episodes.sparkSession.createDataFrame(fit.table(), TABLE)
     observed = scored.where(F.col("censor") == 1.0)
     r2 = _r2(observed, F.log(F.col("gap_days").cast("double")), F.log("pred_gap_days"))
-    return observed, coef, {"method": "Weibull AFT", "n_episodes": observed.count(), "r2_log_duration": r2}
+    return observed, coef, {"method": "Weibull AFT, ridge", "n_episodes": observed.count(), "r2_log_duration": r2, "passes": fit.steps}
+
+
+#: Coefficients of no fit, by which SQL can follow the medians (M3): (intercept, log rho), numbers, levels.
+GIVEN_AFT = ((4.1, 1.2), (("km_per_month", -0.0002), ("interval_km", 0.00005), ("car_age", 0.01), ("gap_km", 0.00001)),
+             (("fuel", "Diesel", -0.05), ("segment", "MACHINERY", 0.1)))
+
+
+def aft_given(episodes: DataFrame) -> DataFrame:
+    """M3 on given coefficients: the median of each training episode, clipped as a fit's, by ``AftFit``."""
+    import numpy as np
+
+    free, numbers, levels = GIVEN_AFT
+    design = Design(tuple(c for c, _ in numbers), tuple((c, v) for c, v, _ in levels))
+    values = np.array([*(b for _, b in numbers), *(b for *_, b in levels), *free])
+    median = AftFit(design, values, np.zeros_like(values), 0).median()
+    return training_frame(episodes).withColumn("pred_gap_days", F.least(F.greatest(median, F.lit(PRED_MIN)), F.lit(PRED_MAX)))
 
 
 def gbt_interval(episodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame, dict]:

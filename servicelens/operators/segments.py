@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -11,6 +15,9 @@ from servicelens.params import Params
 from servicelens.session import cut_lineage
 
 MIN_ACTIVE_DAYS = 30
+#: Points that first centres are drawn from; passes over the points, and the move of a centre that ends a fit.
+SAMPLE, MOST_SWEEPS, CLOSE = 10_000, 100, 1e-6
+# The columns that the clustering reads.
 FILL_ZERO = ("visits", "anchor_visits", "revenue", "avg_items", "visits_per_year", "revenue_per_year",
              "avg_gap_days", "avg_gap_km")
 X_COLS = ("km_per_month", "interval_km", "model_year", "visits_per_year", "revenue_per_year", "avg_items",
@@ -60,67 +67,117 @@ def standardized(features: DataFrame) -> DataFrame:
     return out.select("asset_id", *[f"z_{c}" for c in X_COLS])
 
 
-def _vectors(features: DataFrame) -> DataFrame:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=[f"x_{c}" for c in X_COLS], outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-    ])
-    return pipe.fit(features).transform(features)
+def _points(features: DataFrame) -> DataFrame:
+    """Features with ``z``, the array of their z-scores (population standard deviation; 0 where all are equal)."""
+    got = features.agg(*[f(f"x_{c}").alias(f"{n}_{c}") for c in X_COLS for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    z = [(F.col(f"x_{c}") - F.lit(got[f"m_{c}"] or 0.0)) / F.lit(got[f"s_{c}"]) if got[f"s_{c}"] else F.lit(0.0) for c in X_COLS]
+    return features.withColumn("z", F.array(*z))
 
 
-def _fit_many(data: DataFrame, jobs: list[tuple[int, int]], parallelism: int) -> dict:
-    """Fit one K-Means per (k, seed) concurrently (Spark runs jobs from several driver threads)."""
-    from concurrent.futures import ThreadPoolExecutor
+def first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over the sample: each next centre is drawn by its squared distance to the nearest one."""
+    rng = np.random.default_rng(seed)
+    centers = [sample[rng.integers(len(sample))]]
+    near = np.sum((sample - centers[0]) ** 2, 1)
+    while len(centers) < k:
+        total = near.sum()
+        centers.append(sample[rng.choice(len(sample), p=near / total if total > 0 else None)])
+        near = np.minimum(near, np.sum((sample - centers[-1]) ** 2, 1))
+    return np.array(centers)
 
-    from pyspark.ml.clustering import KMeans
 
-    def fit(job):
-        k, seed = job
-        return job, KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
+def sweep(points: DataFrame, centers: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(members, sums of members, cost) for each of several sets of centres, in one pass over ``z``.
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return dict(pool.map(fit, jobs))
+    A task gives one row of numbers for its partition; these are added by
+    position, so what moves is the size of the models.
+    """
+    starts = np.cumsum([0, *(len(c) for c in centers)])
+    every = np.concatenate(centers)
+    m, d = every.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((m, d + 2))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z = batch.column("z").flatten().to_numpy().reshape(batch.num_rows, d)
+            away = np.sum(z**2, 1)[:, None] - 2 * z @ every.T + np.sum(every**2, 1)
+            for a, b in zip(starts, starts[1:]):
+                own = np.argmin(away[:, a:b], 1)
+                total[a:b, 0] += np.bincount(own, minlength=b - a)
+                total[a:b, 1] += np.bincount(own, np.maximum(away[np.arange(len(z)), a + own], 0.0), b - a)
+                for j in range(d):
+                    total[a:b, 2 + j] += np.bincount(own, z[:, j], b - a)
+        yield pa.RecordBatch.from_pydict({"v": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
+
+    parts = points.select("z").mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("at", "v"))
+    got = {r["at"]: r["v"] for r in parts.groupBy("at").agg(F.sum("v").alias("v")).collect()}
+    total = np.array([got[i] for i in range(m * (d + 2))]).reshape(m, d + 2)
+    return [(total[a:b, 0], total[a:b, 2:], float(total[a:b, 1].sum())) for a, b in zip(starts, starts[1:])]
+
+
+def fit_many(points: DataFrame, starts: dict) -> tuple[dict, int]:
+    """Lloyd's iterations of several fits side by side: ({job: (centres, cost)}, passes).
+
+    One pass over the points moves the centres of every fit that still moves;
+    a centre without members stays where it is.
+    """
+    centers, cost, moving, passes = dict(starts), {}, list(starts), 0
+    while moving and passes < MOST_SWEEPS:
+        got = sweep(points, [centers[j] for j in moving])
+        passes += 1
+        still = []
+        for j, (members, sums, c) in zip(moving, got):
+            new = np.where(members[:, None] > 0, sums / np.maximum(members, 1)[:, None], centers[j])
+            if np.max(np.abs(new - centers[j])) > CLOSE:
+                still.append(j)
+            centers[j], cost[j] = new, c
+        moving = still
+    return {j: (centers[j], cost[j]) for j in centers}, passes
 
 
-def _best(models: dict, k: int, seeds) -> object:
-    return min((models[(k, s)] for s in seeds), key=lambda m: m.summary.trainingCost)
+def nearest(centers: np.ndarray) -> Column:
+    """The number of the centre nearest to ``z`` (the first of equal ones), as an expression."""
+    away = F.array(*[sum((F.col("z")[j] - F.lit(float(x))) ** 2 for j, x in enumerate(c)) for c in centers])
+    return (F.array_position(away, F.array_min(away)) - 1).cast("int")
 
 
-def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5), parallelism: int = 8):
-    """C6-C7 in one pass.
+def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5)):
+    """C6-C7 in one go: every (k, restart) is fitted side by side.
 
     C6: for each k the best of ``kmeans_restarts`` seeds (lowest cost), then
     the k with the best silhouette (Spark's, squared Euclidean).
-    C7: the chosen k refitted with ``kmeans_final_restarts`` seeds; fits with
-    the same (k, seed) are deterministic, so the C6 fits are reused.
-    Returns (k, silhouette, k table, labelled features).
+    C7: of the chosen k the best of ``kmeans_final_restarts`` seeds. A fit
+    depends on (k, seed) alone; its first centres come from the SAMPLE points
+    of the lowest hashes. Returns (k, silhouette, k table, labelled features).
     """
     from pyspark.ml.evaluation import ClusteringEvaluator
-
-    data = _vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
-    seeds = [params.seed + i for i in range(params.kmeans_restarts)]
-    models = _fit_many(data, [(k, s) for k in ks for s in seeds], parallelism)
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    rows, best_k, best_s = [], ks[0], -1.0
-    for k in ks:
-        m = _best(models, k, seeds)
-        sil = ev.evaluate(m.transform(data))
-        rows.append((k, float(sil), float(m.summary.trainingCost)))
-        if sil > best_s:
-            best_k, best_s = k, sil
-    final_seeds = [params.seed + i for i in range(params.kmeans_final_restarts)]
-    extra = [(best_k, s) for s in final_seeds if (best_k, s) not in models]
-    models.update(_fit_many(data, extra, parallelism))
-    final = _best(models, best_k, final_seeds)
-    labelled = final.transform(data).drop("raw", "features")
-    order = labelled.groupBy("cluster").agg(F.avg("revenue_per_year").alias("r"))
-    order = order.select("cluster", (F.row_number().over(Window.orderBy(F.desc("r"), "cluster")) - 1).alias("cluster_id"))
-    # the labels are written once: every table made from them shares this fit
-    labelled = cut_lineage(labelled.join(F.broadcast(order), "cluster").drop("cluster"))
-    data.unpersist()
+    from pyspark.ml.functions import array_to_vector
+
+    data = _points(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sample = np.array([r["z"] for r in data.orderBy(F.xxhash64(F.col("asset_id").cast("string")), "asset_id").select("z").limit(SAMPLE).collect()])
+        if not len(sample):
+            raise ValueError("there is no asset to cluster")
+        seeds = [params.seed + i for i in range(max(params.kmeans_restarts, params.kmeans_final_restarts))]
+        fits, _ = fit_many(data, {(k, s): first_centers(sample, k, s) for k in ks for s in seeds})
+        best = lambda k, n: min(((fits[k, s][1], s) for s in seeds[:n]))[1]
+        ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+        rows, best_k, best_s = [], ks[0], -1.0
+        for k in ks:
+            centers, cost = fits[k, best(k, params.kmeans_restarts)]
+            sil = ev.evaluate(data.select(array_to_vector("z").alias("features"), nearest(centers).cast("double").alias("cluster")))
+            rows.append((k, float(sil), cost))
+            if sil > best_s:
+                best_k, best_s = k, sil
+        labelled = data.withColumn("cluster", nearest(fits[best_k, best(best_k, params.kmeans_final_restarts)][0])).drop("z")
+        order = labelled.groupBy("cluster").agg(F.avg("revenue_per_year").alias("r"))
+        order = order.select("cluster", (F.row_number().over(Window.orderBy(F.desc("r"), "cluster")) - 1).alias("cluster_id"))
+        # the labels are written once: every table made from them shares this fit
+        labelled = cut_lineage(labelled.join(F.broadcast(order), "cluster").drop("cluster"))
+    finally:
+        data.unpersist()
     table = features.sparkSession.createDataFrame(rows, "k int, silhouette double, training_cost double")
     return best_k, best_s, table, labelled
 

@@ -689,6 +689,24 @@ SELECT asset_id, segment, days_since_last_anchor, round(predicted_interval_days,
        round(progress_day, 6) AS progress_day, due_probability, priority_score, alert_tier FROM alerts
 """)
 
+AFT_GIVEN = EPISODES + """,
+sc AS (SELECT ep.*, least(greatest(exp(4.1 - 0.0002 * km_per_month + 0.00005 * interval_km + 0.01 * car_age + 0.00001 * gap_km
+                - CASE WHEN fuel = 'Diesel' THEN 0.05 ELSE 0 END + CASE WHEN segment = 'MACHINERY' THEN 0.1 ELSE 0 END)
+                * power(ln(2.0), 1 / exp(1.2)), 10.0), 500.0) AS pred_gap_days
+       FROM ep WHERE km_per_month IS NOT NULL AND interval_km IS NOT NULL AND car_age IS NOT NULL
+         AND fuel IS NOT NULL AND drive IS NOT NULL AND oil_type IS NOT NULL AND segment IS NOT NULL)"""
+
+sql("aft_given_coefficients", AFT_GIVEN + """
+SELECT asset_id, visit_id, round(pred_gap_days, 6) AS pred_gap_days FROM sc
+""")
+
+sql("alert_ranking_aft_given", AFT_GIVEN + ALERTS[len(EPISODES):].replace("median(gap_days) AS segment_interval FROM ep", "median(pred_gap_days) AS segment_interval FROM sc")
+    .replace("(SELECT median(gap_days) FROM ep)", "(SELECT median(pred_gap_days) FROM sc)") + """
+SELECT t.alert_tier, coalesce(c.n, 0) AS assets
+FROM (VALUES (0, 'Critical'), (1, 'High Priority'), (2, 'Warm Reminder'), (3, 'Monitor')) AS t(ord, alert_tier)
+LEFT JOIN (SELECT alert_tier, count(*) AS n FROM alerts GROUP BY alert_tier) c USING (alert_tier)
+""")
+
 sql("log_gap_trend", EPISODES + """
 SELECT segment, CAST(regr_count(log_gap_days, ln(km_per_month)) AS BIGINT) AS n,
        round(regr_slope(log_gap_days, ln(km_per_month)), 6) AS slope,

@@ -550,6 +550,22 @@ def q_aft_scored_episodes(spark, d):
     return scored.select("asset_id", "visit_id", "gap_days", "pred_gap_days", F.lit(s["r2_log_duration"]).alias("r2_log_duration"))
 
 
+@query("aft_given_coefficients")
+def q_aft_given_coefficients(spark, d):
+    """M3 on given coefficients: median gap per training episode."""
+    s = interval.aft_given(_episodes(views(spark, d)))
+    return s.select("asset_id", "visit_id", r6(F.col("pred_gap_days")).alias("pred_gap_days"))
+
+
+@query("alert_ranking_aft_given")
+def q_alert_ranking_aft_given(spark, d):
+    """A4 on the medians of given coefficients: the table that alert_ranking_aft makes of a fit."""
+    sv = views(spark, d)
+    scored = interval.aft_given(_episodes(sv, _anchors(sv)))
+    a = alerts.score_alerts(_anchors(sv), sv.assets(), scored, sv.params, interval_col="pred_gap_days", as_of=_as_of(sv))
+    return alerts.tier_distribution(a)
+
+
 @query("log_gap_trend")
 def q_log_gap_trend(spark, d):
     """M5 (single covariate): per segment regression of log gap on log km/month."""
@@ -570,7 +586,7 @@ def q_log_ols_coefficients(spark, d):
 
 @query("weibull_aft")
 def q_weibull_aft(spark, d):
-    """M2-M4: Weibull AFT coefficients (rows-only)."""
+    """M2-M4: ridge Weibull AFT coefficients with standard errors, z and p (rows-only)."""
     sv = views(spark, d)
     return interval.weibull_aft(_episodes(sv), sv.params)[1]
 
@@ -579,7 +595,7 @@ def q_weibull_aft(spark, d):
 def q_gbt_interval(spark, d):
     """M6-M7: GBT interval model feature importances (rows-only)."""
     sv = views(spark, d)
-    return interval.gbt_interval(_episodes(sv), sv.params.with_(gbt_iters=sv.params.gbt_iters))[1]
+    return interval.gbt_interval(_episodes(sv), sv.params)[1]
 
 
 @query("model_summary")
