@@ -29,7 +29,7 @@ FOUND = re.compile(TERM).findall
 #: A block of documents is closed at so many distinct chunks of each; a task merges so many rows at a time.
 BLOCK_CHUNKS, MERGED_ROWS = 1 << 21, 100_000
 #: Pairs of sources that a task sums at a time.
-PAIRS = 1 << 21
+PAIRS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -236,24 +236,29 @@ def shared_terms(terms: DataFrame) -> DataFrame:
                 "b": pa.array([known[x][1] for x in b], pa.string()), "high": pa.array(rows[1]), "low": pa.array(rows[2])})
 
         for batch in batches:
-            for lang, group in zip(batch.column("lang").to_pylist(), batch.column("sources")):
-                inner = group.values
-                if len(inner) < 2:
-                    continue
-                code = np.fromiter((names[lang, x] for x in inner.field("source").to_pylist()), np.int64, len(inner))
-                p, p0 = inner.field("p").to_numpy(zero_copy_only=False), inner.field("p0").to_numpy(zero_copy_only=False)
-                step = max(1, PAIRS // len(inner))
-                for i in range(0, len(inner), step):  # some of the left sources at a time, each with all others
-                    x, y = np.meshgrid(np.arange(i, min(i + step, len(inner))), np.arange(len(inner)), indexing="ij")
-                    x, y = x[x != y], y[x != y]
-                    v = f(p[x], p[y]) - f(p[x], p0[y]) - f(p0[x], p[y]) + f(p0[x], p0[y])
-                    held.append((code[x] << 32 | code[y], v >> 32, v & 0xFFFFFFFF))
-                    waiting += len(x)
-                    if waiting > PAIRS:
-                        held = [summed(*map(np.concatenate, zip(*held)))]
-                        if (waiting := len(held[0][0])) > PAIRS // 2:
-                            yield out(held.pop())
-                            waiting = 0
+            lists, inner = batch.column("sources"), batch.column("sources").values
+            offsets = lists.offsets.to_numpy()
+            size = np.diff(offsets)
+            row = np.repeat(np.arange(len(size)), size)
+            lang, source = batch.column("lang").dictionary_encode(), inner.field("source").dictionary_encode()
+            known, at = np.unique(lang.indices.to_numpy()[row].astype(np.int64) * len(source.dictionary) + source.indices.to_numpy(), return_inverse=True)
+            code = np.array([names[lang.dictionary[int(x) // len(source.dictionary)].as_py(), source.dictionary[int(x) % len(source.dictionary)].as_py()] for x in known], np.int64)[at]
+            p, p0 = inner.field("p").to_numpy(), inner.field("p0").to_numpy()
+            # each element stands left of all of its list; some of the left ones at a time
+            width = size[row]
+            cuts = [*np.flatnonzero(np.diff(np.cumsum(width) // PAIRS, prepend=-1)).tolist(), len(row)]
+            for i, j in zip(cuts, cuts[1:]):
+                x = np.repeat(np.arange(i, j), width[i:j])
+                y = _spread(offsets, row[i:j])[1]
+                x, y = x[x != y], y[x != y]
+                v = f(p[x], p[y]) - f(p[x], p0[y]) - f(p0[x], p[y]) + f(p0[x], p0[y])
+                held.append(summed(code[x] << 32 | code[y], v >> 32, v & 0xFFFFFFFF))
+                waiting += len(held[-1][0])
+                if waiting > PAIRS:
+                    held = [summed(*map(np.concatenate, zip(*held)))]
+                    if (waiting := len(held[0][0])) > PAIRS // 2:
+                        yield out(held.pop())
+                        waiting = 0
         if held:
             yield out(summed(*map(np.concatenate, zip(*held))))
 

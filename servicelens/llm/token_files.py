@@ -214,10 +214,10 @@ def encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
-def encoded(batches: Iterator[pa.RecordBatch], encode, end_id: int) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+def encoded(batches: Iterator[pa.RecordBatch], encode, end_id: int, group_bytes: int) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
     """(doc_ids, ids, numbers of ids) of some rows at a time, in order; each row's ids end with ``end_id``."""
     for b in batches:
-        at = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        at = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)) // group_bytes
         cuts = [*np.flatnonzero(np.diff(at, prepend=-1)).tolist(), b.num_rows]
         for i, j in zip(cuts, cuts[1:]):
             ids, ends = encode(b.column("text").slice(i, j - i))
@@ -255,7 +255,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [f"{folder}/{name}"],
                 "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_tokens": pa.array([tokens], pa.int64())})
 
-        for ids_of, ids, size in encoded(batches, encode, end_id):
+        for ids_of, ids, size in encoded(batches, encode, end_id, min(GROUP_BYTES, 4 * file_tokens)):
             doc_ids += ids_of
             held.append(ids)
             sizes.append(size)
