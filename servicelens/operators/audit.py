@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from servicelens.functions.exprs import money
 from servicelens.params import Params
 from servicelens.sources.csv_source import as_of_date
 
@@ -108,3 +109,10 @@ def audit_status(lines: DataFrame, assets: DataFrame, params: Params) -> DataFra
     out = _unpivot(la, rows).drop("value_text")
     return out.select("check", "value", F.when(F.col("value") == 0, "PASS").otherwise("FAIL").alias("status"),
                       F.col("description").alias("notes"))
+
+
+def amount_contract(lines: DataFrame) -> DataFrame:
+    """Prices that no exact sum can hold and that ``money`` therefore leaves out, beside all that are given."""
+    given = F.col("price").isNotNull()
+    return lines.agg(F.count("price").alias("prices"), F.count_if(given & money("price").isNull()).alias("prices_left_out"),
+                     F.count_if(given & (money("price").cast("double") != F.col("price"))).alias("prices_rounded"))

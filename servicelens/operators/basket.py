@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.functions.exprs import half_even, money_avg
+from servicelens.functions.exprs import half_even, money_avg, money_sum
 from servicelens.params import Params
 from servicelens.session import cut_lineage
 
@@ -122,13 +122,9 @@ def pair_counts(lines: DataFrame, params: Params, b: DataFrame | None = None) ->
     patterns = (b.select(F.array_intersect("items", frequent).alias("p"))
                 .where(F.size("p") >= 2)
                 .groupBy("p").agg(F.count(F.lit(1)).alias("w")))
-    pairs = patterns.select(
-        "w",
-        F.explode(F.flatten(F.transform(
-            "p", lambda a: F.transform(F.filter("p", lambda x: x != a),
-                                       lambda x: F.struct(a.alias("a"), x.alias("b")))))).alias("ab"))
-    return pairs.groupBy(F.col("ab.a").alias("antecedent"), F.col("ab.b").alias("consequent")) \
-                .agg(F.sum("w").alias("cooccurrence_visits"))
+    # one side after the other: no array of all pairs of a pattern is built
+    pairs = patterns.select("w", "p", F.explode("p").alias("antecedent")).select("w", "antecedent", F.explode("p").alias("consequent"))
+    return pairs.where("antecedent <> consequent").groupBy("antecedent", "consequent").agg(F.sum("w").alias("cooccurrence_visits"))
 
 
 def pairwise_rules(lines: DataFrame, params: Params) -> DataFrame:
@@ -168,7 +164,13 @@ def pairwise_rules(lines: DataFrame, params: Params) -> DataFrame:
 
 
 def top_rules(rules: DataFrame, n: int = 10) -> DataFrame:
-    """B2: the n best rules by estimated revenue, labelled ``a -> b`` (a top-k report)."""
+    """B2: the n best rules by estimated revenue, labelled ``a → b`` (a top-k report).
+
+    ``rules`` is the table of ``association_rules`` (any number of items on a
+    side, as the reference ranks them) or of ``pairwise_rules``.
+    """
+    if "antecedents_txt" in rules.columns:
+        rules = rules.withColumnsRenamed({"antecedents_txt": "antecedent", "consequents_txt": "consequent"})
     return (rules.orderBy(*_rule_sort(), "antecedent", "consequent").limit(n)
             .select(F.concat_ws(" → ", "antecedent", "consequent").alias("rule"), "antecedent", "consequent",
                     "estimated_rule_revenue", "lift", "confidence"))
@@ -187,7 +189,7 @@ def attach_rates(lines: DataFrame) -> DataFrame:
     sub = lines.where(~F.col("is_anchor") & F.col("item").isNotNull()).join(av, "visit_id", "left_semi")
     g = sub.groupBy("item").agg(
         F.count_distinct("visit_id").alias("visits_with_item"),
-        F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("revenue_in_anchor_visits"),
+        money_sum("price").alias("revenue_in_anchor_visits"),
         money_avg("price").alias("avg_price"),
     )
     return (g.withColumn("attach_rate", F.col("visits_with_item") / n_anchor)

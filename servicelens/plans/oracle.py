@@ -388,11 +388,22 @@ sql("pairwise_rules", PAIRWISE + """
 SELECT * FROM rules
 """)
 
-sql("top_rules", PAIRWISE + """
+sql("top_pair_rules", PAIRWISE + """
 SELECT antecedent || ' → ' || consequent AS rule, antecedent, consequent, estimated_rule_revenue, lift, confidence
 FROM rules ORDER BY estimated_rule_revenue DESC, lift DESC, confidence DESC, antecedent, consequent LIMIT 10
 """)
 
+SQL["top_rules"] = f"""
+SELECT antecedents_txt || ' → ' || consequents_txt AS rule, antecedents_txt AS antecedent, consequents_txt AS consequent,
+       estimated_rule_revenue, lift, confidence FROM ({SQL["association_rules"]})
+ORDER BY estimated_rule_revenue DESC, lift DESC, confidence DESC, antecedent, consequent LIMIT 10
+"""
+
+sql("amount_contract", """
+SELECT count(price) AS prices, count(*) FILTER (WHERE price IS NOT NULL AND (isnan(price) OR abs(price) >= 1e16)) AS prices_left_out,
+       count(*) FILTER (WHERE abs(price) < 1e16 AND CAST(CAST(price AS DECIMAL(18,2)) AS DOUBLE) <> price) AS prices_rounded FROM lines
+""")
+
 sql("baskets", """
 SELECT visit_id, array_to_string(list_sort(list(DISTINCT item) FILTER (WHERE item IS NOT NULL)), '|') AS items
 FROM lines WHERE visit_id IS NOT NULL GROUP BY visit_id
@@ -874,4 +885,4 @@ SQL["chart_data"] = " UNION ALL ".join(
         ("top_rules", "top_rules", "rule", "estimated_rule_revenue"),
         ("recursive_forecast_naive", "weekly_forecast", "week", "forecast_visits"),
         ("tier_distribution", "alert_tiers", "alert_tier", "assets"),
-        ("segment_profile", "profile", "segment", "avg_revenue_per_year")))
+        ("profile_given_labels", "profile", "cluster_id", "avg_revenue_per_year")))

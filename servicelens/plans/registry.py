@@ -118,6 +118,12 @@ def q_audit_status(spark, d):
     return audit.audit_status(sv.lines(), sv.assets(), sv.params)
 
 
+@query("amount_contract")
+def q_amount_contract(spark, d):
+    """Q: prices that exact sums leave out or round."""
+    return audit.amount_contract(views(spark, d).lines("price"))
+
+
 # ---------------------------------------------------------------- episodes
 from servicelens.functions.exprs import r6  # noqa: E402
 from servicelens.operators import alerts, episodes  # noqa: E402
@@ -226,7 +232,14 @@ def q_pairwise_rules(spark, d):
 
 @query("top_rules")
 def q_top_rules(spark, d):
-    """B2: top 10 rules by estimated revenue."""
+    """B2: top 10 rules of the mined rule table by estimated revenue."""
+    sv = views(spark, d)
+    return basket.top_rules(basket.association_rules(sv.lines("visit_id", "item", "price"), sv.params))
+
+
+@query("top_pair_rules")
+def q_top_pair_rules(spark, d):
+    """B2 on single-item rules: top 10 by estimated revenue."""
     sv = views(spark, d)
     return basket.top_rules(basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params))
 
@@ -737,7 +750,7 @@ def q_executive_tables(spark, d):
     """The report's tables in long form (section, item, metric, value)."""
     sv = views(spark, d)
     lines = sv.lines("visit_id", "visit_date", "price", "is_anchor")
-    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    rules = basket.association_rules(sv.lines("visit_id", "item", "price"), sv.params)
     aov = kpi.kpi_summary(lines, sv.assets()).select("avg_order_value").scalar()
     return report.executive_tables(
         kpi.kpi_long(lines, sv.assets()), interval.interval_by_segment(_episodes(sv), sv.params), basket.top_rules(rules, 1),
@@ -746,14 +759,14 @@ def q_executive_tables(spark, d):
 
 @query("chart_data")
 def q_chart_data(spark, d):
-    """What the six charts draw; the profile is by usage segment, as given labels are."""
+    """What the six charts draw; the cluster profile is of given labels, which SQL can follow."""
     sv = views(spark, d)
-    rules = basket.pairwise_rules(sv.lines("visit_id", "item", "price"), sv.params)
+    rules = basket.association_rules(sv.lines("visit_id", "item", "price"), sv.params)
     c = report.chart_data(
         kpi.revenue_by_category(sv.lines("line_id", "visit_id", "category", "price")),
         interval.interval_by_segment(_episodes(sv), sv.params), basket.top_rules(rules),
         demand.recursive_forecast(_weekly(sv), sv.params, None), alerts.tier_distribution(_alerts(sv)),
-        segments.group_profile(_features(sv), "segment"), "segment")
+        segments.group_profile(_by_modulus(sv), "cluster_id"), "cluster_id")
     return c.withColumn("value", r6(F.col("value")))
 
 

@@ -65,5 +65,9 @@ def start(spark: SparkSession, folder: str, sink_folder: str, checkpoint: str, l
 
 
 def late_lines(query: StreamingQuery) -> int:
-    """(week, visit) updates dropped so far since their week was final already."""
+    """(week, visit) updates dropped since their week was final already.
+
+    Of the batches that the query still reports on: the last 100, or as many
+    as ``spark.sql.streaming.numRecentProgressUpdates`` says.
+    """
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
