@@ -51,6 +51,7 @@ def merged(keys: np.ndarray, docs: tuple, occ: tuple, most: int) -> tuple[np.nda
     up to ``most`` is exact however often rows are merged.
     """
     _, first, key = np.unique(keys, return_index=True, return_inverse=True)
+    key = key.astype(np.int32)  # a task's rows are far fewer than 2**31
     own, doc = key[docs[0]], docs[1]
     order = np.lexsort((doc, own))
     own, doc = own[order], doc[order]
@@ -63,7 +64,7 @@ def merged(keys: np.ndarray, docs: tuple, occ: tuple, most: int) -> tuple[np.nda
     order = np.lexsort((source, own))
     own, source = own[order], source[order]
     new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (source[1:] != source[:-1]))[: len(own)])
-    n = np.add.reduceat(occ[2][order], new) if len(new) else occ[2]
+    n = np.add.reduceat(occ[2][order], new, dtype=np.int64) if len(new) else occ[2].astype(np.int64)
     return first, lists, np.searchsorted(own[new], np.arange(len(first) + 1)), source[new], n
 
 
@@ -90,11 +91,13 @@ def chunk_counts(docs: DataFrame, min_docs: int) -> DataFrame:
             return defaultdict(count().__next__), defaultdict(count().__next__), defaultdict(count().__next__), [], [], [], [], [], 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            entry = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+            entry = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
             code, n = np.concatenate(codes), np.concatenate(counts)
-            lang, source, doc = np.array(doc_lang)[entry], np.array(doc_source)[entry], np.array(doc_number)[entry]
-            row = np.arange(len(code))
-            first, lists, at, by, total = merged(lang * len(words) + code, (row, doc), (row, source, n), min_docs)
+            codes.clear()
+            counts.clear()
+            lang, source = np.array(doc_lang, np.int32)[entry], np.array(doc_source, np.int32)[entry]
+            row = np.arange(len(code), dtype=np.int32)
+            first, lists, at, by, total = merged(lang.astype(np.int64) * len(words) + code, (row, np.array(doc_number)[entry]), (row, source, n), min_docs)
             text = pa.array(list(words), pa.binary()).cast(pa.string())
             yield from _rows(["lang", "chunk", "docs", "occ"], pa.array(list(langs), pa.string()).take(pa.array(lang[first])), text.take(pa.array(code[first])),
                              lists, at, pa.array(list(sources), pa.string()).take(pa.array(by)), total)
@@ -105,8 +108,8 @@ def chunk_counts(docs: DataFrame, min_docs: int) -> DataFrame:
                 own = Counter((t or "").encode().lower().split())
                 if not own:
                     continue
-                codes.append(np.fromiter(map(words.__getitem__, own), np.int64, len(own)))
-                counts.append(np.fromiter(own.values(), np.int64, len(own)))
+                codes.append(np.fromiter(map(words.__getitem__, own), np.int32, len(own)))
+                counts.append(np.fromiter(own.values(), np.int32, len(own)))
                 doc_lang.append(langs[lang])
                 doc_source.append(sources[source])
                 doc_number.append(next(numbers))
