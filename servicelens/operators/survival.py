@@ -150,9 +150,8 @@ def fit_weibull(frame: DataFrame, numeric: Sequence[str], categories: Sequence[s
         value, slope, curve, n = at(params)
         steps = 1
         while steps < MOST_STEPS and np.max(np.abs(slope)) > CLOSE:
-            step = np.linalg.lstsq(-curve, slope, rcond=1e-12)[0]
-            if step @ slope <= 0:  # not yet where the objective bends down: go uphill
-                step = slope
+            bend, axes = np.linalg.eigh(-curve)  # Newton's step; uphill too where the objective bends up
+            step = axes @ ((axes.T @ slope) / np.maximum(np.abs(bend), 1e-9))
             part, gained = 1.0, False
             while steps < MOST_STEPS and part > 1e-9:
                 tried = at(params + part * step)
