@@ -51,12 +51,25 @@ def fold(key: str, mod: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % mod
 
 
-def summed_blocks(parts: DataFrame) -> dict[int, np.ndarray]:
-    """Sum the vectors ``v`` of equal ``block`` over all partitions.
-
-    ``parts`` holds at most one vector per block and partition, so each block's
-    group has as many rows as the input has partitions; the number and width
-    of the blocks are fixed by the model, not by the data.
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores put before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def summed_blocks(parts: DataFrame, fan_in: int = 256) -> dict[int, np.ndarray]:
+    """Sum the vectors ``v`` of equal ``block`` over all partitions, in two levels.
+
+    ``parts`` holds at most one vector per block and partition. A first group
+    takes the partitions of one rest modulo ``fan_in``, a second one the at
+    most ``fan_in`` sums of a block; the number and width of the blocks are
+    fixed by the model, not by the data.
     """
 
     def add(t: pa.Table) -> pa.Table:
@@ -64,7 +77,8 @@ def summed_blocks(parts: DataFrame) -> dict[int, np.ndarray]:
         total = np.sum([np.frombuffer(x, dtype=np.float64) for x in rows], axis=0)
         return pa.table({"block": t.column("block").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
 
-    out = parts.groupBy("block").applyInArrow(add, "block int, v binary")
+    some = parts.groupBy("block", F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias("part")).applyInArrow(add, "block int, v binary")
+    out = some.groupBy("block").applyInArrow(add, "block int, v binary")
     return {r["block"]: np.frombuffer(bytes(r["v"]), dtype=np.float64) for r in out.collect()}
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from servicelens.llm.common import materialise
+from servicelens.llm.common import free_names, materialise
 
 
 @dataclass(frozen=True)
@@ -152,22 +152,24 @@ def mixed(docs: DataFrame, params: MixParams | None = None, keep: list[str] | No
     then the documents of a block: rows sorted by (__epoch, __order) are the
     mixed sequence. NULL sources are a source of their own; a NULL doc_id is
     keyed by its text; repeated rows are drawn alike; documents without a word
-    are drawn in each whole epoch; an empty table gives no rows.
+    are drawn in each whole epoch; an empty table gives no rows. Columns named
+    like the two new ones are replaced, any others kept, whatever their names.
     """
     p = params or MixParams()
-    names = keep if keep is not None else docs.columns
-    keyed = docs.select(*names, _key().alias("__skey"), _doc_key().alias("__dkey"), token_count(F.col("text").cast("string")).alias("__tokens"))
-    budgets, cuts = mix_plan(keyed.select(F.col("__skey").alias("skey"), F.col("__dkey").alias("dkey"), F.col("__tokens").alias("tokens")), p)
-    b = budgets.select(F.col("skey").alias("__skey"), F.col("n_blocks").alias("__n"), F.col("epochs").alias("__full"))
-    c = cuts.select(F.col("skey").alias("__skey"), F.col("block").alias("__block"), F.col("cut").alias("__cut"), F.lit(True).alias("__in"))
+    names = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in ("__epoch", "__order")]
+    skey, dkey, tokens, n, full, block, cut, within = free_names(docs, "__skey", "__dkey", "__tokens", "__n", "__full", "__block", "__cut", "__in")
+    keyed = docs.select(*names, _key().alias(skey), _doc_key().alias(dkey), token_count(F.col("text").cast("string")).alias(tokens))
+    budgets, cuts = mix_plan(keyed.select(F.col(skey).alias("skey"), F.col(dkey).alias("dkey"), F.col(tokens).alias("tokens")), p)
+    b = budgets.select(F.col("skey").alias(skey), F.col("n_blocks").alias(n), F.col("epochs").alias(full))
+    c = cuts.select(F.col("skey").alias(skey), F.col("block").alias(block), F.col("cut").alias(cut), F.lit(True).alias(within))
     drawn = (
-        keyed.join(b, "__skey").withColumn("__block", F.pmod(_hash(p.seed, F.col("__dkey")), F.col("__n")).cast("int"))
-        .join(c, ["__skey", "__block"], "left")
+        keyed.join(b, skey).withColumn(block, F.pmod(_hash(p.seed, F.col(dkey)), F.col(n)).cast("int"))
+        .join(c, [skey, block], "left")
     )
-    partial = F.col("__in").isNotNull() & (F.col("__cut").isNull() | (_hash(p.seed, F.col("__full"), F.col("__dkey")) <= F.col("__cut")))
-    times = F.col("__full") + F.when(partial, 1).otherwise(0)
+    partial = F.col(within).isNotNull() & (F.col(cut).isNull() | (_hash(p.seed, F.col(full), F.col(dkey)) <= F.col(cut)))
+    times = F.col(full) + F.when(partial, 1).otherwise(0)
     return drawn.withColumn("__epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), (times - 1).cast("int"))))).select(
         *names, "__epoch",
         F.concat_ws("/", *[F.lpad(F.hex(x), 13, "0") for x in (
-            _hash(p.seed, "block", F.col("__epoch"), F.col("__block"), F.col("__skey")), _hash(p.seed, F.col("__epoch"), F.col("__dkey")))]).alias("__order"),
+            _hash(p.seed, "block", F.col("__epoch"), F.col(block), F.col(skey)), _hash(p.seed, F.col("__epoch"), F.col(dkey)))]).alias("__order"),
     )

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from servicelens.llm.common import free_names
+
 #: The largest table that is broadcast; 16 bytes a slot.
 MOST_SLOTS = 1 << 22
 
@@ -70,14 +72,14 @@ def with_shard(docs: DataFrame, params: ShardParams | None = None, name: str = "
 
     No row is moved for it. Rows of one doc_id, and so repeated rows, share a
     shard; a NULL doc_id is placed by its text, a NULL text like an empty one;
-    an empty table gives no rows. A column of that name is replaced.
+    an empty table gives no rows. A column of that name is replaced, any other
+    column is kept as it is, whatever its name.
     """
     p = params or ShardParams()
     kept = [c for c in docs.columns if c.lower() != name.lower()]
-    return (
-        docs.withColumn("__slot", slot_of(p.slots)).join(F.broadcast(table_frame(docs.sparkSession, p)), "__slot")
-        .select(*kept, F.col("__shard").alias(name))
-    )
+    slot, shard = free_names(docs, "__slot", "__shard")
+    owners = table_frame(docs.sparkSession, p).withColumnsRenamed({"__slot": slot, "__shard": shard})
+    return docs.withColumn(slot, slot_of(p.slots)).join(F.broadcast(owners), slot).select(*kept, F.col(shard).alias(name))
 
 
 def shard_counts(placed: DataFrame, name: str = "shard") -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.llm.common import materialise, texts
+from servicelens.llm.common import free_names, materialise, texts
 from servicelens.llm.components import connected_components
 
 BITS = 64
@@ -224,29 +224,30 @@ def keep_representatives(docs: DataFrame, words: int = 4, distance: int = 4) ->
 
     All columns are kept as they are. Rows whose doc_id is NULL or occurs more
     than once are told apart by their fingerprint, and one row of each kept
-    (doc_id, fingerprint) stays.
+    (doc_id, fingerprint) stays. Extra columns may have any names.
     """
     rows, groups = simhash_groups(docs, words, distance)
+    own, kept, of = free_names(docs, "__id", "__fp", "__of")
     keepers = materialise(
         groups.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("k"))
-        .select(F.col("k.rep").alias("__id"), F.col("k.fp").alias("__fp"))
+        .select(F.col("k.rep").alias(own), F.col("k.fp").alias(kept))
     )
     odd = materialise(
-        rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("__id"))
+        rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias(own))
     )
     if odd.isEmpty():
-        return docs.join(keepers.select("__id"), docs["doc_id"].cast("long") == F.col("__id"), "left_semi")
+        return docs.join(keepers.select(own), docs["doc_id"].cast("long") == F.col(own), "left_semi")
     names = docs.columns
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    plain = docs.join(odd, same, "left_anti").join(keepers.select("__id"), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own))
+    plain = docs.join(odd, same, "left_anti").join(keepers.select(own), F.col("doc_id").cast("long") == F.col(own), "left_semi")
 
     @F.pandas_udf("long")
     def fp(text):
         return text.map(lambda t: int(np.uint64(fingerprint(shingle_hashes(t or "", words))).view(np.int64)))
 
     repeated = (
-        docs.join(odd, same, "left_semi").withColumn("__of", fp(F.col("text").cast("string")))
-        .join(keepers, same & (F.col("__of") == F.col("__fp")), "left_semi")
-        .dropDuplicates(["doc_id", "__of"]).select(*names)
+        docs.join(odd, same, "left_semi").withColumn(of, fp(F.col("text").cast("string")))
+        .join(keepers, same & (F.col(of) == F.col(kept)), "left_semi")
+        .dropDuplicates(["doc_id", of]).select(*names)
     )
     return plain.unionByName(repeated)
