@@ -95,7 +95,7 @@ def naive_baseline(split: DataFrame) -> DataFrame:
     return last4.groupBy("series").agg(F.when(F.count(F.lit(1)) == 4, F.avg("y")).alias("naive"))
 
 
-def _mape(y: Column, p: Column) -> Column:
+def mape(y: Column, p: Column) -> Column:
     """mean |y - p| / |y| over non-zero actuals."""
     return F.avg(F.when(y != 0, F.abs(y - p) / F.abs(y)))
 
@@ -103,7 +103,7 @@ def _mape(y: Column, p: Column) -> Column:
 def naive_backtest(split: DataFrame) -> DataFrame:
     """F10-F12 for the baseline: test weeks, actual, rounded prediction, MAPE per series."""
     test = split.where(F.col("is_test")).join(naive_baseline(split), "series", "left")
-    m = test.groupBy("series").agg(_mape(F.col("y"), F.col("naive")).alias("mape_naive"))
+    m = test.groupBy("series").agg(mape(F.col("y"), F.col("naive")).alias("mape_naive"))
     return (test.join(m, "series", "left")
             .select("series", "week", F.col("visits").alias("actual_visits"),
                     half_even(F.col("naive"), 0).cast("bigint").alias("pred_visits_naive"), "mape_naive"))
@@ -133,8 +133,8 @@ def gbt_backtest(split: DataFrame, params: Params) -> DataFrame:
     model = fit_gbt(split.where(~F.col("is_test")), params)
     test = model.transform(split.where(F.col("is_test"))).withColumn("pred", F.greatest(F.col("prediction"), F.lit(0.0)))
     test = test.join(naive_baseline(split), "series", "left")
-    m = test.groupBy("series").agg(_mape(F.col("y"), F.col("pred")).alias("mape_model"),
-                                   _mape(F.col("y"), F.col("naive")).alias("mape_naive"),
+    m = test.groupBy("series").agg(mape(F.col("y"), F.col("pred")).alias("mape_model"),
+                                   mape(F.col("y"), F.col("naive")).alias("mape_naive"),
                                    F.stddev_samp(F.col("y") - F.col("pred")).alias("residual_sd"))
     return (test.join(m, "series", "left")
             .select("series", "week", F.col("visits").alias("actual_visits"), F.col("pred").alias("pred_model_raw"),

@@ -517,6 +517,61 @@ SELECT series, CAST(week AS VARCHAR) AS week, visits AS actual_visits,
 FROM te LEFT JOIN mp USING (series)
 """)
 
+
+
+def _eliminated(name, k):
+    """CTEs that solve the normal equations of the long table ``name``0 (series, i, j, v): one step a pivot."""
+    steps = ""
+    for p in range(1, k + 1):
+        steps += f""",
+{name}{p} AS (
+  SELECT c.series, c.i, c.j,
+         CASE WHEN c.i = {p} AND ok THEN c.v / pv WHEN c.i = {p} THEN 0.0
+              WHEN ok THEN c.v - ci.v * rj.v / pv ELSE c.v END AS v
+  FROM {name}{p - 1} c
+  JOIN (SELECT a.series, a.v AS pv, a.v > 1e-9 * b.v AS ok
+        FROM {name}{p - 1} a JOIN {name}0 b USING (series, i, j) WHERE a.i = {p} AND a.j = {p}) p USING (series)
+  JOIN {name}{p - 1} ci ON ci.series = c.series AND ci.i = c.i AND ci.j = {p}
+  JOIN {name}{p - 1} rj ON rj.series = c.series AND rj.i = {p} AND rj.j = c.j)"""
+    return steps
+
+
+def _exog_ar(series):
+    """Two-stage least squares in long form: products by unnested regressors, eliminated, joined back."""
+    weekly = NAIVE.replace("SELECT 'ALL' AS series,", f"SELECT {series} AS series,")
+    return weekly + """,
+xt AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week) - 1 AS t FROM sp),
+xl AS (SELECT series, week, is_test, unnest([1, 2, 3, 4, 5, 6, 7]) AS i,
+              unnest([1.0::DOUBLE, t, is_year_end, payday_week, pre_holiday_4w, holiday_week, y]) AS x FROM xt),
+s0 AS (SELECT a.series, a.i, b.i AS j, sum(a.x * b.x) AS v FROM xl a JOIN xl b USING (series, week)
+       WHERE NOT a.is_test AND a.i <= 6 GROUP BY ALL)""" + _eliminated("s", 6) + """,
+fit AS (SELECT series, week, sum(v * x ORDER BY i) AS fit FROM xl JOIN (SELECT series, i, v FROM s6 WHERE j = 7) USING (series, i)
+        GROUP BY series, week),
+res AS (SELECT xt.*, fit.fit, y - fit.fit AS u, lag(y - fit.fit, 1) OVER w AS u1, lag(y - fit.fit, 4) OVER w AS u4
+        FROM xt LEFT JOIN fit USING (series, week) WINDOW w AS (PARTITION BY series ORDER BY week)),
+ul AS (SELECT series, week, unnest([1, 2, 3]) AS i, unnest([u1, u4, u]) AS x FROM res WHERE NOT is_test AND u4 IS NOT NULL),
+r0 AS (SELECT a.series, a.i, b.i AS j, sum(a.x * b.x) AS v FROM ul a JOIN ul b USING (series, week) WHERE a.i <= 2 GROUP BY ALL)
+""" + _eliminated("r", 2) + """,
+rho AS (SELECT series, max(v) FILTER (WHERE i = 1) AS p1, max(v) FILTER (WHERE i = 2) AS p4 FROM r2 WHERE j = 3 GROUP BY series),
+ep AS (SELECT res.series, res.week, res.visits, res.y, nb.naive,
+              CASE WHEN fit IS NOT NULL THEN greatest(fit + coalesce(p1 * coalesce(u1, 0) + p4 * coalesce(u4, 0), 0), 0) END AS pred
+       FROM res LEFT JOIN rho USING (series) LEFT JOIN nb USING (series) WHERE is_test),
+em AS (SELECT series, avg(abs(y - pred) / abs(y)) FILTER (WHERE y <> 0) AS mape_exog,
+              avg(abs(y - naive) / abs(y)) FILTER (WHERE y <> 0) AS mape_naive FROM ep GROUP BY series)"""
+
+
+sql("exog_ar_backtest", _exog_ar("coalesce(CAST(branch AS VARCHAR), '')") + """
+SELECT series, CAST(week AS VARCHAR) AS week, visits AS actual_visits, CAST(round_even(pred, 0) AS BIGINT) AS pred_visits_exog,
+       round(pred, 6) AS pred_exog_raw, round(mape_exog, 6) AS mape_exog, round(mape_naive, 6) AS mape_naive
+FROM ep JOIN em USING (series)
+""")
+
+sql("exog_ar_mape", _exog_ar("'ALL'") + """
+SELECT series, 'naive trailing 4-week mean' AS model, round(mape_naive, 6) AS test_mape FROM em
+UNION ALL
+SELECT series, 'calendar regression with autoregressive errors', round(mape_exog, 6) FROM em
+""")
+
 sql("recursive_forecast_naive", WEEKLY + """,
 hs AS (SELECT series, list(CAST(visits AS DOUBLE) ORDER BY week) AS h, max(week) AS last_week,
               sum(visits) AS tv, sum(anchor_visits) AS ta, sum(revenue) AS tr FROM dense GROUP BY series),

@@ -270,7 +270,7 @@ def q_conditional_item_rate(spark, d):
 
 
 # ---------------------------------------------------------------- demand
-from servicelens.operators import demand  # noqa: E402
+from servicelens.operators import demand, exog_ar  # noqa: E402
 
 
 WEEKLY_COLS = ("visit_id", "visit_date", "price", "is_anchor")
@@ -282,8 +282,8 @@ def _weekly(sv, series_cols=()):
     return demand.weekly_demand(visits_op.visit_totals(sv.lines(*WEEKLY_COLS, *extra), series_cols), series_cols)
 
 
-def _split(sv):
-    return demand.time_split(demand.lag_features(_weekly(sv), sv.params))
+def _split(sv, series_cols=()):
+    return demand.time_split(demand.lag_features(_weekly(sv, series_cols), sv.params))
 
 
 @query("weekly_demand")
@@ -340,9 +340,27 @@ def q_gbt_backtest(spark, d):
 
 @query("backtest_by_model")
 def q_backtest_by_model(spark, d):
-    """F16: MAPE per model (rows-only check)."""
+    """F16: MAPE per model: baseline, boosted trees, calendar regression (rows-only check)."""
     sv = views(spark, d)
-    return demand.backtest_by_model(demand.gbt_backtest(_split(sv), sv.params))
+    split = _split(sv)
+    other = exog_ar.mape_rows(exog_ar.exog_ar_backtest(split)).where(F.col("model") == exog_ar.METHOD_EXOG)
+    return demand.backtest_by_model(demand.gbt_backtest(split, sv.params)).unionByName(other)
+
+
+@query("exog_ar_backtest")
+def q_exog_ar_backtest(spark, d):
+    """F16: backtest of the calendar regression with autoregressive errors, per branch."""
+    sv = views(spark, d)
+    b = exog_ar.exog_ar_backtest(_split(sv, ["branch"]))
+    return b.select("series", "week", "actual_visits", "pred_visits_exog",
+                    *[r6(F.col(c)).alias(c) for c in ("pred_exog_raw", "mape_exog", "mape_naive")])
+
+
+@query("exog_ar_mape")
+def q_exog_ar_mape(spark, d):
+    """F16: one MAPE row per model of the global series, for the models that SQL can follow."""
+    sv = views(spark, d)
+    return exog_ar.mape_rows(exog_ar.exog_ar_backtest(_split(sv))).withColumn("test_mape", r6(F.col("test_mape")))
 
 
 @query("recursive_forecast_gbt")
