@@ -169,7 +169,11 @@ def recursive_forecast(weekly: DataFrame, params: Params, model=None) -> DataFra
         state = _naive_recursion(hist, params.horizon_weeks)
     else:
         state = _model_recursion(hist, params, model)
-    out = state.select("series", "tv", "ta", "tr", F.inline("preds"))
+    return translated(state.select("series", "tv", "ta", "tr", F.inline("preds")), METHOD_NAIVE if model is None else METHOD_GBT)
+
+
+def translated(out: DataFrame, method: str, *more: str) -> DataFrame:
+    """forecast visits, anchor visits and revenue of ``pred`` from the series' totals (tv, ta, tr)."""
     fv = half_even(F.col("pred"), 0).cast("bigint")
     tv = F.greatest(F.col("tv").cast("double"), F.lit(1.0))
     anchor_rate = F.col("ta").cast("double") / tv
@@ -178,7 +182,7 @@ def recursive_forecast(weekly: DataFrame, params: Params, model=None) -> DataFra
         "series", "week", F.col("pred").alias("forecast_mean"), fv.alias("forecast_visits"),
         half_even(fv * anchor_rate, 0).cast("bigint").alias("forecast_anchor_visits"),
         half_even(fv * aov, 0).cast("bigint").alias("forecast_revenue"),
-        F.lit(METHOD_NAIVE if model is None else METHOD_GBT).alias("method"),
+        F.lit(method).alias("method"), *more,
     )
 
 

@@ -270,7 +270,7 @@ def q_conditional_item_rate(spark, d):
 
 
 # ---------------------------------------------------------------- demand
-from servicelens.operators import demand, exog_ar  # noqa: E402
+from servicelens.operators import demand, exog_ar, series_boost  # noqa: E402
 
 
 WEEKLY_COLS = ("visit_id", "visit_date", "price", "is_anchor")
@@ -363,6 +363,20 @@ def q_exog_ar_mape(spark, d):
     return exog_ar.mape_rows(exog_ar.exog_ar_backtest(_split(sv))).withColumn("test_mape", r6(F.col("test_mape")))
 
 
+@query("branch_boost_backtest")
+def q_branch_boost_backtest(spark, d):
+    """one boosted model a branch, backtest with simulated bands (rows-only)."""
+    sv = views(spark, d)
+    return series_boost.boost_backtest(_weekly(sv, ["branch"]), sv.params)
+
+
+@query("branch_boost_forecast")
+def q_branch_boost_forecast(spark, d):
+    """Recursive forecast of each branch by its own model, with simulated bands (rows-only)."""
+    sv = views(spark, d)
+    return series_boost.boost_forecast(_weekly(sv, ["branch"]), sv.params)
+
+
 @query("recursive_forecast_gbt")
 def q_recursive_forecast_gbt(spark, d):
     """GBT refit on all weeks, recursive forecast with a 95% band (rows-only)."""
