@@ -49,7 +49,8 @@ def frequent_itemsets(lines: DataFrame, params: Params) -> DataFrame:
     return cut_lineage(model.freqItemsets
                        .select(F.array_sort("items").alias("items"), F.col("freq"))
                        .withColumn("size", F.size("items"))
-                       .withColumn("support", F.col("freq") / n))
+                       .withColumn("support", F.col("freq") / n)
+                       .where(F.col("support") >= params.min_support))  # the miner counts no baskets without an item
 
 
 def association_rules(lines: DataFrame, params: Params, itemsets: DataFrame | None = None) -> DataFrame:
@@ -99,10 +100,10 @@ def association_rules(lines: DataFrame, params: Params, itemsets: DataFrame | No
 
 # ------------------------------------------------------------------ pairwise
 def item_visit_counts(lines: DataFrame) -> DataFrame:
-    return _item_counts(baskets(lines))
+    return item_counts(baskets(lines))
 
 
-def _item_counts(b: DataFrame) -> DataFrame:
+def item_counts(b: DataFrame) -> DataFrame:
     """Visits per item, from the basket table (no second pass over the lines)."""
     return b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("visits"))
 
@@ -117,7 +118,7 @@ def pair_counts(lines: DataFrame, params: Params, b: DataFrame | None = None) ->
     """
     b = b if b is not None else baskets(lines)
     n = b.select(F.count(F.lit(1))).scalar()
-    frequent = (_item_counts(b).where(F.col("visits") / n >= params.min_support)
+    frequent = (item_counts(b).where(F.col("visits") / n >= params.min_support)
                 .select(F.array_sort(F.collect_list("item"))).scalar())
     patterns = (b.select(F.array_intersect("items", frequent).alias("p"))
                 .where(F.size("p") >= 2)
@@ -135,7 +136,7 @@ def pairwise_rules(lines: DataFrame, params: Params) -> DataFrame:
     """
     b = baskets(lines)
     n = b.select(F.count(F.lit(1))).scalar().cast("double")
-    counts = _item_counts(b)
+    counts = item_counts(b)
     pc = pair_counts(lines, params, b)
     r = (pc.join(counts.select(F.col("item").alias("antecedent"), F.col("visits").alias("antecedent_visits")), "antecedent")
          .join(counts.select(F.col("item").alias("consequent"), F.col("visits").alias("consequent_visits")), "consequent"))

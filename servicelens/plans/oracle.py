@@ -342,6 +342,8 @@ SELECT array_to_string(items, '|') AS items, freq, CAST(len(items) AS INTEGER) A
 FROM fi
 """)
 
+SQL["weighted_itemsets"] = SQL["frequent_itemsets"]
+
 sql("association_rules", BASKET + """,
 sp AS (SELECT [i1] AS ant, [i2] AS con, freq FROM f2 UNION ALL SELECT [i2], [i1], freq FROM f2
        UNION ALL SELECT [i1], [i2, i3], freq FROM f3 UNION ALL SELECT [i2], [i1, i3], freq FROM f3
@@ -733,6 +735,32 @@ SELECT segment, count(gap_days) AS n_episodes, avg(gap_days) AS avg_gap_days, CA
 FROM ep WHERE segment IS NOT NULL GROUP BY segment
 """)
 
+sql("interval_sketch_by_segment", EPISODES + """,
+b AS (SELECT segment, CAST(ceil(ln(gap_days) / ln(1.01 / 0.99)) AS INTEGER) AS bucket, count(*) AS n
+      FROM ep WHERE segment IS NOT NULL GROUP BY ALL),
+r AS (SELECT segment, 2 * pow(1.01 / 0.99, bucket) / (1.01 / 0.99 + 1) AS v,
+             sum(n) OVER (PARTITION BY segment ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY segment) AS n FROM b),
+q AS (SELECT segment, CAST(max(n) AS BIGINT) AS n, max(0.5::DOUBLE * (n - 1)) AS h5, max(0.9::DOUBLE * (n - 1)) AS h9,
+             min(v) FILTER (upto > floor(0.5::DOUBLE * (n - 1))) AS l5, min(v) FILTER (upto > ceil(0.5::DOUBLE * (n - 1))) AS u5,
+             min(v) FILTER (upto > floor(0.9::DOUBLE * (n - 1))) AS l9, min(v) FILTER (upto > ceil(0.9::DOUBLE * (n - 1))) AS u9
+      FROM r GROUP BY segment),
+x AS (SELECT segment, CAST(median(gap_days) AS DOUBLE) AS exact_median FROM ep GROUP BY segment)
+SELECT q.segment, n, round(l5 + (h5 - floor(h5)) * (u5 - l5), 6) AS sketch_median,
+       round(l9 + (h9 - floor(h9)) * (u9 - l9), 6) AS sketch_p90, exact_median, true AS within_bound
+FROM q JOIN x USING (segment)
+""")
+
+sql("asset_history_bucketed", EPISODES + """,
+v AS (SELECT visit_id, """ + FIRST_LINE.format(c="asset_id") + """ AS asset_id, min(visit_date) AS visit_date,
+             sum(CAST(price AS DECIMAL(18,2))) AS revenue FROM lines WHERE visit_id IS NOT NULL GROUP BY visit_id),
+pv AS (SELECT asset_id, count(*) AS n_visits, CAST(sum(revenue) AS DOUBLE) AS revenue, max(visit_date) AS last_visit
+       FROM v WHERE asset_id IS NOT NULL GROUP BY asset_id),
+pe AS (SELECT asset_id, count(*) AS n_episodes, CAST(sum(gap_days) AS BIGINT) AS gap_days FROM ep WHERE asset_id IS NOT NULL GROUP BY asset_id)
+SELECT a.asset_id, a.segment, coalesce(n_visits, 0) AS n_visits, revenue, CAST(last_visit AS VARCHAR) AS last_visit,
+       coalesce(n_episodes, 0) AS n_episodes, gap_days
+FROM assets a LEFT JOIN pv USING (asset_id) LEFT JOIN pe USING (asset_id)
+""")
+
 SCORED = EPISODES + """,
 tr AS (SELECT segment, regr_slope(log_gap_days, ln(km_per_month)) AS slope, regr_intercept(log_gap_days, ln(km_per_month)) AS icpt
        FROM ep GROUP BY segment),

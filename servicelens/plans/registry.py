@@ -199,7 +199,7 @@ def q_tier_distribution(spark, d):
 
 
 # ---------------------------------------------------------------- basket
-from servicelens.operators import basket  # noqa: E402
+from servicelens.operators import basket, itemsets  # noqa: E402
 
 BASKET_COLS = ("visit_id", "item", "price", "category", "is_anchor")
 
@@ -216,6 +216,12 @@ def q_frequent_itemsets(spark, d):
     return basket.frequent_itemsets(views(spark, d).lines("visit_id", "item"), views(spark, d).params)
 
 
+@query("weighted_itemsets")
+def q_weighted_itemsets(spark, d):
+    """B3 on weighted patterns: the same itemsets, each distinct basket counted once."""
+    return itemsets.weighted_itemsets(views(spark, d).lines("visit_id", "item"), views(spark, d).params)
+
+
 @query("association_rules")
 def q_association_rules(spark, d):
     """Rules from every proper subset of the frequent itemsets."""
@@ -532,7 +538,12 @@ def q_segment_crosstab(spark, d):
 
 
 # ---------------------------------------------------------------- interval models
-from servicelens.operators import interval  # noqa: E402
+import uuid  # noqa: E402
+
+from servicelens.functions import sketch  # noqa: E402
+from servicelens.operators import asset_history, interval  # noqa: E402
+from servicelens.session import ensure_checkpoint_dir  # noqa: E402
+from servicelens.sources import bucketed  # noqa: E402
 
 
 @query("training_frame")
@@ -550,6 +561,31 @@ def q_interval_by_segment(spark, d):
     return t.withColumn("avg_utilization", r6(F.col("avg_utilization")))
 
 
+@query("interval_sketch_by_segment")
+def q_interval_sketch_by_segment(spark, d):
+    """M9 on stored sketches: daily sketches of the gaps, in folders by month, merged by segment, beside the exact median."""
+    sv = views(spark, d)
+    ep = sv.shared("episodes", lambda: _episodes(sv).where(F.col("segment").isNotNull()).select("segment", "visit_date", "gap_days"))
+    days = sketch.sketch(ep.withColumn("month", F.trunc("visit_date", "month")), ["segment", "month", "visit_date"], "gap_days")
+    days = sketch.store(days, "month", f"{ensure_checkpoint_dir(spark)}/sketch_{uuid.uuid4().hex}")
+    got = sketch.quantiles(sketch.merged(days, ["segment"]), ["segment"], {"sketch_median": 0.5, "sketch_p90": 0.9})
+    exact = ep.groupBy("segment").agg(F.median("gap_days").alias("exact_median"))
+    return (got.join(exact, "segment")
+            .withColumn("within_bound", F.abs(F.col("sketch_median") - F.col("exact_median")) <= 0.01 * F.col("exact_median") + 1e-9)
+            .withColumns({c: r6(F.col(c)) for c in ("sketch_median", "sketch_p90")}))
+
+
+@query("asset_history_bucketed")
+def q_asset_history_bucketed(spark, d):
+    """S8 co-partitioned: visits, episodes and assets written by bucket of the asset, then grouped and joined in place."""
+    sv = views(spark, d)
+    t = bucketed.write_bucketed
+    v = t(visits_op.visit_rollup(sv.lines(*VISIT_COLS)).select("asset_id", "visit_id", "visit_date", "visit_revenue"), "asset_id", 8)
+    e = t(_episodes(sv).select("asset_id", "visit_id", "gap_days"), "asset_id", 8)
+    a = t(sv.assets().select("asset_id", "segment"), "asset_id", 8)
+    return asset_history.asset_history(a, v, e)
+
+
 @query("scored_episodes")
 def q_scored_episodes(spark, d):
     """M3 with the closed-form prediction: predicted gap per episode."""
