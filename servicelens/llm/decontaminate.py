@@ -10,16 +10,21 @@ radius are verified by the exact similarity of the shingle counts.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from servicelens.llm.common import texts
+from servicelens.llm.common import free_names, materialise, texts
 from servicelens.llm.simhash_dedup import BITS, fingerprint, shingle_hashes
+from servicelens.llm.token_files import storage
+from servicelens.session import ensure_checkpoint_dir
 
 FILTER_BITS = 20
 #: Windows fingerprinted at a time.
@@ -154,17 +159,40 @@ def window_fingerprints(h: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray
     return np.packbits(2 * (run[starts + n] - run[starts]) > n, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
-def item_passes(benchmark: DataFrame, p: LeakParams) -> list[LeakIndex]:
-    """The benchmark in blocks of bounded size, each small enough to send to every task.
+def item_passes(benchmark: DataFrame, p: LeakParams) -> list[str]:
+    """The benchmark's indexes, in blocks of bounded size, as files below the shared checkpoint folder.
 
-    The number of blocks follows the number and length of the items, so no
-    item is left out however many there are.
+    A task takes the items of a block and writes their index; only the names
+    of the files reach the driver. The number of blocks follows the number and
+    length of the items, so no item is left out however many there are. A
+    task that runs again writes a file of its own.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     n, chars = items.select(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     passes = max(1, -(-n // p.items_a_pass), -(-chars // p.chars_a_pass))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    return [LeakIndex([(r.item_id, r.text) for r in items.where(block == i).orderBy("item_id", "text").collect()], p) for i in range(passes)]
+    folder = f"{ensure_checkpoint_dir(benchmark.sparkSession)}/{uuid.uuid4().hex}"
+    system, root = storage(folder)
+    system.create_dir(root, recursive=True)
+
+    def build(t: pa.Table) -> pa.Table:
+        rows = sorted(zip(t.column("item_id").to_pylist(), t.column("text").to_pylist()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        path = f"{folder}/{uuid.uuid4().hex}.index"
+        system, name = storage(path)
+        with system.open_output_stream(name) as f:
+            f.write(pickle.dumps(LeakIndex(rows, p), pickle.HIGHEST_PROTOCOL))
+        return pa.table({"block": t.column("block").slice(0, 1), "path": pa.array([path], pa.string())})
+
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)).alias("block")
+    built = items.select(block, "item_id", "text").groupBy("block").applyInArrow(build, "block long, path string")
+    return [r.path for r in built.orderBy("block").collect()]
+
+
+@lru_cache(maxsize=1)
+def load_index(path: str) -> LeakIndex:
+    """An index that ``item_passes`` wrote; a worker holds one at a time."""
+    system, name = storage(path)
+    with system.open_input_stream(name) as f:
+        return pickle.loads(f.read())
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams | None = None) -> DataFrame:
@@ -181,9 +209,10 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams |
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, similarity double, distance int, first_word long, n_shingles int"
 
-    def searcher(index: LeakIndex):
+    def searcher(path: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
+                index = load_index(path)
                 rows = [(d, *x) for d, t in zip(b.column("doc_id").to_pylist(), texts(b)) if t for x in index.leaks(t)]
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int32())
                 cols = list(zip(*rows)) or [()] * len(kinds)
@@ -191,20 +220,34 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams |
 
         return run
 
-    out = [source.mapInArrow(searcher(i), schema) for i in item_passes(benchmark, p)]
-    result = out[0]
-    for x in out[1:]:
-        result = result.unionByName(x)
+    result = docs.sparkSession.createDataFrame([], schema)
+    for path in item_passes(benchmark, p):
+        result = result.unionByName(source.mapInArrow(searcher(path), schema))
     return result
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams | None = None) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
-    for index in item_passes(benchmark, params or LeakParams()):
+    """The rows of ``docs`` that hold no benchmark item, all columns as they are.
 
-        @F.pandas_udf("boolean")
-        def leaks(text, index=index):
-            return text.map(lambda t: bool(t) and bool(index.leaks(t)))
+    A benchmark of several passes is met by numbered rows, written once: each
+    pass gives the numbers of the rows that leak, so a task holds the index of
+    one pass. Extra columns may have any names.
+    """
+    paths = item_passes(benchmark, params or LeakParams())
 
-        docs = docs.where(~leaks(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return docs
+    def leaks_in(path: str, text: Column) -> Column:
+        @F.pandas_udf("boolean")
+        def leaks(t):
+            index = load_index(path)
+            return t.map(lambda x: bool(x) and bool(index.leaks(x)))
+
+        return leaks(F.coalesce(text.cast("string"), F.lit("")))
+
+    if len(paths) < 2:
+        for path in paths:
+            docs = docs.where(~leaks_in(path, F.col("text")))
+        return docs
+    row, hit = free_names(docs, "__row", "__hit")
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    hits = reduce(DataFrame.unionByName, [rows.where(leaks_in(path, F.col("text"))).select(F.col(row).alias(hit)) for path in paths])
+    return rows.join(materialise(hits), F.col(row) == F.col(hit), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from llm_cases import DOC_SCHEMA, empty_docs, odd_docs, prose
 
-from servicelens.llm.decontaminate import LeakIndex, LeakParams, benchmark_leaks, count_similarity, drop_leaks, window_fingerprints
+from servicelens.llm.decontaminate import LeakIndex, LeakParams, benchmark_leaks, count_similarity, drop_leaks, item_passes, load_index, window_fingerprints
 from servicelens.llm.mtree import MTree, TreeParams, top_k
 from servicelens.llm.simhash_dedup import fingerprint, shingle_hashes
 from servicelens.llm.substring_dedup import chunk_cuts, drop_spans, duplicate_spans, gear_hashes
@@ -72,6 +72,26 @@ def test_leaks_in_several_passes(spark):
     assert got == pytest.approx(plain_leaks(docs, items))
 
 
+def test_rows_without_leaks_in_several_passes(spark):
+    docs, items = leak_cases()
+    rows = [(d, t, "en", "s", 0) for d, t in docs] + [(None, items[3][1], "en", "s", 0), (None, None, None, None, None), (7, "clean words only", "en", "s", 0)]
+    df = spark.createDataFrame(rows, DOC_SCHEMA).selectExpr("*", "'mine' as __row", "'mine' as __hit", "'mine' as `a.b`")
+    bench, p = spark.createDataFrame(items, ITEM_SCHEMA), LeakParams(items_a_pass=4)
+    assert len(item_passes(bench, p)) > 2 and item_passes(bench.limit(0), p) == []
+    bad = {d for d, _ in plain_leaks(docs, items)}
+    got = drop_leaks(df, bench, p)
+    assert got.columns == df.columns
+    want = sorted([str(d) for d, _ in docs if d not in bad] + ["None", "7"])
+    assert sorted(str(r.doc_id) for r in got.collect()) == want
+
+
+def test_pass_files_hold_each_item_once(spark):
+    items = [(i % 40, prose(i % 40, 20)) for i in range(120)]  # repeated items count once
+    paths = item_passes(spark.createDataFrame(items, ITEM_SCHEMA), LeakParams(items_a_pass=7))
+    held = [i for p in paths for i in load_index(p).ids]
+    assert sorted(held) == list(range(40)) and len(paths) > 3
+
+
 def test_leaks_of_odd_rows(spark):
     df = odd_docs(spark)
     bench = spark.createDataFrame([(1, prose(3, 80)), (None, prose(7, 90)), (2, "word"), (3, None)], ITEM_SCHEMA).selectExpr("*", "1 as similarity", "2 as doc_id")
