@@ -25,6 +25,8 @@ BITS = 64
 SEED = 42
 #: Shingles whose bits are counted at a time; bounds the memory of one very long text.
 STEP = 1 << 16
+#: Heads that a bucket has on average, at most.
+BUCKET = 1 << 16
 #: Variants that a task holds at a time; larger buckets are cut by further leading bits.
 VARIANTS = 1 << 22
 
@@ -131,6 +133,18 @@ def _links(fps: np.ndarray, head: int, known: int, half: int) -> list[tuple[np.n
     return [(fps[moved], fps[root[moved]])]
 
 
+def head_bits(n: int, distance: int, least: int = 14, most: int = 30) -> int:
+    """Leading bits that give a bucket at most ``BUCKET`` of the variants' heads of ``n`` fingerprints, on average.
+
+    Any number of bits gives the same links; more of them mean smaller
+    buckets, and more rows a fingerprint (106 at 14 bits, 466 at 30).
+    """
+    bits = least
+    while bits < most and n * len(_masks(bits, distance // 2)) > BUCKET << bits:
+        bits += 1
+    return bits
+
+
 def ball_links(fps: DataFrame, distance: int = 4, prefix_bits: int = 14) -> DataFrame:
     """Distinct ``fp`` -> (u, v), links which connect all fingerprints within ``distance`` bits.
 
@@ -181,7 +195,7 @@ def ball_links(fps: DataFrame, distance: int = 4, prefix_bits: int = 14) -> Data
     return rows.mapInArrow(meet, "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, prefix_bits: int = 14) -> tuple[DataFrame, DataFrame]:
+def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all documents, and the group of each distinct fingerprint.
 
     Returns ``(rows, groups)``: rows (doc_id, fp) with one row for each row of
@@ -192,7 +206,7 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, prefix_bi
     """
     rows = materialise(fingerprints(docs, words))
     reps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    links = materialise(ball_links(reps, distance, prefix_bits))
+    links = materialise(ball_links(reps, distance, head_bits(reps.count(), distance)))
     labels = materialise(connected_components(links).select(F.col("node").alias("fp"), "label"))
     grouped = materialise(labels.join(reps, "fp"))
     least = materialise(grouped.groupBy("label").agg(F.min("rep").alias("component_id")))

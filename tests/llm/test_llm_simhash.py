@@ -7,7 +7,7 @@ import xxhash
 from llm_cases import DOC_SCHEMA, empty_docs, odd_docs, prose
 
 from servicelens.llm.components import connected_components
-from servicelens.llm.simhash_dedup import _forest, _links, ball_links, fingerprint, keep_representatives, shingle_hashes, simhash_dedup
+from servicelens.llm.simhash_dedup import _forest, _links, ball_links, fingerprint, head_bits, keep_representatives, shingle_hashes, simhash_dedup
 
 
 def plain_fingerprint(text, words=4):
@@ -137,3 +137,39 @@ def test_keep_representatives_of_odd_rows(spark):
 def test_empty(spark):
     assert simhash_dedup(empty_docs(spark)).collect() == []
     assert keep_representatives(empty_docs(spark)).collect() == []
+
+
+def test_buckets_stay_small_however_many_fingerprints():
+    assert head_bits(0, 4) == head_bits(10**6, 4) == 14
+    for n in (10**8, 10**9, 10**10, 10**12):
+        bits = head_bits(n, 4)
+        heads = 1 + bits + bits * (bits - 1) // 2
+        assert 14 < bits <= 30 and (n * heads / 2**bits <= 1 << 16 or bits == 30)
+        lower = bits - 1
+        assert n * (1 + lower + lower * (lower - 1) // 2) / 2**lower > 1 << 16
+
+
+def test_links_are_the_same_for_any_number_of_leading_bits(spark):
+    rng = random.Random(8)
+    near = []
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        near += [base, *(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))) for _ in range(3))]
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in set(near)], "fp long").repartition(5)
+
+    def groups(bits):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for r in ball_links(df, prefix_bits=bits).collect():
+            root[find(r.u)] = find(r.v)
+        out = {}
+        for x in list(root):
+            out.setdefault(find(x), set()).add(x)
+        return {frozenset(g) for g in out.values()}
+
+    assert groups(14) == groups(17) == groups(21) and len(groups(14)) == 60
