@@ -42,8 +42,8 @@ def rotate(conversations: DataFrame, params: ChatParams | None = None) -> DataFr
     once. Every role but ``system`` is a participant. ``spans`` are the
     [start, stop) characters of the assistant's text and closing marks, which
     are trained on. A NULL or empty role is named ``unknown``; a NULL text is
-    an empty one; a NULL conv_id is a conversation of its own; a NULL turn
-    comes first. A conversation with system turns only gives no row, nor does
+    an empty one; a NULL turn comes first. Rows of a NULL conv_id belong to no
+    known dialogue: each different one is rendered as a dialogue of its own. A conversation with system turns only gives no row, nor does
     an empty table. Other columns are not read.
     """
     p = params or ChatParams()
@@ -53,10 +53,13 @@ def rotate(conversations: DataFrame, params: ChatParams | None = None) -> DataFr
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     part = F.coalesce(F.floor(F.col("turn") / p.turns_a_part), F.lit(0)).alias("part")
+    # rows without a conversation are told apart by a digest, so that they never meet in one group
+    digest = F.sha2(F.concat_ws("\x1f", F.coalesce(F.col("turn").cast("string"), F.lit("")), "role", "text"), 256)
+    turns = turns.withColumn("alone", F.when(F.col("conv_id").isNull(), digest).otherwise(F.lit("")))
     # a set, so that repeated rows are merged in each map task before the shuffle
-    parts = turns.groupBy("conv_id", part).agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
-    people = turns.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("__conv"), F.col("role").alias("perspective")).distinct()
-    seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("__conv")))
+    parts = turns.groupBy("conv_id", "alone", part).agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
+    people = turns.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("__conv"), F.col("alone").alias("__alone"), F.col("role").alias("perspective")).distinct()
+    seen = parts.join(people, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("alone") == F.col("__alone")))
 
     me = F.col("perspective")
     pieces = F.transform("turns", lambda t: F.struct(

@@ -52,6 +52,16 @@ def test_rotation_in_parts_and_empty(spark):
     assert rotate(spark.createDataFrame([], CHAT_SCHEMA)).collect() == []
 
 
+def test_rows_without_a_conversation_are_dialogues_of_their_own(spark):
+    rows = [(None, i % 5, "ab"[i % 2], f"t{i}") for i in range(60)] + [(None, 1, "b", "t1"), (None, None, "a", ""), (None, 3, "system", "s")]
+    rows += [(1, 0, "a", "x"), (1, 1, "b", "y")]
+    got = rotate(spark.createDataFrame(rows, CHAT_SCHEMA)).collect()
+    alone = [r for r in got if r.conv_id is None]
+    assert len(alone) == 61 and {r.n_turns for r in alone} == {1}  # the repeat counts once, system turns alone give none
+    assert sum(len(r.spans) for r in alone) == 61
+    assert sorted((r.perspective, r.n_turns) for r in got if r.conv_id == 1) == [("a", 2), ("b", 2)]
+
+
 @pytest.mark.parametrize(("n", "slots"), [(1, 2), (3, 7), (64, 6553), (10, 1009)])
 def test_lookup_table(n, slots):
     names = shard_names(n)

@@ -1,6 +1,7 @@
 """SimHash near-duplicates against plain definitions."""
 
 import collections
+import random
 
 import numpy as np
 import xxhash
