@@ -72,7 +72,7 @@ def test_stages_on_odd_and_empty_rows(spark, tmp_path):
 
 def test_registration():
     names = entry.queries()
-    assert "pipeline" in names and [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert "pipeline" in names and [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert set(entry.oracle_sql()) <= set(names)
 
 
