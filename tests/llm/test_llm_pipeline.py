@@ -79,5 +79,6 @@ def test_registration():
 def test_nothing_else_imports_the_subpackage():
     root = pathlib.Path(entry.__file__).parent
     for f in [*root.glob("servicelens/**/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
-        if "llm" not in f.relative_to(root).parts:
+        # the test of a copy without the subpackage names it to assert that it is not there
+        if "llm" not in f.relative_to(root).parts and f.name != "test_entry_without_llm.py":
             assert "servicelens.llm" not in f.read_text() and "corpus_pipeline" not in f.read_text(), f
