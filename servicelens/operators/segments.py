@@ -17,6 +17,8 @@ from servicelens.session import cut_lineage
 MIN_ACTIVE_DAYS = 30
 #: Points that first centres are drawn from; passes over the points, and the move of a centre that ends a fit.
 SAMPLE, MOST_SWEEPS, CLOSE = 10_000, 100, 1e-6
+#: Points that a task of a pass reads (fewer make tasks that only start and end), and of which it holds all distances at once.
+POINTS_A_TASK, POINTS_AT_ONCE = 10_000, 1_000
 # The columns that the clustering reads.
 FILL_ZERO = ("visits", "anchor_visits", "revenue", "avg_items", "visits_per_year", "revenue_per_year",
              "avg_gap_days", "avg_gap_km")
@@ -68,10 +70,14 @@ def standardized(features: DataFrame) -> DataFrame:
 
 
 def _points(features: DataFrame) -> DataFrame:
-    """Features with ``z``, the array of their z-scores (population standard deviation; 0 where all are equal)."""
-    got = features.agg(*[f(f"x_{c}").alias(f"{n}_{c}") for c in X_COLS for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    """Features with ``z``, the array of their z-scores (population standard deviation; 0 where all are equal).
+
+    Dealt out anew by the number of points: what the joins before leave is as
+    many partitions as the session shuffles to, each paid for in every pass.
+    """
+    got = features.agg(F.count(F.lit(1)).alias("n"), *[f(f"x_{c}").alias(f"{n}_{c}") for c in X_COLS for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     z = [(F.col(f"x_{c}") - F.lit(got[f"m_{c}"] or 0.0)) / F.lit(got[f"s_{c}"]) if got[f"s_{c}"] else F.lit(0.0) for c in X_COLS]
-    return features.withColumn("z", F.array(*z))
+    return features.withColumn("z", F.array(*z)).repartition(max(1, -(-got["n"] // POINTS_A_TASK)))
 
 
 def first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -92,29 +98,35 @@ def sweep(points: DataFrame, centers: list[np.ndarray]) -> list[tuple[np.ndarray
     A task gives one row of numbers for its partition; these are added by
     position, so what moves is the size of the models.
     """
-    starts = np.cumsum([0, *(len(c) for c in centers)])
-    every = np.concatenate(centers)
-    m, d = every.shape
+    fits, most, d = len(centers), max(map(len, centers)), centers[0].shape[1]
+    # all centres as one block, by place and fit; a place that a fit lacks is infinitely far away
+    every, square = np.zeros((most, fits, d)), np.full((most, fits), np.inf)
+    for j, c in enumerate(centers):
+        every[:len(c), j], square[:len(c), j] = c, np.sum(c**2, 1)
+    every, square = every.reshape(-1, d), square.reshape(-1, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((m, d + 2))
+        total, cost = np.zeros((most * fits, d + 1)), np.zeros(fits)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            z = batch.column("z").flatten().to_numpy().reshape(batch.num_rows, d)
-            away = np.sum(z**2, 1)[:, None] - 2 * z @ every.T + np.sum(every**2, 1)
-            for a, b in zip(starts, starts[1:]):
-                own = np.argmin(away[:, a:b], 1)
-                total[a:b, 0] += np.bincount(own, minlength=b - a)
-                total[a:b, 1] += np.bincount(own, np.maximum(away[np.arange(len(z)), a + own], 0.0), b - a)
-                for j in range(d):
-                    total[a:b, 2 + j] += np.bincount(own, z[:, j], b - a)
-        yield pa.RecordBatch.from_pydict({"v": pa.array([total.ravel().tolist()], pa.list_(pa.float64()))})
+            points = batch.column("z").flatten().to_numpy().reshape(batch.num_rows, d)
+            for at in range(0, len(points), POINTS_AT_ONCE):
+                z = points[at:at + POINTS_AT_ONCE]
+                away = (np.sum(z**2, 1) - 2 * every @ z.T + square).reshape(most, fits, -1)
+                least = away.min(0)
+                own = away == least
+                taken = own[0].copy()
+                for place in own[1:]:  # the first of equal ones
+                    place &= ~taken
+                    taken |= place
+                total += own.reshape(most * fits, -1).astype(float) @ np.column_stack([np.ones(len(z)), z])
+                cost += np.maximum(least, 0.0).sum(1)
+        yield pa.RecordBatch.from_pydict({"v": pa.array([[*total.ravel().tolist(), *cost.tolist()]], pa.list_(pa.float64()))})
 
     parts = points.select("z").mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("at", "v"))
     got = {r["at"]: r["v"] for r in parts.groupBy("at").agg(F.sum("v").alias("v")).collect()}
-    total = np.array([got[i] for i in range(m * (d + 2))]).reshape(m, d + 2)
-    return [(total[a:b, 0], total[a:b, 2:], float(total[a:b, 1].sum())) for a, b in zip(starts, starts[1:])]
+    flat = np.array([got[i] for i in range(most * fits * (d + 1) + fits)])
+    total, cost = flat[:-fits].reshape(most, fits, d + 1), flat[-fits:]
+    return [(total[:len(c), j, 0], total[:len(c), j, 1:], float(cost[j])) for j, c in enumerate(centers)]
 
 
 def fit_many(points: DataFrame, starts: dict) -> tuple[dict, int]:
@@ -155,9 +167,11 @@ def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5)):
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
-    data = _points(features).persist(StorageLevel.MEMORY_AND_DISK)
+    held = features.persist(StorageLevel.MEMORY_AND_DISK)  # read for the means, then for the points
+    data = _points(held).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sample = np.array([r["z"] for r in data.orderBy(F.xxhash64(F.col("asset_id").cast("string")), "asset_id").select("z").limit(SAMPLE).collect()])
+        held.unpersist()
         if not len(sample):
             raise ValueError("there is no asset to cluster")
         seeds = [params.seed + i for i in range(max(params.kmeans_restarts, params.kmeans_final_restarts))]
@@ -177,6 +191,7 @@ def cluster_run(features: DataFrame, params: Params, ks=(3, 4, 5)):
         # the labels are written once: every table made from them shares this fit
         labelled = cut_lineage(labelled.join(F.broadcast(order), "cluster").drop("cluster"))
     finally:
+        held.unpersist()
         data.unpersist()
     table = features.sparkSession.createDataFrame(rows, "k int, silhouette double, training_cost double")
     return best_k, best_s, table, labelled

@@ -146,3 +146,23 @@ def test_constant_features_and_fewer_assets_than_clusters(spark):
     assert passes == 1 and fits[0][1] == 0.0
     assert pts.select(segments.nearest(fits[0][0]).alias("c")).agg(F.max("c")).first()[0] == 0
     assert Params().kmeans_restarts == 20 and Params().kmeans_final_restarts == 30
+
+
+def test_tasks_of_a_pass_follow_the_points_not_the_shuffles_before(spark, monkeypatch):
+    cols = "asset_id long, " + ", ".join(f"x_{c} double" for c in segments.X_COLS)
+    df = spark.createDataFrame([(i, *[float(i % (j + 2)) for j in range(len(segments.X_COLS))]) for i in range(100)], cols).repartition(64)
+    assert segments._points(df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(segments, "POINTS_A_TASK", 30)
+    pts = segments._points(df)
+    assert pts.rdd.getNumPartitions() == 4 and pts.count() == 100
+
+
+def test_a_pass_gives_equal_centres_to_the_first_and_holds_a_few_points_at_once(spark, monkeypatch):
+    monkeypatch.setattr(segments, "POINTS_AT_ONCE", 7)
+    z, df = cloud(spark, 60)
+    twin = np.array([z[0], z[1], z[0]])
+    (members, sums, cost), (m4, s4, c4) = segments.sweep(df, [twin, z[:4].copy()])
+    own = np.argmin(((z[:, None] - twin[:2]) ** 2).sum(2), 1)
+    assert members.tolist() == [(own == 0).sum(), (own == 1).sum(), 0] and not sums[2].any()
+    assert cost == pytest.approx(((z[:, None] - twin) ** 2).sum(2).min(1).sum())
+    assert m4.sum() == 60 and np.allclose(s4.sum(0), z.sum(0)) and c4 == pytest.approx(((z[:, None] - z[:4]) ** 2).sum(2).min(1).sum())
