@@ -132,6 +132,17 @@ def test_gbt_interval_beats_the_mean(spark):
     assert scored.count() == 400 and s["r2_log_duration"] > 0.3 and (top.startswith("km_per_month") or top.startswith("gap_km"))
 
 
+def test_passes_of_the_trees_have_as_many_tasks_as_the_episodes_need(spark):
+    ep = episodes(spark).repartition(64)
+    tracker, group = spark.sparkContext.statusTracker(), "trees"
+    spark.sparkContext.setJobGroup(group, group)
+    scored, _, _ = interval.gbt_interval(ep, Params(gbt_iters=8))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    wide = sum(i.numCompletedTasks >= 64 for i in map(tracker.getStageInfo, stages) if i)
+    assert 0 < wide < 8 and scored.count() == 400  # the trees alone are 24 passes
+
+
 def clustered(spark):
     rng = random.Random(5)
     rows = []
