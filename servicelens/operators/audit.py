@@ -72,8 +72,12 @@ def audit_checks(lines: DataFrame, assets: DataFrame) -> DataFrame:
     return _unpivot(la, rows)
 
 
-def audit_status(lines: DataFrame, assets: DataFrame, params: Params) -> DataFrame:
-    """Q10-Q15: the committed-output layout, counts with PASS (0) / FAIL."""
+def audit_status(lines: DataFrame, assets: DataFrame, params: Params, tasks: int | None = None) -> DataFrame:
+    """Q10-Q15: the committed-output layout, counts with PASS (0) / FAIL.
+
+    ``tasks``: tasks that the lines are dealt out to before equal ones are
+    merged; without it, a task's table of lines is as large as its part of the joins before.
+    """
     as_of = as_of_date(lines, params)
     # one pass: equal lines are merged first, then counted by id, then in all
     n = F.col("n")
@@ -83,7 +87,8 @@ def audit_status(lines: DataFrame, assets: DataFrame, params: Params) -> DataFra
         "after_as_of": F.col("visit_date") > as_of,
         "before_window": F.col("visit_date") < F.lit(params.window_start).cast("date"),
     }
-    per_id = lines.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("n")).groupBy("line_id").agg(
+    dealt = lines if tasks is None else lines.repartition(tasks, *lines.columns)
+    per_id = dealt.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("n")).groupBy("line_id").agg(
         F.sum(n).alias("lines"), F.sum(n - 1).alias("copies"),
         *[F.sum(F.when(c, n).otherwise(0)).alias(k) for k, c in flags.items()])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
