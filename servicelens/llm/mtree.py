@@ -3,14 +3,17 @@
 With one more coordinate that brings all vectors to the same length, the
 largest inner product is the smallest distance. Vectors are dealt over trees of
 bounded size; each tree is built in a task and stored as its pages: routing
-entries with covering radii and distances to their parent. Blocks of queries
-meet each tree in a task of their own, and the best of all trees are merged.
+entries with covering radii and distances to their parent. A task takes a block
+of queries and loads some trees one after the other, so that the bounds found
+in one hold in the next; the best of all tasks are merged. Trees and blocks are
+files below the shared checkpoint folder, of which the driver has the names.
 """
 
 from __future__ import annotations
 
 import heapq
 import pickle
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,8 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from servicelens.llm.common import materialise
+from servicelens.llm.token_files import storage
+from servicelens.session import ensure_checkpoint_dir
 
 SLACK = 1e-6
+#: Pairs of a block and some trees are dealt over at most so many tasks.
+TASKS = 4096
 
 
 @dataclass(frozen=True)
@@ -29,6 +36,8 @@ class TreeParams:
     scale: int = 64
     vectors_a_tree: int = 8192
     queries_a_block: int = 512
+    #: Trees that a task's block of queries meets.
+    trees_a_task: int = 32
     #: Vectors of a leaf page; a page is computed as one small matrix product.
     page: int = 768
     fanout: int = 16
@@ -46,6 +55,42 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
+class Best:
+    """The k best (score, vec_id) of each query of a block so far, ties to the smaller id.
+
+    ``own`` names the queries, whose own vectors take no place. Places not yet
+    taken have the score -inf.
+    """
+
+    def __init__(self, own: np.ndarray, k: int):
+        self.own, self.k = own, k
+        self.scores = np.full((len(own), k), -np.inf)
+        self.ids = np.full((len(own), k), np.iinfo(np.int64).max)
+
+    @property
+    def least(self) -> np.ndarray:
+        return self.scores[:, -1]
+
+    def add(self, at: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Vectors ``ids`` with their scores for the queries at the positions ``at``."""
+        least = self.least[at]
+        better = (ids != self.own[at]) & ((scores > least) | (scores == least) & (ids < self.ids[at, -1]))
+        if not better.any():
+            return
+        which, group = np.unique(at[better], return_inverse=True)
+        scores = np.concatenate([self.scores[which].ravel(), scores[better]])
+        ids = np.concatenate([self.ids[which].ravel(), ids[better]])
+        order = np.lexsort((ids, -scores, np.concatenate([np.repeat(np.arange(len(which)), self.k), group])))
+        sizes = self.k + np.bincount(group)
+        take = order[(np.cumsum(sizes) - sizes)[:, None] + np.arange(self.k)]
+        self.scores[which], self.ids[which] = scores[take], ids[take]
+
+    def rows(self) -> tuple[list[int], list[int], list[int]]:
+        """(query ids, vec_ids, scores) of the places that are taken."""
+        q, place = np.nonzero(self.scores > -np.inf)
+        return self.own[q].tolist(), self.ids[q, place].tolist(), [int(x) for x in self.scores[q, place].tolist()]
+
+
 class MTree:
     """An M-tree over integer vectors with unique positions; ``ids`` names them."""
 
@@ -99,54 +144,103 @@ class MTree:
         self.nodes.append(Node(False, routing, self._to(pivot, routing), radius, children))
         return len(self.nodes) - 1
 
+    def __getstate__(self) -> dict:
+        """Vectors as small integers; the points are made again from them."""
+        return {k: v for k, v in self.__dict__.items() if k != "points"} | {"vectors": _small(self.vectors)}
+
     def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[list[tuple[int, int]], int]:
         """The k best (score, vec_id), ties to the smaller id, and the distances computed."""
-        if not self.nodes:
-            return [], 0
-        target = np.append(query, 0.0)
-        length = float((query * query).sum()) + self.most
-        best: list[tuple[float, int]] = []  # a heap of (score, -id): the worst of the k first
-        reach = np.inf  # no vector beyond this distance can be among the k best
-        computed = 1
-        d0 = float(np.linalg.norm(target - self.points[self.root_pivot]))
-        heap: list[tuple[float, int, float]] = [(0.0, self.root, d0)]
+        best = Best(np.array([own_id]), k)
+        computed = self.meet(query[None], best)
+        _, ids, scores = best.rows()
+        return list(zip(scores, ids)), computed
+
+    def meet(self, queries: np.ndarray, best: Best) -> int:
+        """Put this tree's vectors into the best of a block of queries; the distances computed.
+
+        A page is opened for those queries that it may still hold one of the k
+        best for, by the bounds of all trees that the block has met.
+        """
+        if not self.nodes or not len(queries):
+            return 0
+        width = max(self.vectors.shape[1], queries.shape[1])
+        vectors, queries = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (self.vectors, queries.astype(float)))
+        lengths = (queries * queries).sum(axis=1) + self.most
+        # no sum of products reaches 2**24 then
+        kind = np.float32 if (lengths.max() - self.most) * self.most < 2**48 else np.float64
+        vectors, factors = vectors.astype(kind, copy=False), queries.astype(kind)
+        targets = np.column_stack([queries, np.zeros(len(queries))])
+
+        def distances(who: np.ndarray, entries: np.ndarray) -> np.ndarray:
+            out = np.empty((len(who), len(entries)))
+            for j, v in enumerate(vectors[entries].astype(float)):
+                diff = targets[who] - np.append(v, np.sqrt(max(self.most - (v * v).sum(), 0.0)))
+                out[:, j] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            return out
+
+        who = np.arange(len(queries))
+        computed, pushed = len(who), 0
+        # nearest page first, with its queries, their bounds and their distances to its routing object
+        heap = [(0.0, pushed, self.root, who, np.zeros(len(who)), distances(who, np.array([self.root_pivot]))[:, 0])]
         while heap:
-            low, at, to_pivot = heapq.heappop(heap)
-            if low > reach:
-                break
+            _, _, at, who, low, to_pivot = heapq.heappop(heap)
+            # no vector beyond this distance can be among the k best
+            reach = np.sqrt(np.maximum(lengths[who] - 2 * best.least[who], 0.0) + SLACK) + SLACK
+            near = low <= reach
+            if not near.any():
+                continue
+            who, to_pivot, reach = who[near], to_pivot[near], reach[near]
             node = self.nodes[at]
-            gap = np.abs(to_pivot - node.to_parent)
             if node.leaf:
-                open_ = node.entries[gap <= reach]
+                inside = (node.to_parent >= (to_pivot - reach).min()) & (node.to_parent <= (to_pivot + reach).max())
+                open_ = node.entries[inside]
                 if not len(open_):
                     continue
-                computed += len(open_)
-                if len(open_) == len(node.entries):
-                    scores = self.vectors[open_[0] : open_[-1] + 1] @ query
-                else:
-                    scores = self.vectors[open_] @ query
-                other = self.ids[open_] != own_id  # an id may have several vectors
-                scores, open_ = scores[other], open_[other]
-                least = best[0][0] if len(best) == k else -np.inf
-                if len(scores) > k:  # those that tie with the k-th stay
-                    least = max(least, np.partition(scores, len(scores) - k)[len(scores) - k])
-                hold = np.flatnonzero(scores >= least)
-                for s, i in zip(scores[hold].tolist(), self.ids[open_[hold]].tolist()):
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i))
-                    elif (s, -i) > best[0]:
-                        heapq.heapreplace(best, (s, -i))
-                if len(best) == k:
-                    reach = np.sqrt(max(length - 2 * best[0][0], 0.0) + SLACK) + SLACK
+                computed += len(open_) * len(who)
+                page = vectors[open_[0] : open_[-1] + 1] if inside.all() else vectors[open_]
+                scores, ids = factors[who] @ page.T, self.ids[open_]
+                least = best.least[who].astype(kind)
+                fresh = np.flatnonzero(np.isneginf(least))
+                if len(fresh) and len(ids) > best.k:  # those that tie with the k-th of this page stay
+                    others = np.where(ids == best.own[who[fresh], None], -np.inf, scores[fresh])
+                    least[fresh] = np.partition(others, len(ids) - best.k, axis=1)[:, len(ids) - best.k]
+                hold = np.flatnonzero(scores >= least[:, None])
+                row, col = np.divmod(hold, len(ids))
+                best.add(who[row], scores.ravel()[hold].astype(float), ids[col])
             else:
-                open_ = np.flatnonzero(gap - node.radius <= reach)
-                computed += len(open_)
-                diff = self.points[node.entries[open_]] - target
-                d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+                gap = np.abs(to_pivot[:, None] - node.to_parent)
+                open_ = np.flatnonzero((gap - node.radius <= reach[:, None]).any(axis=0))
+                computed += len(open_) * len(who)
+                d = distances(who, node.entries[open_])
                 lows = np.maximum(d - node.radius[open_] - SLACK, 0.0)
-                for j in np.flatnonzero(lows <= reach).tolist():
-                    heapq.heappush(heap, (float(lows[j]), node.children[open_[j]], float(d[j])))
-        return sorted(((int(s), -i) for s, i in best), key=lambda x: (-x[0], x[1])), computed
+                for j, child in enumerate(open_.tolist()):
+                    near = lows[:, j] <= reach
+                    if near.any():
+                        pushed += 1
+                        heapq.heappush(heap, (float(lows[near, j].min()), pushed, node.children[child], who[near], lows[near, j], d[near, j]))
+        return computed
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    """Integers that are held as float, in the smallest integer type that has them all."""
+    low, high = x.min(initial=0), x.max(initial=0)
+    kinds = (t for t in (np.int8, np.int16, np.int32) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return x.astype(next(kinds, x.dtype))
+
+
+def _put(folder: str, thing: object) -> str:
+    """The name of a new file of the shared folder with ``thing``; a task that runs again writes a file of its own."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    system, name = storage(path)
+    with system.open_output_stream(name) as f:
+        f.write(pickle.dumps(thing, pickle.HIGHEST_PROTOCOL))
+    return path
+
+
+def _get(path: str):
+    system, name = storage(path)
+    with system.open_input_stream(name) as f:
+        return pickle.loads(f.read())
 
 
 def _padded(rows: list[list[float]], scale: int, width: int = 0) -> np.ndarray:
@@ -183,42 +277,41 @@ def top_k(vectors: DataFrame, k: int = 20, query_mod: int = 20, params: TreePara
     trees = max(1, -(-n // p.vectors_a_tree))
     blocks = max(1, -(-rows.where(is_query).count() // p.queries_a_block))
 
+    folder = f"{ensure_checkpoint_dir(rows.sparkSession)}/{uuid.uuid4().hex}"
+    system, root = storage(folder)
+    system.create_dir(root, recursive=True)
+
     def build(t: pa.Table) -> pa.Table:
         t = t.sort_by("vec_id")
         tree = MTree(t.column("vec_id").to_numpy(), _padded(t.column("v").to_pylist(), p.scale), p)
-        del tree.points  # made again from the vectors
-        tree.vectors = tree.vectors.astype(np.int32) if np.abs(tree.vectors).max(initial=0) < 2**31 else tree.vectors
-        return pa.table({"tree": t.column("tree").slice(0, 1), "pages": pa.array([pickle.dumps(tree)], pa.binary())})
+        return pa.table({"part": t.column("part").slice(0, 1), "path": pa.array([_put(folder, tree)], pa.string())})
 
     def pack(t: pa.Table) -> pa.Table:
-        return pa.table({"block": t.column("block").slice(0, 1), "queries": pa.array(
-            [pickle.dumps((t.column("vec_id").to_numpy(), _padded(t.column("v").to_pylist(), p.scale)))], pa.binary())})
+        block = t.column("vec_id").to_numpy(), _small(_padded(t.column("v").to_pylist(), p.scale))
+        return pa.table({"part": t.column("part").slice(0, 1), "path": pa.array([_put(folder, block)], pa.string())})
 
-    # by the vector too: one id may have any number of them
-    spread = lambda m: F.pmod(F.xxhash64("vec_id", "v"), F.lit(m)).cast("int")
-    forest = materialise(rows.withColumn("tree", spread(trees)).groupBy("tree").applyInArrow(build, "tree int, pages binary"))
-    asked = materialise(rows.where(is_query).withColumn("block", spread(blocks)).groupBy("block").applyInArrow(pack, "block int, queries binary"))
-    met = forest.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(
-        asked.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))), ["tree", "block"]
-    ).select("pages", "queries")
+    def files(df: DataFrame, parts: int, write) -> list[str]:
+        part = F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts)).cast("int")  # by the vector too: one id may have any number of them
+        return [r.path for r in sorted(df.withColumn("part", part).groupBy("part").applyInArrow(write, "part int, path string").collect())]
+
+    forest, asked = files(rows, trees, build), files(rows.where(is_query), blocks, pack)
+    steps = -(-len(forest) // p.trees_a_task)
+    pairs = len(asked) * steps
 
     def search(batches):
         for b in batches:
-            for pages, queries in zip(b.column("pages"), b.column("queries")):
-                tree: MTree = pickle.loads(pages.as_py())
-                ids, vectors = pickle.loads(queries.as_py())
-                width = max(tree.vectors.shape[1], vectors.shape[1])
-                tree.vectors = np.pad(tree.vectors.astype(float), ((0, 0), (0, width - tree.vectors.shape[1])))
-                vectors = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
-                lengths = (tree.vectors * tree.vectors).sum(axis=1)
-                tree.points = np.column_stack([tree.vectors, np.sqrt(np.maximum(tree.most - lengths, 0.0))])
-                out = [(q, i, s) for q, v in zip(ids.tolist(), vectors) for s, i in tree.search(v, q, k)[0]]
-                cols = list(zip(*out)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
-
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            for pair in b.column("id").to_pylist():
+                block, step = divmod(pair, steps)
+                ids, queries = _get(asked[block])
+                best = Best(ids, k)
+                for path in forest[step * p.trees_a_task : (step + 1) * p.trees_a_task]:
+                    _get(path).meet(queries, best)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in best.rows()], names=["query_id", "vec_id", "score"])
+
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        met.mapInArrow(search, "query_id long, vec_id long, score long")
-        .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        rows.sparkSession.range(0, pairs, 1, max(1, min(pairs, TASKS)))
+        .mapInArrow(search, "query_id long, vec_id long, score long")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

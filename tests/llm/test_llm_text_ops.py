@@ -1,12 +1,16 @@
 """Substring dedup, decontamination and top-k search against plain definitions."""
 
 import collections
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from llm_cases import DOC_SCHEMA, empty_docs, odd_docs, prose
 
+import servicelens
 from servicelens.llm.decontaminate import LeakIndex, LeakParams, benchmark_leaks, count_similarity, drop_leaks, item_passes, load_index, window_fingerprints
 from servicelens.llm.mtree import MTree, TreeParams, top_k
 from servicelens.llm.simhash_dedup import fingerprint, shingle_hashes
@@ -268,6 +272,36 @@ def test_vectors_of_the_query_id_take_no_place(spark):
         assert sorted(map(tuple, top_k(df, 20, 20, p).collect())) == want
 
 
+def test_top_k_over_several_steps_of_trees(spark):
+    """Bounds go from tree to tree; large components need more than single precision."""
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(150)]
+    rows += [(200 + i, [rng.uniform(-1e5, 1e5) for _ in range(6 + i % 3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, VEC_SCHEMA)
+    p = dict(vectors_a_tree=30, queries_a_block=3, page=8, fanout=3)
+    for some, steps in ((rows[:150], 1), (rows[:150], 2), (rows, 2)):
+        got = top_k(df.where(f"vec_id <= {some[-1][0]}"), 20, 20, TreeParams(trees_a_task=steps, **p)).collect()
+        assert sorted(map(tuple, got)) == plain_top(some, 20, 20)
+
+
+def test_top_k_sends_no_pairs_to_the_driver():
+    """All queries, once for each of the trees, have over 2 MB, which is what the driver takes."""
+    code = """
+import random
+from pyspark.sql import SparkSession
+from servicelens.llm.mtree import TreeParams, top_k
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.driver.maxResultSize", "2m").getOrCreate())
+rng = random.Random(6)
+rows = [(i, [rng.uniform(-1, 1) for _ in range(64)]) for i in range(4000)]
+df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+print("rows", top_k(df, 20, 20, TreeParams(vectors_a_tree=64, queries_a_block=64, page=32)).count())
+"""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([os.path.dirname(os.path.abspath(servicelens.__path__[0])), os.environ.get("PYTHONPATH", "")])}
+    run = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 4000" in run.stdout, run.stderr[-2000:]
+
+
 def test_tree_bounds_save_computations():
     """Clustered vectors: the stored bounds leave most pages unread, and the answer is exact."""
     rng = np.random.default_rng(0)
